@@ -12,7 +12,9 @@ from ..functions.scalar import (climate_index, flag_above, flag_contains, lookup
 from ..operators import clean, encode
 from ..operators.order_stats import medians
 from ..operators.profile import clean_summary, duplicate_rows, null_counts_before_after
+from ..operators.sample import bernoulli_mask
 from ..plans.prepare import clean_accidents
+from ..sources.tables import spread, stage
 from .registry import query, sql_round, sql_uniform, table
 from .synthesis import DIRTY, orders_as_dirty_accidents
 
@@ -61,13 +63,13 @@ _PARSED = (f"coalesce(try_strptime({_STRIPPED}, '%Y-%m-%d'), try_strptime({_STRI
 
 
 def _date_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Order dates written in the three formats, padded with blanks, or spoilt, by key."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    """Order dates written in the three formats, padded with blanks, or spoilt, by key; written once."""
+    o = spread(table(spark, d, "orders").select("o_orderkey", "o_orderdate"))
     k = F.col("o_orderkey") % 8
     iso, dmy, ymd = (F.date_format("o_orderdate", f) for f in presets.DATE_FORMATS)
     text = (F.when(k == 0, dmy).when(k == 1, ymd).when(k == 2, "31/13/2024").when(k == 3, "2024-99-01")
             .when(k == 4, F.concat(F.lit("  "), ymd, F.lit("\t"))).when(k == 5, "no-date").otherwise(iso))
-    return o.select("o_orderkey", text.alias("fecha"))
+    return stage(o.select("o_orderkey", text.alias("fecha")), "texts")
 
 
 @query("parsed_dates", f"SELECT o_orderkey, strftime({_PARSED}, '%Y-%m-%d') AS fecha FROM orders")
@@ -103,11 +105,12 @@ _ROW = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 
 def _gappy_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Line items with gaps in the three checked columns, by hash of the row's identity."""
+    """Line items with gaps in the three checked columns, by hash of the row's identity; written once."""
     row = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    lines = _lines(spark, d, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", *RULES)
-    return lines.withColumns({c: F.when(draws.uniform(11, f"gap.{c}", row) < 0.08, F.lit(None)).otherwise(F.col(c))
-                              for c in RULES})
+    lines = spread(_lines(spark, d, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", *RULES))
+    u = draws.uniforms(11, [f"gap.{c}" for c in RULES], "_row", "md5")
+    gaps = {c: F.when(F.col("_u")[i] < 0.08, F.lit(None)).otherwise(F.col(c)) for i, c in enumerate(RULES)}
+    return stage(lines.withColumn("_row", row).withColumn("_u", u).withColumns(gaps).drop("_u", "_row"), "gaps")
 
 
 _GAPPY = "g AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount, " + ", ".join(
@@ -162,7 +165,7 @@ def null_counts(spark, d):
     f"SELECT '{c}' AS column_name, {sql_round(f'median({c})', 6)} AS median_value FROM g" for c in RULES))
 def column_medians(spark, d):
     found = medians(_gappy_lines(spark, d), list(RULES))
-    return table(spark, d, "lineitem").select(F.lit(0)).limit(1).select(F.explode(F.array(*[
+    return spark.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), round_half_even(F.lit(v), 6).alias("median_value"))
         for c, v in found.items()])).alias("s")).select("s.*")
 
@@ -220,7 +223,7 @@ def clean_summary_query(spark, d):
 def stats_from_train_rows(spark, d):
     """Cleaning whose medians and maxima come from the training share only."""
     dirty = orders_as_dirty_accidents(spark, d)
-    train = dirty.where(draws.uniform(5, "train", "id_siniestro") < 0.8)
+    train = dirty.where(bernoulli_mask("id_siniestro", 0.8, 5))
     return clean_accidents(dirty, fit_on=train).table
 
 

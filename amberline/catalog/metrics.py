@@ -17,8 +17,9 @@ BOOST = {"a": 0.5, "b": 0.2, "c": 0.9}
 
 def predictions(spark: SparkSession, d: str, variant: str = "a", dp: int = 3) -> DataFrame:
     """Order status with three probabilities that lean towards the truth, and the class they favour."""
-    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("y"), *[
-        draws.uniform(31, f"{variant}.{c}", "o_orderkey").alias(f"u_{c}") for c in CLASSES])
+    u = draws.uniforms(31, [f"{variant}.{c}" for c in CLASSES], "o_orderkey", "md5")
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("y"), u.alias("u"))
+    rows = rows.select("o_orderkey", "y", *[F.col("u")[i].alias(f"u_{c}") for i, c in enumerate(CLASSES)])
     raw = rows.withColumns({f"u_{c}": F.col(f"u_{c}") + F.when(F.col("y") == c, BOOST[variant]).otherwise(0.0) for c in CLASSES})
     total = F.col("u_F") + F.col("u_O") + F.col("u_P")
     out = raw.select("o_orderkey", "y", *[round_half_even(F.col(f"u_{c}") / total, dp).alias(f"p_{c}") for c in CLASSES])

@@ -13,10 +13,10 @@ from .. import presets
 from ..functions.scalar import round_half_even
 from ..operators import evaluate, models, rate, sample
 from ..plans import prepare, rate_routes, train
-from ..sources.tables import scratch_path
+from ..sources.tables import scratch_path, spread, stage
 from ..streaming import feed
 from .registry import query, table
-from .synthesis import orders_as_accidents, orders_as_dirty_accidents
+from .synthesis import orders_as_dirty_accidents
 
 LOGISTIC = {"maxIter": 30}
 FOREST = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 5}
@@ -28,9 +28,10 @@ KEY = "id_siniestro"
 
 
 def model_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Accidents of all orders with features; a narrow plan, no fitted statistics."""
-    rows = prepare.serving_features(orders_as_accidents(spark, d))
-    return rows.select(KEY, *presets.FEATURES, presets.TARGET)
+    """Accidents of all orders with features, no fitted statistics; written once, as training reads it often."""
+    rows = prepare.serving_features(prepare.build_accidents(spread(table(spark, d, "orders").select("o_orderkey")), "o_orderkey"))
+    rows = rows.withColumn("n", F.regexp_extract(KEY, r"(\d+)$", 1).cast("long"))
+    return stage(rows.select(KEY, "n", *presets.FEATURES, presets.TARGET), "model-rows")
 
 
 def _split(spark, d):
@@ -102,17 +103,13 @@ def fold_scores(spark, d):
 
 @query("grid_scores")
 def grid_scores(spark, d):
-    orders = table(spark, d, "orders")
-    rows = prepare.serving_features(prepare.build_accidents(orders, "o_orderkey"))
-    rows = rows.withColumn("n", F.regexp_extract(KEY, r"(\d+)$", 1).cast("long"))
-    rows = rows.select("n", *presets.FEATURES, presets.TARGET)
-    folded = sample.block_folds(rows, "n", presets.TARGET, presets.GRID_FOLDS)
+    folded = sample.block_folds(model_rows(spark, d), "n", presets.TARGET, presets.GRID_FOLDS)
     _, scores = models.grid_search(folded, "fold", presets.GRID_FOLDS, presets.FEATURES, presets.TARGET, SMALL_GRID)
     return scores
 
 
 def _routes(spark, d):
-    return prepare.build_routes(table(spark, d, "orders"), "o_orderkey")
+    return prepare.build_routes(spread(table(spark, d, "orders").select("o_orderkey")), "o_orderkey")
 
 
 @query("scored_routes")

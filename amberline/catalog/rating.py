@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import presets
@@ -30,7 +30,7 @@ def order_regions(spark: SparkSession, d: str) -> DataFrame:
         "o_orderkey", "o_orderpriority", F.col("r_name").alias("region"))
 
 
-def line_score() -> F.Column:
+def line_score() -> Column:
     return scorecard([
         capped(F.col("l_quantity") / 50.0 * 30.0, 30.0), capped(F.col("l_extendedprice") / 100000.0 * 25.0, 25.0),
         capped(F.col("l_tax") / 0.08 * 15.0, 15.0), lookup("o_orderpriority", PRIORITY_POINTS, strict=True),
@@ -48,10 +48,11 @@ _POINTS = sql_case([(f"o_orderpriority = {sql_literal(k)}", f"{v}::DOUBLE") for
 _SCORE = ("least(l_quantity/50::DOUBLE*30::DOUBLE, 30::DOUBLE) + least(l_extendedprice/100000::DOUBLE*25::DOUBLE, 25::DOUBLE)"
           f" + least(l_tax/0.08::DOUBLE*15::DOUBLE, 15::DOUBLE) + {_POINTS}"
           " + CASE WHEN l_returnflag = 'R' THEN 8::DOUBLE ELSE 0::DOUBLE END")
-RATED = f"""s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, r_name AS region, l_quantity,
-    {sql_round(f'least(greatest({_SCORE}, 0::DOUBLE), 100::DOUBLE)', 2)} AS score
+RATED = f"""s0 AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, r_name AS region, l_quantity,
+    least(greatest({_SCORE}, 0::DOUBLE), 100::DOUBLE) AS raw
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+s AS (SELECT * EXCLUDE (raw), {sql_round('raw', 2)} AS score FROM s0),
 r AS (SELECT *, {sql_cut('score', presets.TIER_EDGES, presets.TIERS)} AS tier FROM s)"""
 _TIER_COUNTS = ", ".join(f"count_if(tier = '{t}')::BIGINT AS rutas_{t.lower()}" for t in reversed(presets.TIERS))
 
@@ -111,8 +112,9 @@ def score_profile(spark, d):
 
 def order_probabilities(spark: SparkSession, d: str, dp: int = 4) -> DataFrame:
     """Three class probabilities per order, from hashes of its key, and the order's region."""
-    u = {f"u_{c}": draws.uniform(21, f"p.{c}", "o_orderkey") for c in presets.TIERS}
-    rows = order_regions(spark, d).select("o_orderkey", "region", *[c.alias(n) for n, c in u.items()])
+    u = draws.uniforms(21, [f"p.{c}" for c in presets.TIERS], "o_orderkey", "md5")
+    rows = order_regions(spark, d).select("o_orderkey", "region", u.alias("u"))
+    rows = rows.select("o_orderkey", "region", *[F.col("u")[i].alias(f"u_{c}") for i, c in enumerate(presets.TIERS)])
     total = F.col("u_BAJO") + F.col("u_MEDIO") + F.col("u_ALTO")
     return rows.select("o_orderkey", "region", *[round_half_even(F.col(f"u_{t}") / total, dp).alias(f"p_{t}") for t in presets.TIERS])
 

@@ -46,6 +46,17 @@ def sql_round(x: str, dp: int) -> str:
     return f"(round_even(({x})::DOUBLE*{scale}, 0)/{scale})"
 
 
+def sql_round_decimal(x: str, dp: int) -> str:
+    """By the exact binary value; ``x`` must be a plain column, as it is repeated."""
+    scale = f"1e{dp}::DOUBLE"
+    p, split = f"({x}*{scale})", f"({x}*134217729::DOUBLE)"
+    high = f"({split} - ({split} - {x}))"
+    error = f"(({high}*{scale} - {p}) + ({x} - {high})*{scale})"
+    tie = f"abs({p} - round_even({p}, 0)) = 0.5::DOUBLE"
+    return (f"(CASE WHEN {tie} AND {error} > 0 THEN ceil({p}) WHEN {tie} AND {error} < 0 THEN floor({p}) "
+            f"ELSE round_even({p}, 0) END/{scale})")
+
+
 def sql_literal(v) -> str:
     return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
 

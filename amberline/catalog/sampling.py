@@ -10,6 +10,8 @@ from ..operators.models import fit_scaler, scaled
 from ..operators.profile import value_shares
 from .registry import query, sql_rank, sql_round, sql_uniform, table
 
+MD5 = "md5"  # the hash DuckDB has too
+
 
 def _orders(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
@@ -18,7 +20,7 @@ def _orders(spark, d):
 @query("fixed_size_sample", f"""
 SELECT o_orderkey, o_orderstatus FROM orders ORDER BY {sql_rank(3, 'o_orderkey')}, o_orderkey LIMIT 80""")
 def fixed_size_sample(spark, d):
-    return sample.sample_rows(_orders(spark, d), "o_orderkey", 80, 3)
+    return sample.sample_rows(_orders(spark, d), "o_orderkey", 80, 3, MD5)
 
 
 @query("large_sample", f"""
@@ -26,12 +28,12 @@ SELECT event_id, value FROM (SELECT *, row_number() OVER (ORDER BY {sql_rank(4,
   count(*) OVER () AS n FROM events) WHERE rn <= n // 3""")
 def large_sample(spark, d):
     events = table(spark, d, "events").select("event_id", "value")
-    return sample.sample_rows(events, "event_id", events.count() // 3, 4)
+    return sample.sample_rows(events, "event_id", events.count() // 3, 4, MD5)
 
 
 @query("bernoulli_mask", f"SELECT event_id, {sql_uniform(5, 'mask', 'event_id')} < 0.08::DOUBLE AS chosen FROM events")
 def bernoulli_mask(spark, d):
-    return table(spark, d, "events").select("event_id", sample.bernoulli_mask("event_id", 0.08, 5).alias("chosen"))
+    return table(spark, d, "events").select("event_id", sample.bernoulli_mask("event_id", 0.08, 5, method=MD5).alias("chosen"))
 
 
 def _split_sql(source: str, key: str, label: str, seed: int = 42) -> str:
@@ -46,7 +48,7 @@ o AS (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {sql_rank(seed,
 @query("stratified_split", _split_sql("orders", "o_orderkey", "o_orderstatus") + """
 SELECT o_orderkey, o_orderstatus, rn <= k AS is_test FROM o JOIN g ON o.o_orderstatus = g.y""")
 def stratified_split(spark, d):
-    return sample.stratified_split(_orders(spark, d), "o_orderkey", "o_orderstatus")
+    return sample.stratified_split(_orders(spark, d), "o_orderkey", "o_orderstatus", method=MD5)
 
 
 _SKEWED = "(CASE WHEN o_orderkey % 200 = 0 THEN 'ALTO' WHEN o_orderkey % 10 < 3 THEN 'BAJO' ELSE 'MEDIO' END)"
@@ -61,14 +63,14 @@ def _skewed(spark, d):
 @query("stratified_split_skewed", _split_sql(f"(SELECT o_orderkey, {_SKEWED} AS y FROM orders)", "o_orderkey", "y") + """
 SELECT o_orderkey, o.y, rn <= k AS is_test FROM o JOIN g ON o.y = g.y""")
 def stratified_split_skewed(spark, d):
-    return sample.stratified_split(_skewed(spark, d), "o_orderkey", "y")
+    return sample.stratified_split(_skewed(spark, d), "o_orderkey", "y", method=MD5)
 
 
 @query("split_histogram", _split_sql("orders", "o_orderkey", "o_orderstatus") + f"""
 SELECT o_orderstatus, n, {sql_round('n::DOUBLE/sum(n) OVER ()*100::DOUBLE', 1)} AS percent FROM
  (SELECT o_orderstatus, count(*) AS n FROM o JOIN g ON o.o_orderstatus = g.y WHERE rn > k GROUP BY 1)""")
 def split_histogram(spark, d):
-    marked = sample.stratified_split(_orders(spark, d), "o_orderkey", "o_orderstatus")
+    marked = sample.stratified_split(_orders(spark, d), "o_orderkey", "o_orderstatus", method=MD5)
     return value_shares(marked.where(~F.col("is_test")), "o_orderstatus").drop("percent_text")
 
 
@@ -81,12 +83,12 @@ SELECT {key}, o.{label}, ((rn + earlier::BIGINT) % {k})::INTEGER AS fold FROM o
 
 @query("shuffled_folds", _fold_sql("orders", "o_orderkey", "o_orderstatus", 5))
 def shuffled_folds(spark, d):
-    return sample.stratified_folds(_orders(spark, d), "o_orderkey", "o_orderstatus", 5)
+    return sample.stratified_folds(_orders(spark, d), "o_orderkey", "o_orderstatus", 5, method=MD5)
 
 
 @query("shuffled_folds_skewed", _fold_sql(f"(SELECT o_orderkey, {_SKEWED} AS y FROM orders)", "o_orderkey", "y", 5))
 def shuffled_folds_skewed(spark, d):
-    return sample.stratified_folds(_skewed(spark, d), "o_orderkey", "y", 5)
+    return sample.stratified_folds(_skewed(spark, d), "o_orderkey", "y", 5, method=MD5)
 
 
 @query("block_folds", """

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import presets
-from ..functions.scalar import (capped, clip, cut, floored, lookup, number, percent_text, round_half_even, scorecard,
+from ..functions.scalar import (capped, clip, cut, floored, lookup, number, percent_text, round_decimal, round_half_even, scorecard,
                                 strip, text_bar, text_or_nan)
 from ..operators.clean import epoch_micros
-from .registry import query, sql_cut, sql_round, table
+from .registry import query, sql_cut, sql_round, sql_round_decimal, table
 
 
 @query("rounding", f"""
-SELECT event_id, {sql_round('value/8::DOUBLE', 2)} AS r2, {sql_round('value/7::DOUBLE', 4)} AS r4, {sql_round('value/2::DOUBLE', 0)} AS r0 FROM events""")
+SELECT event_id, {sql_round('value/8::DOUBLE', 2)} AS r2, {sql_round('value/7::DOUBLE', 4)} AS r4, {sql_round('value/2::DOUBLE', 0)} AS r0,
+  {sql_round_decimal('half', 2)} AS exact FROM (SELECT *, value*0.5::DOUBLE AS half FROM events)""")
 def rounding(spark, d):
-    return table(spark, d, "events").select(
+    return table(spark, d, "events").withColumn("half", F.col("value") * 0.5).select(
         "event_id", round_half_even(F.col("value") / 8.0, 2).alias("r2"),
-        round_half_even(F.col("value") / 7.0, 4).alias("r4"), round_half_even(F.col("value") / 2.0).alias("r0"))
+        round_half_even(F.col("value") / 7.0, 4).alias("r4"), round_half_even(F.col("value") / 2.0).alias("r0"),
+        round_decimal("half", 2).alias("exact"))
 
 
 @query("clipping", """
@@ -83,7 +85,7 @@ def missing_numbers(spark, d):
 
 
 @query("part_scorecard", f"""
-SELECT p_partkey, {sql_round("least(greatest(least(p_size/50::DOUBLE*60::DOUBLE, 50::DOUBLE) + greatest((1500::DOUBLE-p_retailprice)/600::DOUBLE*30::DOUBLE, 0::DOUBLE) + CASE p_type WHEN 'ECONOMY' THEN 3::DOUBLE WHEN 'SMALL' THEN 5::DOUBLE ELSE 9::DOUBLE END, 0::DOUBLE), 100::DOUBLE)", 2)} AS score FROM part""")
+SELECT p_partkey, {sql_round('raw', 2)} AS score FROM (SELECT p_partkey, least(greatest(least(p_size/50::DOUBLE*60::DOUBLE, 50::DOUBLE) + greatest((1500::DOUBLE-p_retailprice)/600::DOUBLE*30::DOUBLE, 0::DOUBLE) + CASE p_type WHEN 'ECONOMY' THEN 3::DOUBLE WHEN 'SMALL' THEN 5::DOUBLE ELSE 9::DOUBLE END, 0::DOUBLE), 100::DOUBLE) AS raw FROM part)""")
 def part_scorecard(spark, d):
     kind = F.coalesce(lookup("p_type", {"ECONOMY": 3.0, "SMALL": 5.0}), F.lit(9.0))
     return table(spark, d, "part").select("p_partkey", scorecard([

@@ -12,18 +12,27 @@ from ..operators.dirty import append_copies, inject_nulls, inject_outliers, inje
 from ..operators.profile import dirty_profile
 from ..plans.prepare import build_accidents, build_routes, dirty_accidents
 from ..sources.synthetic import synthesize
+from ..sources.tables import spread, stage
 from .registry import (query, sql_case, sql_choice, sql_cut, sql_draw, sql_literal, sql_normal, sql_rank, sql_round,
                        sql_uniform, table)
 
 OUTLIER_SEED, DATE_SEED, COPY_SEED = 43, 44, 45
 
 
+MD5 = "md5"  # the hash DuckDB has too
+
+
 def orders_as_accidents(spark: SparkSession, d: str) -> DataFrame:
-    return build_accidents(table(spark, d, "orders"), "o_orderkey")
+    return build_accidents(spread(table(spark, d, "orders").select("o_orderkey")), "o_orderkey", method=MD5)
+
+
+def stored_accidents(spark: SparkSession, d: str) -> DataFrame:
+    """The accidents written once, as the jobs that follow expect a table."""
+    return stage(orders_as_accidents(spark, d), "accidents")
 
 
 def orders_as_dirty_accidents(spark: SparkSession, d: str) -> DataFrame:
-    return dirty_accidents(orders_as_accidents(spark, d))
+    return dirty_accidents(stored_accidents(spark, d), method=MD5)
 
 
 # --- the same tables in SQL ------------------------------------------------------------------
@@ -50,7 +59,7 @@ def _accident_sql() -> str:
   FROM orders),
 accidents AS (
   SELECT *, {sql_cut('score_riesgo', presets.TIER_EDGES, presets.TIERS)} AS nivel_riesgo
-  FROM (SELECT *, {sql_round(clipped, 2)} AS score_riesgo FROM acc0))"""
+  FROM (SELECT * EXCLUDE (raw), {sql_round('raw', 2)} AS score_riesgo FROM (SELECT *, {clipped} AS raw FROM acc0)))"""
 
 
 ACCIDENTS = _accident_sql()
@@ -107,7 +116,7 @@ def accident_table(spark, d):
 
 @query("route_table", f"WITH {ROUTES} SELECT * FROM routes")
 def route_table(spark, d):
-    return build_routes(table(spark, d, "orders"), "o_orderkey")
+    return build_routes(spread(table(spark, d, "orders").select("o_orderkey")), "o_orderkey", method=MD5)
 
 
 @query("sequence_columns", """
@@ -126,7 +135,7 @@ SELECT v AS region, count(*) AS n, {sql_round('avg(f)', 4)} AS mean_road FROM (
          {sql_draw('poisson', (1.2,), 7, 'offences', 'event_id')} AS f FROM events) GROUP BY v""")
 def draw_frequencies(spark, d):
     spec = [("region", "weighted", presets.REGIONS, presets.REGION_P), ("offences", "poisson", 1.2)]
-    drawn = synthesize(table(spark, d, "events"), "event_id", spec, 7)
+    drawn = synthesize(table(spark, d, "events"), "event_id", spec, 7, MD5)
     return drawn.groupBy("region").agg(F.count(F.lit(1)).alias("n"),
                                        round_half_even(F.avg("offences"), 4).alias("mean_road"))
 
@@ -134,25 +143,25 @@ def draw_frequencies(spark, d):
 @query("cheap_draws")
 def cheap_draws(spark, d):
     """The cheaper hash: same table at any partitioning, not reproducible outside Spark."""
-    u = draws.uniform(7, "u", "event_id", "xxhash64")
-    return table(spark, d, "events").select("event_id", u.alias("u"), draws.rank_hash(7, "event_id", "xxhash64").alias("h"))
+    u = draws.uniform(7, "u", "event_id")
+    return table(spark, d, "events").select("event_id", u.alias("u"), draws.rank_hash(7, "event_id").alias("h"))
 
 
 @query("null_injection", f"WITH {ACCIDENTS} {_null_sql('accidents')}")
 def null_injection(spark, d):
-    return inject_nulls(orders_as_accidents(spark, d), "id_siniestro", presets.NULLABLE_COLUMNS, presets.NULL_RATE, 42)
+    return inject_nulls(orders_as_accidents(spark, d), "id_siniestro", presets.NULLABLE_COLUMNS, presets.NULL_RATE, 42, MD5)
 
 
 @query("outlier_injection", f"WITH {ACCIDENTS} {_outlier_sql('accidents')}")
 def outlier_injection(spark, d):
-    return inject_outliers(orders_as_accidents(spark, d), "id_siniestro", presets.OUTLIERS,
-                           presets.OUTLIERS_PER_COLUMN, OUTLIER_SEED)
+    return inject_outliers(stored_accidents(spark, d), "id_siniestro", presets.OUTLIERS,
+                           presets.OUTLIERS_PER_COLUMN, OUTLIER_SEED, MD5)
 
 
 @query("bad_date_injection", f"WITH {ACCIDENTS} {_bad_date_sql('accidents')}")
 def bad_date_injection(spark, d):
-    return inject_texts(orders_as_accidents(spark, d), "id_siniestro", "fecha", presets.BAD_DATES,
-                        presets.BAD_DATE_ROWS, DATE_SEED)
+    return inject_texts(stored_accidents(spark, d), "id_siniestro", "fecha", presets.BAD_DATES,
+                        presets.BAD_DATE_ROWS, DATE_SEED, MD5)
 
 
 @query("appended_copies", f"""
@@ -161,7 +170,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM (
   SELECT *, row_number() OVER (ORDER BY {sql_rank(7, 'o_orderkey')}, o_orderkey) AS _rn FROM orders) WHERE _rn <= 50""")
 def appended_copies(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    return append_copies(orders, "o_orderkey", 50, 7)
+    return append_copies(orders, "o_orderkey", 50, 7, MD5)
 
 
 @query("dirty_accident_table", f"WITH {DIRTY} SELECT * FROM dirty")

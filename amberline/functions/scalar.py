@@ -31,10 +31,29 @@ def round_half_even(c: ColumnOrName, dp: int = 0) -> Column:
     return F.rint(as_col(c) * scale) / scale
 
 
+def round_decimal(c: ColumnOrName, dp: int = 2) -> Column:
+    """Round as Python's ``round`` does: by the exact binary value, ties to even.
+
+    Scaling may round a value onto a tie (2.675 * 100 gives 267.5 although 2.675
+    is stored a little below).  The scaling error is exact in two halves of the
+    value, and on a tie its sign decides.  Give it a plain column: the value is
+    used many times over.
+    """
+    x, scale = as_col(c), F.lit(10.0**dp)
+    split = x * F.lit(134217729.0)
+    high = split - (split - x)
+    product = x * scale
+    error = (high * scale - product) + (x - high) * scale
+    tie = F.abs(product - F.rint(product)) == F.lit(0.5)
+    units = F.when(tie & (error > 0), F.ceil(product).cast("double")).when(
+        tie & (error < 0), F.floor(product).cast("double")).otherwise(F.rint(product))
+    return units / scale
+
+
 def clip(c: ColumnOrName, lo, hi) -> Column:
     """Clamp into [lo, hi].  NULL stays NULL (``least``/``greatest`` alone would skip it)."""
     c = as_col(c)
-    return F.when(c < F.lit(lo), F.lit(lo)).when(c > F.lit(hi), F.lit(hi)).otherwise(c)
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
 def capped(c: ColumnOrName, cap) -> Column:
@@ -89,12 +108,15 @@ def lookup(c: ColumnOrName, mapping: Mapping, strict: bool = False) -> Column:
 
 
 def cut(c: ColumnOrName, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Right-closed bins ``(edge, next edge]``; outside every bin or missing gives NULL."""
+    """Right-closed bins ``(edge, next edge]``; outside every bin or missing gives NULL.
+
+    Tested from the top, so that each edge is compared once: filters on the
+    result are pushed down with the whole expression in place of ``c``.
+    """
     c = as_col(c)
-    out = None
-    for lo, hi, label in zip(edges[:-1], edges[1:], labels):
-        inside = (c > F.lit(lo)) & (c <= F.lit(hi))
-        out = F.when(inside, F.lit(label)) if out is None else out.when(inside, F.lit(label))
+    out = F.when(c > F.lit(edges[-1]), F.lit(None).cast("string"))
+    for lo, label in reversed(list(zip(edges[:-1], labels))):
+        out = out.when(c > F.lit(lo), F.lit(label))
     return out
 
 
@@ -168,8 +190,10 @@ def weighted_score(probabilities: Mapping[str, Column], weights: Mapping[str, fl
 
 
 def percent_text(c: ColumnOrName, missing: str = "N/A") -> Column:
+    """Percent with one decimal, ties to even; the JVM's own formatting would round ties up."""
     c = as_col(c)
-    return F.when(c.isNull(), F.lit(missing)).otherwise(F.format_string("%.1f%%", c * F.lit(100.0)))
+    percent = round_half_even(c * F.lit(100.0), 1)
+    return F.when(c.isNull(), F.lit(missing)).otherwise(F.format_string("%.1f%%", percent))
 
 
 def text_bar(c: ColumnOrName, width: int = 20, block: str = "█") -> Column:

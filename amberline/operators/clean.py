@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import as_col, number, out_of_range, parse_dates
-from .order_stats import STATE_LIMIT, medians, quantiles
+from .order_stats import STATE_LIMIT, column_facts, medians, quantiles
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -85,13 +85,6 @@ def from_micros(micros: int) -> Column:
         F.lit(days), F.lit(0), F.lit(0), F.lit(seconds + rest / 1e6).cast("decimal(18,6)"))
 
 
-def median_micros(df: DataFrame, date: str, state_limit: int = STATE_LIMIT, approx: bool = False) -> int | None:
-    """Median instant; an even count gives the middle of the two middle instants."""
-    at = df.select(epoch_micros(date).alias("t"))
-    mid = quantiles(at, ["t"], [0.5], state_limit=state_limit, approx=approx)["t"][0.5]
-    return None if mid is None else int(mid)
-
-
 def range_fixed(df: DataFrame, range_rules: Mapping[str, tuple], fill: Mapping[str, float | None]) -> DataFrame:
     new = {}
     for c, (lo, hi) in range_rules.items():
@@ -106,6 +99,15 @@ def parsed(df: DataFrame, date_column: str | None, date_formats: Sequence[str])
     return df.withColumn(date_column, parse_dates(date_column, date_formats))
 
 
+def _instants(df: DataFrame, date_column: str | None, date_formats: Sequence[str]) -> list[Column]:
+    if date_column is None:
+        return []
+    c = F.col(date_column)
+    if df.schema[date_column].dataType == T.StringType():
+        c = parse_dates(c, date_formats)
+    return [epoch_micros(c).alias("_micros")]
+
+
 def fit_clean(df: DataFrame, range_rules: Mapping[str, tuple], impute: Sequence[str],
               floor_rules: Mapping[str, tuple] | None = None, date_column: str | None = None,
               date_formats: Sequence[str] = (), maxima: Sequence[str] = (),
@@ -113,21 +115,24 @@ def fit_clean(df: DataFrame, range_rules: Mapping[str, tuple], impute: Sequence[
     """Learn fill values in two stages.
 
     Stage 1: medians of the range-checked columns as they are, absurd values
-    included.  Stage 2, after the range fix: medians for imputation, and
-    maxima.  Filling with a median cannot raise a maximum, so the maxima are
-    those of the imputed columns too.
+    included, and the median date, where an even count gives the middle of the
+    two middle instants.  Stage 2, after the range fix: medians for imputation,
+    and maxima.  Filling with a median cannot raise a maximum, so the maxima
+    are those of the imputed columns too.
     """
-    range_fill = medians(df, list(range_rules), state_limit=state_limit, approx=approx) if range_rules else {}
-    date_fill = None
-    if date_column is not None:
-        date_fill = median_micros(parsed(df.select(date_column), date_column, date_formats), date_column,
-                                  state_limit, approx)
-    fixed = range_fixed(df.select(*dict.fromkeys([*range_rules, *impute, *maxima])), range_rules, range_fill)
-    impute_fill = medians(fixed, list(impute), state_limit=state_limit, approx=approx) if impute else {}
-    tops = {}
-    if maxima:
-        row = fixed.agg(*[F.max(number(c)).alias(c) for c in maxima]).first()
-        tops = {c: row[c] for c in maxima}
+    options = {"state_limit": state_limit, "approx": approx}
+    raw = df.select(*dict.fromkeys([*range_rules, *impute, *maxima]), *_instants(df, date_column, date_formats))
+    checked = [*range_rules, *(["_micros"] if date_column is not None else [])]
+    facts = None if approx else column_facts(raw, list(dict.fromkeys([*checked, *impute])))
+    first = medians(raw, checked, facts=facts, **options) if checked else {}
+    date_fill = first.pop("_micros", None)
+    # a median in place of other values changes neither the number of values nor the bounds they lie in
+    fixed = range_fixed(raw, range_rules, first)
+    second = quantiles(fixed, list(impute), [0.5], facts=facts,
+                       also={f"max:{c}": F.max(number(c)) for c in maxima}, **options)
+    impute_fill = {c: second[c][0.5] for c in impute}
+    tops = {c: second[f"max:{c}"] for c in maxima}
+    range_fill, date_fill = first, None if date_fill is None else int(date_fill)
     return CleanStats(dict(range_rules), dict(floor_rules or {}), range_fill, impute_fill, date_column,
                       tuple(date_formats), date_fill, tops)
 

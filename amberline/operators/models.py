@@ -84,8 +84,8 @@ def fit_boosted(ready: DataFrame, classes: int, weight_col: str | None = WEIGHT,
     """
 
     def one(i: int) -> GBTClassificationModel:
-        est = GBTClassifier(seed=seed, featuresCol=VECTOR, labelCol=f"_is_{i}", rawPredictionCol=MARGIN.format(i),
-                            predictionCol="", probabilityCol="", **params)
+        est = GBTClassifier(seed=seed, featuresCol=VECTOR, labelCol=f"_is_{i}", predictionCol="", **params)
+        est = est.setRawPredictionCol(MARGIN.format(i)).setProbabilityCol("")
         if weight_col:
             est = est.setWeightCol(weight_col)
         return est.fit(ready.withColumn(f"_is_{i}", (F.col(LABEL) == F.lit(float(i))).cast("double")))
@@ -216,7 +216,8 @@ def boosting_curve(model: PipelineModel, test: DataFrame, target: str, every: in
     rows = []
     try:
         for i, (label, inner) in enumerate(zip(labels_of(model), inner_models)):
-            binary = ready.select(VECTOR, (F.col("_class") == F.lit(float(i))).cast("double").alias(inner.getLabelCol()))
+            binary = ready.select(VECTOR, (F.col("_class") == F.lit(float(i))).cast("double").alias(inner.getLabelCol()),
+                                  F.lit(1.0).alias(WEIGHT))
             losses = inner.evaluateEachIteration(binary)
             rows += [(label, r + 1, float(x)) for r, x in enumerate(losses) if r % every == 0 or r + 1 == len(losses)]
     finally:

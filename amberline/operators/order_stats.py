@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -30,176 +31,231 @@ SMALL_BRACKET = 4096
 STATE_LIMIT = 200_000
 
 
-def _by_group(group: Column, table: Mapping, of) -> Column:
-    out = None
-    for key, value in table.items():
-        test = group.eqNullSafe(F.lit(key))
-        out = F.when(test, of(value)) if out is None else out.when(test, of(value))
-    return out
-
-
 def exact_cuts(df: DataFrame, value: str, ranks: Mapping[object, Sequence[int]], group: str | None = None,
-               spans: Mapping[object, tuple] | None = None, bins: int = BINS,
-               small: int = SMALL_BRACKET, ties: dict | None = None) -> dict[tuple, object]:
+               spans: Mapping[object, tuple] | None = None, guesses: Mapping[object, Sequence[tuple]] | None = None,
+               bins: int = BINS, small: int = SMALL_BRACKET, ties: dict | None = None) -> dict[tuple, object]:
     """Exact value at each 0-based rank (ascending, missing values left out) of each group.
 
     ``ranks`` maps a group to its wanted ranks; without ``group`` use the key
-    ``None``.  ``spans`` gives known (min, max) per group and saves a pass.
+    ``None``.  ``spans`` gives bounds per group, tight or not, and saves a pass.
+    ``guesses`` gives ranges per group that probably hold the answers; a wrong
+    guess costs a pass, never the result.
     Returns ``{(group, rank): value}``; ``ties`` receives, per key, how many rows
     have the value and how many rows of the group are below it.
     """
     src = df.select((F.col(group) if group else F.lit(None).cast("string")).alias("_g"),
                     F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    wanted = {g: sorted(set(rs)) for g, rs in ranks.items() if len(rs)}
-    if not wanted:
+    open_ranks = {g: sorted(set(rs)) for g, rs in ranks.items() if len(rs)}
+    if not open_ranks:
         return {}
     if spans is None:
-        found = src.where(_member("_g", wanted)).groupBy("_g").agg(F.min("_v"), F.max("_v")).collect()
+        found = src.where(_member(open_ranks)).groupBy("_g").agg(F.min("_v"), F.max("_v")).collect()
         spans = {r[0]: (r[1], r[2]) for r in found}
     whole = dict(src.dtypes)["_v"] in ("bigint", "int", "smallint", "tinyint")
-
     ties = {} if ties is None else ties
     done: dict[tuple, object] = {}
-    # an open bracket: (group, lo, hi) -> wanted ranks as (rank, rows of the group below lo)
-    brackets: dict[tuple, list] = {}
-    for g, rs in wanted.items():
+
+    # first pass: the guessed ranges are cut finely, the stretches between them are only counted
+    segments = []
+    for g in open_ranks:
         lo, hi = spans[g]
-        if lo == hi:
-            done.update({(g, r): lo for r in rs})
-        else:
-            brackets[(g, lo, hi)] = [(r, 0) for r in rs]
-    sizes: dict[tuple, int] = {}
+        at = lo
+        for a, b in _merged((guesses or {}).get(g) or [(lo, hi)]):
+            a, b = max(a, at), min(b, hi)
+            if a > b:
+                continue
+            if a > at:
+                segments.append(Segment(g, at, a, fine=False, closed=False))
+            segments.append(Segment(g, a, b, fine=True, closed=True))
+            at = b
+        if at < hi:
+            segments.append(Segment(g, at, hi, fine=False, closed=True))
+    targets = {g: [(r, 0) for r in rs] for g, rs in open_ranks.items()}
+    counted = _histogram(src, segments, bins, whole)
+    brackets = _locate(targets, {g: [r for k, s in enumerate(segments) if s.group == g for r in counted.get(k, [])]
+                                 for g in open_ranks}, done, ties)
 
+    # later passes: one bracket per undecided bin
     while brackets:
-        if all(k in sizes and sizes[k] <= small for k in brackets):
+        if all(n <= small for n, _ in brackets.values()):
             done.update(_finish(src, brackets, ties))
             break
-        bracket_id, bin_no = _binning(brackets, bins, whole)
-        hist = (src.select(bracket_id.alias("_b"), bin_no.alias("_i"), "_v").where(F.col("_b").isNotNull())
-                .groupBy("_b", "_i").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                         F.max("_v").alias("hi")).collect())
-        rows: dict[int, list] = {}
-        for r in hist:
-            rows.setdefault(r["_b"], []).append(r)
-        narrower: dict[tuple, list] = {}
-        sizes = {}
-        for b, (key, targets) in enumerate(brackets.items()):
-            g = key[0]
-            ordered = sorted(rows.get(b, []), key=lambda r: r["_i"])
-            for rank, below in targets:
-                at = below
-                for r in ordered:
-                    if rank < at + r["n"]:
-                        if r["lo"] == r["hi"]:
-                            done[(g, rank)] = r["lo"]
-                            ties[(g, rank)] = (r["n"], at)
-                        else:
-                            k = (g, r["lo"], r["hi"])
-                            narrower.setdefault(k, []).append((rank, at))
-                            sizes[k] = r["n"]
-                        break
-                    at += r["n"]
-                else:
-                    raise ValueError(f"rank {rank} is beyond the rows of group {g!r}")
+        segments = [Segment(g, lo, hi, fine=True, closed=True) for g, lo, hi in brackets]
+        counted = _histogram(src, segments, bins, whole)
+        narrower: dict = {}
+        for k, ((g, _, _), (_, wanted)) in enumerate(brackets.items()):
+            narrower.update(_locate({g: wanted}, {g: counted.get(k, [])}, done, ties))
         brackets = narrower
     return done
 
 
-def _member(column: str, groups) -> Column:
-    test = None
+@dataclass(frozen=True)
+class Segment:
+    """A stretch of one group's values; ``fine`` ones are cut into bins."""
+
+    group: object
+    lo: object
+    hi: object
+    fine: bool
+    closed: bool
+
+    def test(self) -> Column:
+        upper = F.col("_v") <= F.lit(self.hi) if self.closed else F.col("_v") < F.lit(self.hi)
+        return F.col("_g").eqNullSafe(F.lit(self.group)) & (F.col("_v") >= F.lit(self.lo)) & upper
+
+    def position(self, bins: int, whole: bool) -> Column:
+        if not self.fine or self.lo == self.hi:
+            return F.lit(0).cast("long")
+        if whole:
+            width = max(1, -(-(self.hi - self.lo + 1) // bins))
+            at = F.floor((F.col("_v") - F.lit(self.lo)) / F.lit(float(width)))
+        else:
+            at = F.floor((F.col("_v") - F.lit(self.lo)) * F.lit(bins / (self.hi - self.lo)))
+        return F.least(at, F.lit(bins - 1))
+
+
+def _member(groups) -> Column:
+    test = F.lit(False)
     for g in groups:
-        t = F.col(column).eqNullSafe(F.lit(g))
-        test = t if test is None else test | t
+        test = test | F.col("_g").eqNullSafe(F.lit(g))
     return test
 
 
-def _inside(key: tuple) -> Column:
-    g, lo, hi = key
-    return F.col("_g").eqNullSafe(F.lit(g)) & (F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi))
+def _merged(ranges: Sequence[tuple]) -> list[tuple]:
+    out: list[tuple] = []
+    for lo, hi in sorted(ranges):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
 
 
-def _binning(brackets: Mapping, bins: int, whole: bool) -> tuple[Column, Column]:
-    bracket_id = bin_no = None
-    for b, key in enumerate(brackets):
-        _, lo, hi = key
-        if whole:
-            width = max(1, -(-(hi - lo + 1) // bins))
-            position = F.floor((F.col("_v") - F.lit(lo)) / F.lit(float(width)))
-        else:
-            position = F.floor((F.col("_v") - F.lit(lo)) * F.lit(bins / (hi - lo)))
-        position = F.least(position, F.lit(bins - 1))
-        inside = _inside(key)
-        bracket_id = F.when(inside, F.lit(b)) if bracket_id is None else bracket_id.when(inside, F.lit(b))
-        bin_no = F.when(inside, position) if bin_no is None else bin_no.when(inside, position)
-    return bracket_id, bin_no
+def _histogram(src: DataFrame, segments: Sequence[Segment], bins: int, whole: bool) -> dict[int, list]:
+    """Rows, smallest and largest value per bin of each segment, in value order.  One aggregate."""
+    which = position = None
+    for k, segment in enumerate(segments):
+        test, at = segment.test(), segment.position(bins, whole)
+        which = F.when(test, F.lit(k)) if which is None else which.when(test, F.lit(k))
+        position = F.when(F.col("_b") == k, at) if position is None else position.when(F.col("_b") == k, at)
+    binned = src.withColumn("_b", which).where(F.col("_b").isNotNull()).select("_b", position.alias("_i"), "_v")
+    rows = binned.groupBy("_b", "_i").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
+                                          F.max("_v").alias("hi")).collect()
+    out: dict[int, list] = {}
+    for r in sorted(rows, key=lambda r: (r["_b"], r["_i"])):
+        out.setdefault(r["_b"], []).append(r)
+    return out
+
+
+def _locate(targets: Mapping[object, Sequence[tuple]], counted: Mapping[object, Sequence], done: dict,
+            ties: dict) -> dict[tuple, tuple]:
+    """Find the bin of each wanted rank: a single value settles it, else the bin becomes a bracket.
+
+    Brackets map (group, lo, hi) to (rows, [(rank, rows below lo)]).
+    """
+    brackets: dict[tuple, tuple] = {}
+    for g, wanted in targets.items():
+        for rank, below in wanted:
+            at = below
+            for r in counted[g]:
+                if rank < at + r["n"]:
+                    if r["lo"] == r["hi"]:
+                        done[(g, rank)] = r["lo"]
+                        ties[(g, rank)] = (r["n"], at)
+                    else:
+                        brackets.setdefault((g, r["lo"], r["hi"]), (r["n"], []))[1].append((rank, at))
+                    break
+                at += r["n"]
+            else:
+                raise ValueError(f"rank {rank} is beyond the rows of group {g!r}")
+    return brackets
 
 
 def _finish(src: DataFrame, brackets: Mapping, ties: dict) -> dict:
     """Read the few values left in each bracket, as value and count."""
-    bracket_id = None
-    for b, key in enumerate(brackets):
-        inside = _inside(key)
-        bracket_id = F.when(inside, F.lit(b)) if bracket_id is None else bracket_id.when(inside, F.lit(b))
-    left = (src.select(bracket_id.alias("_b"), "_v").where(F.col("_b").isNotNull())
+    which = None
+    for k, (g, lo, hi) in enumerate(brackets):
+        test = Segment(g, lo, hi, fine=True, closed=True).test()
+        which = F.when(test, F.lit(k)) if which is None else which.when(test, F.lit(k))
+    left = (src.select(which.alias("_b"), "_v").where(F.col("_b").isNotNull())
             .groupBy("_b", "_v").agg(F.count(F.lit(1)).alias("n")).collect())
     found = {}
-    for b, (key, targets) in enumerate(brackets.items()):
-        ordered = sorted(((r["_v"], r["n"]) for r in left if r["_b"] == b))
+    for k, ((g, _, _), (_, targets)) in enumerate(brackets.items()):
+        ordered = sorted((r["_v"], r["n"]) for r in left if r["_b"] == k)
         for rank, below in targets:
             at = below
             for v, n in ordered:
                 at += n
                 if rank < at:
-                    found[(key[0], rank)] = v
-                    ties[(key[0], rank)] = (n, at - n)
+                    found[(g, rank)] = v
+                    ties[(g, rank)] = (n, at - n)
                     break
     return found
 
 
+@dataclass(frozen=True)
+class ColumnFacts:
+    """How many values a column has, about how many different ones, and between which bounds."""
+
+    values: int
+    distinct: int
+    low: float | None
+    high: float | None
+
+
+def column_facts(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnFacts]:
+    if not columns:
+        return {}
+    row = df.agg(*[a for i, c in enumerate(columns) for a in (
+        F.count(number(c)).alias(f"n{i}"), F.approx_count_distinct(number(c)).alias(f"d{i}"),
+        F.min(number(c)).alias(f"l{i}"), F.max(number(c)).alias(f"h{i}"))]).first()
+    return {c: ColumnFacts(row[f"n{i}"], row[f"d{i}"], row[f"l{i}"], row[f"h{i}"]) for i, c in enumerate(columns)}
+
+
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-              state_limit: int = STATE_LIMIT, approx: bool = False) -> dict[str, dict[float, float | None]]:
+              state_limit: int = STATE_LIMIT, approx: bool = False, facts: Mapping[str, ColumnFacts] | None = None,
+              also: Mapping[str, Column] | None = None) -> dict[str, dict]:
     """Interpolated quantiles per column, missing values skipped.
 
     Exact by default.  ``approx=True`` uses ``percentile_approx``: one pass, no
     interpolation, for when an existing value close to the quantile will do.
+    ``facts`` saves the counting pass; its bounds may be too wide.  ``also`` names further aggregates to
+    read in the same pass; they come back under their names.
     """
     probabilities = [float(p) for p in probabilities]
-    nums = df.select(*[number(c).alias(c) for c in columns])
-    if approx:
-        row = nums.agg(*[F.percentile_approx(c, probabilities, 10000).alias(c) for c in columns]).first()
-        return {c: dict(zip(probabilities, row[c])) if row[c] else dict.fromkeys(probabilities) for c in columns}
-
-    facts = nums.agg(*[a for i, c in enumerate(columns) for a in (
-        F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
-        F.approx_count_distinct(c).alias(f"d{i}"))]).first()
+    extra = [c.alias(f"also:{name}") for name, c in (also or {}).items()]
     out: dict[str, dict] = {c: dict.fromkeys(probabilities) for c in columns}
-    present = [(i, c) for i, c in enumerate(columns) if facts[f"n{i}"] > 0]
-    few = [c for i, c in present if facts[f"d{i}"] <= state_limit]
-    many = [(i, c) for i, c in present if facts[f"d{i}"] > state_limit]
-    if few:
-        row = nums.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probabilities])).alias(c) for c in few]).first()
-        for c in few:
-            out[c] = dict(zip(probabilities, row[c]))
+    if approx:
+        few, many = list(columns), []
+        aggregates = [F.percentile_approx(number(c), probabilities, 10000).alias(c) for c in columns]
+    else:
+        facts = facts or column_facts(df, columns)
+        present = [c for c in columns if facts[c].values > 0]
+        few = [c for c in present if facts[c].distinct <= state_limit]
+        many = [c for c in present if facts[c].distinct > state_limit]
+        wanted = F.array(*[F.lit(p) for p in probabilities])
+        aggregates = [F.percentile(number(c), wanted).alias(c) for c in few]
+    if aggregates or extra:
+        row = df.agg(*aggregates, *extra).first()
+        out.update({c: dict(zip(probabilities, row[c])) for c in few if row[c]})
+        out.update({name: row[f"also:{name}"] for name in also or {}})
     if many:
-        long_form = nums.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("_c"), F.col(c).alias("_x")) for _, c in many])).alias("_s")).select("_s.*")
-        ranks, spans = {}, {}
-        for i, c in many:
-            last = facts[f"n{i}"] - 1
-            ranks[c] = [k for p in probabilities for k in (math.floor(last * p), math.ceil(last * p))]
-            spans[c] = (facts[f"lo{i}"], facts[f"hi{i}"])
-        cuts = exact_cuts(long_form, "_x", ranks, "_c", spans)
-        for i, c in many:
-            last = facts[f"n{i}"] - 1
-            for p in probabilities:
-                at = last * p
+        long_form = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("_c"), number(c).alias("_x")) for c in many])).alias("_s")).select("_s.*")
+        places = {c: [(facts[c].values - 1) * p for p in probabilities] for c in many}
+        cuts = exact_cuts(long_form, "_x", {c: [k for at in ats for k in (math.floor(at), math.ceil(at))]
+                                            for c, ats in places.items()}, "_c",
+                          {c: (facts[c].low, facts[c].high) for c in many})
+        for c, ats in places.items():
+            for p, at in zip(probabilities, ats):
                 a, b = cuts[(c, math.floor(at))], cuts[(c, math.ceil(at))]
                 out[c][p] = a if a == b else (math.ceil(at) - at) * a + (at - math.floor(at)) * b
     return out
 
 
 def medians(df: DataFrame, columns: Sequence[str], **options) -> dict[str, float | None]:
-    return {c: q[0.5] for c, q in quantiles(df, columns, [0.5], **options).items()}
+    found = quantiles(df, columns, [0.5], **options)
+    return {c: found[c][0.5] for c in columns}
 
 
 def prefix_sums(df: DataFrame, part: Sequence[str], order: Sequence[str], sums: Mapping[str, str],

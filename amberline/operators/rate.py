@@ -131,7 +131,8 @@ def top_per_tier(df: DataFrame, tier: str, score: str, key: str | Sequence[str],
     frame = (literal_rows(df.sparkSession, tier, tiers).join(totals, tier, "left")
              .withColumn("total", F.coalesce("total", F.lit(0))))
     note = F.when(F.col("total") == 0, F.replace(F.lit(presets.EMPTY_TIER_NOTE), F.lit("{tier}"), F.col(tier)))
-    return frame.join(best, tier, "left").withColumn("aviso", note)
+    listed = best.withColumn("puesto", F.col("puesto").cast("long"))  # cast after the filter, or the limit is not inferred
+    return frame.join(listed, tier, "left").withColumn("aviso", note).orderBy(tier, "puesto")
 
 
 def score_profile(df: DataFrame, score: str, tier: str, tiers: Sequence[str] = presets.TIERS, dp: int = 2) -> DataFrame:

@@ -8,6 +8,7 @@ class, no join, no shuffle of the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -55,12 +56,28 @@ def with_balanced_weights(df: DataFrame, label: str, out: str = "w") -> DataFram
 
 # --- cuts ---------------------------------------------------------------------------
 
+def _expected_ranges(ranks: Mapping[object, Sequence[int]], totals: Mapping[object, int]) -> dict[object, list[tuple]]:
+    """Hash ranges that hold the wanted ranks almost surely: uniform hashes, eight deviations each way."""
+    out = {}
+    for g, rs in ranks.items():
+        n = totals[g]
+        out[g] = []
+        for r in rs:
+            p = (r + 0.5) / n
+            margin = 8 * math.sqrt(p * (1 - p) / n) + 8 / n
+            lo, hi = max(0.0, p - margin), min(1.0, p + margin)
+            out[g].append((int(lo * draws.RANK_SPAN), min(int(hi * draws.RANK_SPAN), draws.RANK_SPAN - 1)))
+    return out
+
+
 def _cut_points(df: DataFrame, hashed: Column, key: str, ranks: Mapping[object, Sequence[int]],
-                label: str | None) -> dict[tuple, tuple]:
+                label: str | None, totals: Mapping[object, int]) -> dict[tuple, tuple]:
     """Per (class, rank) the hash found there; equal hashes at a cut are settled by the key."""
     work = df.select(*([label] if label else []), F.col(key).alias("_k"), hashed.alias("_h"))
     ties: dict = {}
-    cuts = exact_cuts(work, "_h", ranks, label, {g: (0, draws.RANK_SPAN - 1) for g in ranks}, ties=ties)
+    ranks = {g: rs for g, rs in ranks.items() if rs}
+    cuts = exact_cuts(work, "_h", ranks, label, {g: (0, draws.RANK_SPAN - 1) for g in ranks},
+                      _expected_ranges(ranks, totals), ties=ties)
     out = {}
     for (g, rank), h in cuts.items():
         rows, below = ties[(g, rank)]
@@ -82,27 +99,30 @@ def _up_to(hashed: Column, key: str, cut: tuple) -> Column:
     return (hashed < F.lit(h)) | ((hashed == F.lit(h)) & (F.col(key) <= F.lit(k)))
 
 
-def sample_rows(df: DataFrame, key: str, k: int, seed: int, method: str = "md5") -> DataFrame:
+def sample_rows(df: DataFrame, key: str, k: int, seed: int, method: str = "xxhash64") -> DataFrame:
     """Exactly ``k`` rows (all rows if there are fewer) without replacement."""
-    return df.where(sample_mask(df, key, [k], seed, method)[0])
+    return with_sample_group(df, key, [k], seed, "_group", method).where(F.col("_group") == 0).drop("_group")
+
 
+def with_sample_group(df: DataFrame, key: str, sizes: Sequence[int], seed: int, out: str,
+                      method: str = "xxhash64") -> DataFrame:
+    """Number of the group a row was sampled into, NULL for the rest.
 
-def sample_mask(df: DataFrame, key: str, sizes: Sequence[int], seed: int, method: str = "md5") -> list[Column]:
-    """Masks of consecutive disjoint groups of one sample, cut by sample position."""
+    One sample without replacement is cut by sample position into consecutive
+    groups of the given sizes; the groups are ranges of the row's hash.
+    """
     hashed = draws.rank_hash(seed, key, method)
     total = df.count()
     ends, at = [], 0
     for size in sizes:
         at += size
-        ends.append(at)
-    wanted = [e - 1 for e in ends if 0 < e < total]
-    cuts = _cut_points(df, hashed, key, {None: wanted}, None) if wanted else {}
-    masks, previous = [], None
-    for e in ends:
-        upto = F.lit(e > 0) if e >= total or e == 0 else _up_to(hashed, key, cuts[(None, e - 1)])
-        masks.append(upto if previous is None else upto & ~previous)
-        previous = upto
-    return masks
+        ends.append(min(at, total))
+    cuts = _cut_points(df, hashed, key, {None: [e - 1 for e in ends if e > 0]}, None, {None: total})
+    group = F.lit(None).cast("int")
+    for i in reversed(range(len(ends))):
+        if ends[i] > 0:
+            group = F.when(_up_to(F.col("_h"), key, cuts[(None, ends[i] - 1)]), F.lit(i)).otherwise(group)
+    return df.withColumn("_h", hashed).withColumn(out, group).drop("_h")
 
 
 # --- split and folds ----------------------------------------------------------------
@@ -127,12 +147,12 @@ def allocate_test(counts: Mapping[object, int], test_share: float) -> dict[objec
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.2, seed: int = 42,
-                     out: str = "is_test", method: str = "md5") -> DataFrame:
+                     out: str = "is_test", method: str = "xxhash64") -> DataFrame:
     """Adds a boolean test mark with exact sizes per class; rows without a label get NULL."""
     counts = class_counts(df, label)
     n_test = allocate_test(counts, test_share)
     hashed = draws.rank_hash(seed, key, method)
-    cuts = _cut_points(df, hashed, key, {c: [n - 1] for c, n in n_test.items() if n > 0}, label)
+    cuts = _cut_points(df, hashed, key, {c: [n - 1] for c, n in n_test.items() if n > 0}, label, counts)
     mark = None
     for c, n in n_test.items():
         test = _up_to(F.col("_h"), key, cuts[(c, n - 1)]) if n > 0 else F.lit(False)
@@ -142,7 +162,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42, out: str = "fold",
-                     method: str = "md5", rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+                     method: str = "xxhash64", rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Shuffled stratified folds: one round-robin over the rows sorted by (class, hash, key).
 
     The rank inside a class is the number of rows in lower hash slices plus the
@@ -203,5 +223,5 @@ def block_folds(df: DataFrame, order: str, label: str, k: int = 3, out: str = "f
     return df.withColumn(out, fold)
 
 
-def bernoulli_mask(key: str, p: float, seed: int, salt: str = "mask", method: str = "md5") -> Column:
+def bernoulli_mask(key: str, p: float, seed: int, salt: str = "mask", method: str = "xxhash64") -> Column:
     return draws.uniform(seed, salt, key, method) < F.lit(float(p))

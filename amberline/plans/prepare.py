@@ -37,17 +37,16 @@ def rule_terms(rain="lluvia_mm", visibility="visibilidad_km", flow="flujo_vehicu
 
 
 def with_rule_score(df: DataFrame, key: str, seed: int, noise_sd: float = presets.SCORE_NOISE_SD,
-                    method: str = "md5") -> DataFrame:
+                    method: str = "xxhash64") -> DataFrame:
     noise = None
     if noise_sd:
-        df = df.withColumns({"_n1": draws.uniform(seed, "noise.a", key, method),
-                             "_n2": draws.uniform(seed, "noise.b", key, method)})
-        noise = draws.standard_normal(F.col("_n1"), F.col("_n2")) * F.lit(float(noise_sd))
+        df = df.withColumn("_u", draws.uniforms(seed, ["noise.a", "noise.b"], key, method))
+        noise = F.expr(draws.normal_text("_u[0]", "_u[1]")) * F.lit(float(noise_sd))
     scored = df.withColumn("score_riesgo", scorecard(rule_terms(), noise))
-    return scored.withColumn(presets.TARGET, tier_from_rule_score("score_riesgo")).drop("_n1", "_n2")
+    return scored.withColumn(presets.TARGET, tier_from_rule_score("score_riesgo")).drop("_u")
 
 
-def build_accidents(base: DataFrame, key: str, seed: int = 42, method: str = "md5") -> DataFrame:
+def build_accidents(base: DataFrame, key: str, seed: int = 42, method: str = "xxhash64") -> DataFrame:
     """One accident per row of ``base``, whose ``key`` counts rows from 0: 23 columns, score and tier."""
     drawn = synthesize(base, key, presets.accident_spec(), seed, method)
     drawn = drawn.withColumns({"id_siniestro": padded_id("SIN-2024-", F.col(key) + 1, 5),
@@ -63,7 +62,8 @@ def accidents(spark: SparkSession, n: int = 5000, seed: int = 42) -> DataFrame:
 
 def dirty_accidents(df: DataFrame, key: str = "id_siniestro", seed: int = 42, outliers: int = presets.OUTLIERS_PER_COLUMN,
                     bad_dates: int = presets.BAD_DATE_ROWS, copies: int = presets.COPIED_ROWS,
-                    method: str = "md5") -> DataFrame:
+                    method: str = "xxhash64") -> DataFrame:
+    """The table with gaps, absurd values, bad dates and copies; ``df`` should be a stored table."""
     out = inject_nulls(df, key, presets.NULLABLE_COLUMNS, presets.NULL_RATE, seed, method)
     out = inject_outliers(out, key, presets.OUTLIERS, outliers, seed + 1, method)
     out = inject_texts(out, key, "fecha", presets.BAD_DATES, bad_dates, seed + 2, method)
@@ -122,7 +122,7 @@ def serving_features(df: DataFrame, labels: Mapping[str, Sequence[str]] | None =
     return encode(derived, labels or from_catalogs(presets.SERVING_CATALOGS))
 
 
-def build_routes(base: DataFrame, key: str, seed: int = 99, method: str = "md5") -> DataFrame:
+def build_routes(base: DataFrame, key: str, seed: int = 99, method: str = "xxhash64") -> DataFrame:
     """One route to score per row of ``base``, whose ``key`` counts rows from 0."""
     drawn = synthesize(base, key, presets.route_spec(), seed, method)
     return drawn.select(padded_id("RUTA-", F.col(key) + 1, 3).alias("ruta_id"),

@@ -28,8 +28,8 @@ class Trained:
 
 
 def split_table(df: DataFrame, key: str, target: str, share: float = presets.TEST_SHARE,
-                seed: int = presets.SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
-    marked = stratified_split(df, key, target, share, seed)
+                seed: int = presets.SPLIT_SEED, method: str = "xxhash64") -> tuple[DataFrame, DataFrame]:
+    marked = stratified_split(df, key, target, share, seed, method=method)
     return (marked.where(~F.col("is_test")).drop("is_test"), marked.where(F.col("is_test")).drop("is_test"))
 
 

@@ -11,23 +11,19 @@ from ..functions import draws
 from ..functions.scalar import padded_id, step_date_text
 
 
-def synthesize(base: DataFrame, key: str, spec: Sequence[tuple], seed: int, method: str = "md5",
+def synthesize(base: DataFrame, key: str, spec: Sequence[tuple], seed: int, method: str = "xxhash64",
                keep: Sequence[str] = ()) -> DataFrame:
     """One drawn row per row of ``base``; ``key`` must identify rows.
 
     A narrow plan at any size: no shuffle and no dependence on partitioning.
-    The uniforms are projected first and the draws refer to them.
+    The uniforms are projected first, as one array, and the draws refer to it.
     """
-    uniforms, columns = {}, {}
-    for name, kind, *args in spec:
-        refs = []
-        for part in draws.uniforms_needed(kind):
-            ref = f"_u_{name}{part.replace('.', '_')}"
-            uniforms[ref] = draws.uniform(seed, name + part, key, method)
-            refs.append(F.col(ref))
-        columns[name] = draws.draw(kind, args, refs)
+    salts = [name + part for name, kind, *_ in spec for part in draws.uniforms_needed(kind)]
+    at = {salt: f"_u[{i}]" for i, salt in enumerate(salts)}
+    columns = {name: draws.draw(kind, args, [at[name + part] for part in draws.uniforms_needed(kind)])
+               for name, kind, *args in spec}
     kept = [key, *[k for k in keep if k != key]]
-    projected = base.select(*kept, *[c.alias(n) for n, c in uniforms.items()])
+    projected = base.select(*kept, draws.uniforms(seed, salts, key, method).alias("_u"))
     return projected.select(*kept, *[c.alias(n) for n, c in columns.items()])
 
 

@@ -56,6 +56,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if the input has fewer splits than that, unchanged otherwise.
+
+    For work that is heavy per row on a small input, say a file that is one
+    row group.  A large table has more splits than cores and is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 # --- reading -------------------------------------------------------------------
 
 def read_table_or_csv(spark: SparkSession, name: str, path: str, schema: T.StructType) -> DataFrame:
