@@ -23,6 +23,7 @@ FOREST = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 5}
 BOOSTED = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
            "minInstancesPerNode": 3}
 PLAIN = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+QUICK = {"maxIter": 2, "maxDepth": 4, "stepSize": 0.3}  # where scoring is the point
 SMALL_GRID = {"stepSize": [0.1], "maxDepth": [2, 4], "maxIter": [3], "subsamplingRate": [0.8]}
 KEY = "id_siniestro"
 
@@ -79,9 +80,8 @@ def prediction_table(spark, d):
     return train.prediction_table(done, KEY, presets.FEATURES)
 
 
-def _fitted(spark, d, rows=None):
-    rows = model_rows(spark, d) if rows is None else rows
-    return models.fit_model(rows, "boosted", presets.FEATURES, presets.TARGET, PLAIN, weighted=True)
+def _fitted(spark, d):
+    return models.fit_model(model_rows(spark, d), "boosted", presets.FEATURES, presets.TARGET, QUICK, weighted=True)
 
 
 @query("importances")
@@ -92,7 +92,8 @@ def importances(spark, d):
 @query("boosting_curve")
 def boosting_curve(spark, d):
     fit_rows, test = _split(spark, d)
-    return models.boosting_curve(_fitted(spark, d, fit_rows), test, presets.TARGET, every=1)
+    model = models.fit_model(fit_rows, "boosted", presets.FEATURES, presets.TARGET, PLAIN)
+    return models.boosting_curve(model, test, presets.TARGET, every=1)
 
 
 @query("fold_scores")
@@ -174,7 +175,7 @@ def streamed_first_events(spark, d):
 def three_jobs(spark, d):
     """Dirty accidents to clean table, model and rated routes with the fitted labels and maxima."""
     prepared = prepare.clean_accidents(orders_as_dirty_accidents(spark, d))
-    done = train.train_and_compare(prepared.table, KEY, settings={"boosted": PLAIN})
+    done = train.train_and_compare(prepared.table, KEY, settings={"boosted": QUICK})
     top = prepared.stats.maxima
     rated = rate_routes.rate_routes(_routes(spark, d), done.models["boosted"], prepared.labels,
                                     top["lluvia_mm"], top["visibilidad_km"])

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number, round_half_even
@@ -61,10 +60,12 @@ def value_counts(df: DataFrame, column: str, domain: Sequence | None = None) ->
 def value_shares(df: DataFrame, column: str, dp: int = 1) -> DataFrame:
     """Percent of the non-missing rows by value, as number and as text.
 
-    The window runs over the counts, one row per value, not over the data.
+    The total is a scalar subquery, so no task sees the counts of all values.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("n").cast("double") / F.sum("n").over(W.partitionBy()) * F.lit(100.0)
+    known = df.where(F.col(column).isNotNull())
+    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    total = known.select(F.count(F.lit(1))).scalar()
+    share = F.col("n").cast("double") / total * F.lit(100.0)
     percent = round_half_even(share, dp)
     return (counts.select(column, "n", percent.alias("percent"))
             .withColumn("percent_text", F.format_string(f"%.{dp}f%%", F.col("percent")))

@@ -61,6 +61,7 @@ def spread(df: DataFrame) -> DataFrame:
 
     For work that is heavy per row on a small input, say a file that is one
     row group.  A large table has more splits than cores and is not moved.
+    ``df`` should be a scan with at most projections and filters on it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = df._jdf.queryExecution().toRdd().getNumPartitions()

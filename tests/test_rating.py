@@ -52,7 +52,8 @@ def test_lists_per_tier(spark):
 
 
 def test_lists_limit_before_the_shuffle(spark):
-    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").cast("double").alias("s"), F.lit("BAJO").alias("t"))
+    tier = F.when(F.col("id") % 100 == 0, "ALTO").otherwise("BAJO")  # nearly all rows in one tier
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").cast("double").alias("s"), tier.alias("t"))
     plan = rate.top_per_tier(df, "t", "s", "k")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
 
