@@ -44,7 +44,7 @@ def exact_cuts(df: DataFrame, value: str, ranks: Mapping[object, Sequence[int]],
     have the value and how many rows of the group are below it.
     """
     src = df.select((F.col(group) if group else F.lit(None).cast("string")).alias("_g"),
-                    F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+                    F.col(value).alias("_v"))
     open_ranks = {g: sorted(set(rs)) for g, rs in ranks.items() if len(rs)}
     if not open_ranks:
         return {}
@@ -132,17 +132,21 @@ def _merged(ranges: Sequence[tuple]) -> list[tuple]:
 
 
 def _histogram(src: DataFrame, segments: Sequence[Segment], bins: int, whole: bool) -> dict[int, list]:
-    """Rows, smallest and largest value per bin of each segment, in value order.  One aggregate."""
+    """Rows, smallest and largest value per bin of each segment, in value order.  One aggregate.
+
+    Rows outside all segments form one more group that is left out at the end;
+    a filter would be pushed down and compute the value again in every test.
+    """
     which = position = None
     for k, segment in enumerate(segments):
         test, at = segment.test(), segment.position(bins, whole)
         which = F.when(test, F.lit(k)) if which is None else which.when(test, F.lit(k))
         position = F.when(F.col("_b") == k, at) if position is None else position.when(F.col("_b") == k, at)
-    binned = src.withColumn("_b", which).where(F.col("_b").isNotNull()).select("_b", position.alias("_i"), "_v")
+    binned = src.withColumn("_b", which).select("_b", position.alias("_i"), "_v")
     rows = binned.groupBy("_b", "_i").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
                                           F.max("_v").alias("hi")).collect()
     out: dict[int, list] = {}
-    for r in sorted(rows, key=lambda r: (r["_b"], r["_i"])):
+    for r in sorted((r for r in rows if r["_b"] is not None), key=lambda r: (r["_b"], r["_i"])):
         out.setdefault(r["_b"], []).append(r)
     return out
 
@@ -177,8 +181,8 @@ def _finish(src: DataFrame, brackets: Mapping, ties: dict) -> dict:
     for k, (g, lo, hi) in enumerate(brackets):
         test = Segment(g, lo, hi, fine=True, closed=True).test()
         which = F.when(test, F.lit(k)) if which is None else which.when(test, F.lit(k))
-    left = (src.select(which.alias("_b"), "_v").where(F.col("_b").isNotNull())
-            .groupBy("_b", "_v").agg(F.count(F.lit(1)).alias("n")).collect())
+    near = src.withColumn("_b", which).select("_b", F.when(F.col("_b").isNotNull(), F.col("_v")).alias("_v"))
+    left = near.groupBy("_b", "_v").agg(F.count(F.lit(1)).alias("n")).collect()
     found = {}
     for k, ((g, _, _), (_, targets)) in enumerate(brackets.items()):
         ordered = sorted((r["_v"], r["n"]) for r in left if r["_b"] == k)
