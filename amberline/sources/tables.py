@@ -18,6 +18,9 @@ log = logging.getLogger(__name__)
 
 # --- shared folder -------------------------------------------------------------
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can read: the session's ``spark.checkpoint.dir``.
 
@@ -29,9 +32,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="amberline-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="amberline-")
+    return _local_folders[app]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -1,8 +1,23 @@
+from types import SimpleNamespace
+
 import pytest
 
 from amberline.sources import tables
 
 
+def session(master, configured=None):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: configured or default),
+                           sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"))
+
+
+def test_staging_folder():
+    assert tables.shared_folder(session("yarn", "/shared/x")) == "/shared/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_folder(session("yarn"))
+    made = tables.shared_folder(session("local[2]"))
+    assert made == tables.shared_folder(session("local[2]"))
+
+
 def frame(spark):
     return spark.createDataFrame([(1, "a", 1.5), (2, None, None)], "i int, t string, x double")
 
