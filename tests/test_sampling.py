@@ -104,3 +104,11 @@ def test_split_never_shuffles_the_rows(spark):
     df = classes(spark, SKEWED).select("k", "y", F.lit("payload").alias("p"))
     plan = sample.stratified_split(df, "k", "y")._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Join" not in plan and "Sort" not in plan
+
+
+def test_folds_refuse_a_hot_key(spark):
+    """Two thirds of the rows share a key: an error, not one task with all of them."""
+    key = F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1))
+    df = spark.range(30000).select(key.alias("k"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("y"))
+    with pytest.raises(Exception, match="does not identify rows"):
+        sample.stratified_folds(df.where("y = 'a'").unionByName(df), "k", "y", 5, rows_per_slice=100).collect()
