@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, url_rules
+from . import chat, decontaminate, line_dedup, mixing, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,12 +22,28 @@ def query(name: str):
     return register
 
 
+@query("op1_line_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.drop_lines(docs, line_dedup.line_bitmaps(docs)).drop("text")
+
+
 @query("op3_benchmark_decontamination")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.match_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op6_chat_formatting")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and -1, whose texts look like control strings."""
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(turns.unionByName(probe)))
+
+
 RULES = [url_rules.Rule("org", "/", "allow"), url_rules.Rule("example.org", "/es/", "block"), url_rules.Rule("example.org", "/en/1", "block"),
          url_rules.Rule("com", "/fr/", "allow"), url_rules.Rule("com", "/de/", "block")]
 
