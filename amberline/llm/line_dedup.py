@@ -133,7 +133,7 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines, ends = batch.column("lines").values.to_numpy(), batch.column("lines").offsets.to_numpy()
         maps = []
         for a, b in zip(ends[:-1], ends[1:]):
-            keep = np.ones(int(lines[a:b].max()) + 1, dtype=bool)
+            keep = np.ones((int(lines[a:b].max()) // 8 + 1) * 8, dtype=bool)
             keep[lines[a:b]] = False
             maps.append(zlib.compress(np.packbits(keep).tobytes()))
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array((ends[1:] - ends[:-1]).astype(np.int64)),
