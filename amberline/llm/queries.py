@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, line_dedup, mixing, quality, url_rules
+from . import chat, decontaminate, language, line_dedup, mixing, near_dedup, quality, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(probe)))
 
 
+@query("op8_near_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 RULES = [url_rules.Rule("org", "/", "allow"), url_rules.Rule("example.org", "/es/", "block"), url_rules.Rule("example.org", "/en/1", "block"),
          url_rules.Rule("com", "/fr/", "allow"), url_rules.Rule("com", "/de/", "block")]
 
