@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, line_dedup, mixing, near_dedup, quality, url_rules
+from . import chat, decontaminate, language, line_dedup, mixing, near_dedup, quality, substring_dedup, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(probe)))
 
 
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substring_dedup.drop_repeated_words(docs, substring_dedup.repeated_words(docs)).drop("text")
+
+
 @query("op8_near_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))

@@ -136,25 +136,25 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[:-rest], m[rest:]) if rest else m
 
 
+PLACE_BITS = 24
+SEGMENT = 1 << 22
+
+
 def winnow(grams: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows that choose the same gram: (gram position, first window, last window).
 
-    A window is w consecutive grams and chooses the leftmost of its smallest hashes, which depends on
-    its contents alone: equal windows choose the same gram at the same place.
+    A window is w consecutive grams and chooses the leftmost of those whose hashes, without their low bits, are smallest.
+    That depends on its contents alone: equal windows choose the same gram at the same place.
     """
     if len(grams) < w:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty
-    bits = U64(max(1, int(len(grams)).bit_length()))
-    low = U64((1 << int(bits)) - 1)
-    key = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    at = (sliding_min(key, w) & low).astype(np.int64)
+    low = U64((1 << PLACE_BITS) - 1)
+    at = np.empty(len(grams) - w + 1, dtype=np.int64)
+    for s in range(0, len(at), SEGMENT):
+        piece = grams[s:s + SEGMENT + w - 1]
+        at[s:s + SEGMENT] = (sliding_min((piece & ~low) | np.arange(len(piece), dtype=np.uint64), w) & low).astype(np.int64) + s
     change = np.flatnonzero(at[1:] != at[:-1]) + 1
     first = np.concatenate(([0], change))
     last = np.concatenate((change - 1, [len(at) - 1]))
     return at[first], first, last
-
-
-def rows_of(spans: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Index of the text that holds each position."""
-    return np.searchsorted(offsets, spans, side="right") - 1
