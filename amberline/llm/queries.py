@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, line_dedup, mixing, near_dedup, quality, substring_dedup, url_rules
+from . import chat, decontaminate, language, line_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.drop_lines(docs, line_dedup.line_bitmaps(docs)).drop("text")
 
 
+@query("op2_suffix_array_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return suffix_dedup.drop_bytes(docs, suffix_dedup.removed_bytes(docs)).drop("text")
+
+
 @query("op3_benchmark_decontamination")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.match_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
