@@ -85,15 +85,16 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0,
-                key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """(key, source, size, source_size, target, copies, taken) for each row of ``docs``.
+                key: str = "doc_id", source: str = "source", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, source, the columns ``keep``, size, source_size, target, copies, taken) for each row of ``docs``.
 
     Every document is taken floor(target / source_size) times, and once more if its hash is below the source's threshold.
     A null text has no words and is never taken; a null source is a source; a null key hashes like the text "null".  Rows with the
-    same key share a hash, so they are taken together.  An empty table gives no rows.  Other columns are ignored.
+    same key share a hash, so they are taken together.  An empty table gives no rows.  Other columns do not matter.
     """
-    rows = checkpointed(docs.select(F.col(key).alias("id"), F.col(source).alias("source"), word_count(text).alias("size"),
-                                    hash60(F.col(key), seed).alias("h")))
+    base = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), word_count(text).alias("size"), hash60(F.col(key), seed).alias("h"),
+                       *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
+    rows = checkpointed(base.select("id", "source", "size", "h"))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = checkpointed(targets(sizes, weights, share, most))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -102,7 +103,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     goal = checkpointed(goal.select(F.col("source").alias("s"), "source_size", "target", "whole")
                         .join(cut.select(F.col("source").alias("s2"), "threshold"), F.col("s").eqNullSafe(F.col("s2"))))
     copies = F.col("whole") + F.when((F.col("h") < F.col("threshold")) & (F.col("whole") < F.lit(int(most))), 1).otherwise(0)
-    return (rows.join(small_side(goal), F.col("source").eqNullSafe(F.col("s")))
+    return ((base if keep else rows).join(small_side(goal), F.col("source").eqNullSafe(F.col("s")))
             .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0).cast("long"))
-            .select(F.col("id").alias(key), F.col("source").alias(source), "size", "source_size", F.col("target").cast("double").alias("target"),
-                    "copies", (F.col("size") * F.col("copies")).alias("taken")))
+            .select(F.col("id").alias(key), F.col("source").alias(source), *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "size",
+                    "source_size", F.col("target").cast("double").alias("target"), "copies", (F.col("size") * F.col("copies")).alias("taken")))

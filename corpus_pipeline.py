@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, line dedup, near-dedup, benchmark decontamination, mixing.
 
-STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame.  Null and
-empty texts, repeated rows and empty tables are handled as the operators' docstrings say; further columns are dropped.
+STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame.  All but the last
+return the columns of ``documents``, with n_chars the length of the text as it is then; further columns are dropped.  Null and empty
+texts, repeated rows and empty tables are handled as the operators' docstrings say.
 """
 
 from __future__ import annotations
@@ -9,12 +10,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amberline.llm import decontaminate, mixing
-from amberline.llm.common import checkpointed, table
+from amberline.llm import decontaminate, line_dedup, mixing, near_dedup, quality
+from amberline.llm.common import WORD, checkpointed, small_side, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: The quality labelling cannot be said in SQL.
+#: The labelling of lines cannot be said in SQL.
 ORACLE_SQL = None
+#: Ids of dropped near copies up to this number are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose words are mostly in content lines.  Texts without words go."""
+    crf = quality.fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, crf, keep=tuple(COLUMNS)).where("kept").select(COLUMNS)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines in at least 10 documents stay only where they come first; documents that lose all their words go.
+
+    Every line that goes is still in the first document that has it.
+    """
+    docs = docs.select(COLUMNS)
+    out = line_dedup.drop_lines(docs, line_dedup.line_bitmaps(docs, keep_first=True))
+    emptied = (F.col("n_dropped") > 0) & ~F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    return out.where(~emptied).withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(COLUMNS)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near copies.  Rows that share an id stand or fall together."""
+    dropped = checkpointed(near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct())
+    return docs.select(COLUMNS).join(small_side(dropped, BROADCAST_IDS), "doc_id", "left_anti").select(COLUMNS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +56,17 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup_stage),
     ("benchmark_decontamination", benchmark_decontamination),
     ("mixing_sources", mixing_sources),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what is between two stages is in the shared checkpoint folder."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = checkpointed(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
