@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -178,28 +179,29 @@ _built: OrderedDict[tuple, Automaton] = OrderedDict()
 
 
 def _automaton(block, min_words: int) -> Automaton:
-    """The automaton of a broadcast block; a worker keeps the two used last."""
-    key = (block.id if hasattr(block, "id") else id(block), min_words)
+    """The automaton of a broadcast block, by the block's name; a worker keeps the two used last."""
+    name, items = block.value
+    key = (name, min_words)
     if key not in _built:
         while len(_built) > 1:
             _built.popitem(last=False)
-        _built[key] = Automaton([(name, words_of(text)) for name, text in block.value], min_words)
+        _built[key] = Automaton([(item, words_of(text)) for item, text in items], min_words)
     _built.move_to_end(key)
     return _built[key]
 
 
 def item_blocks(items: DataFrame, key: str, text: str, block_words: int) -> list:
-    """Broadcast blocks of (item id, text).  Items stream to the driver, which holds one block at a time."""
+    """Broadcast blocks (unique name, [(item id, text), ...]).  Items stream to the driver, which holds one block at a time."""
     sc = items.sparkSession.sparkContext
     out, block, size = [], [], 0
     for name, body in items.select(F.col(key).cast("string"), F.col(text)).where(F.col(text).isNotNull()).toLocalIterator():
         n = len(words_of(body))
         if block and size + n > block_words:
-            out.append(sc.broadcast(block))
+            out.append(sc.broadcast((uuid4().hex, block)))
             block, size = [], 0
         block.append((name if name is not None else "null", body))
         size += n
-    return [*out, sc.broadcast(block)] if block else out
+    return [*out, sc.broadcast((uuid4().hex, block))] if block else out
 
 
 def match_items(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, block_words: int = BLOCK_WORDS, key: str = "doc_id",

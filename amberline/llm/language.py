@@ -172,7 +172,7 @@ def identify(docs: DataFrame, languages: dict[str, np.ndarray]) -> DataFrame:
     the first by name wins.  Null and repeated ids are kept; an empty table gives no rows; other columns do not matter.
     """
     sc = docs.sparkSession.sparkContext
-    matrix = np.array(list(languages.values()), dtype=np.float32).reshape(len(languages), -1)
+    matrix = np.array(list(languages.values()), dtype=np.float32)
     rows = docs.select("doc_id", held_out().alias("held_out"), F.col("text").alias("_text"))
     schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
     return map_arrow(rows, _predict(sc.broadcast((list(languages), matrix))), schema)
