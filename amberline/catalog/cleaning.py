@@ -64,7 +64,7 @@ _PARSED = (f"coalesce(try_strptime({_STRIPPED}, '%Y-%m-%d'), try_strptime({_STRI
 
 def _date_texts(spark: SparkSession, d: str) -> DataFrame:
     """Order dates written in the three formats, padded with blanks, or spoilt, by key; written once."""
-    o = spread(table(spark, d, "orders").select("o_orderkey", "o_orderdate"))
+    o = spread(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
     k = F.col("o_orderkey") % 8
     iso, dmy, ymd = (F.date_format("o_orderdate", f) for f in presets.DATE_FORMATS)
     text = (F.when(k == 0, dmy).when(k == 1, ymd).when(k == 2, "31/13/2024").when(k == 3, "2024-99-01")
@@ -107,7 +107,7 @@ _ROW = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 def _gappy_lines(spark: SparkSession, d: str) -> DataFrame:
     """Line items with gaps in the three checked columns, by hash of the row's identity; written once."""
     row = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    lines = spread(_lines(spark, d, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", *RULES))
+    lines = spread(_lines(spark, d, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", *RULES), "l_orderkey")
     u = draws.uniforms(11, [f"gap.{c}" for c in RULES], "_row", "md5")
     gaps = {c: F.when(F.col("_u")[i] < 0.08, F.lit(None)).otherwise(F.col(c)) for i, c in enumerate(RULES)}
     return stage(lines.withColumn("_row", row).withColumn("_u", u).withColumns(gaps).drop("_u", "_row"), "gaps")
@@ -222,9 +222,7 @@ def clean_summary_query(spark, d):
 @query("stats_from_train_rows")
 def stats_from_train_rows(spark, d):
     """Cleaning whose medians and maxima come from the training share only."""
-    dirty = orders_as_dirty_accidents(spark, d)
-    train = dirty.where(bernoulli_mask("id_siniestro", 0.8, 5))
-    return clean_accidents(dirty, fit_on=train).table
+    return clean_accidents(orders_as_dirty_accidents(spark, d), fit_on=bernoulli_mask("id_siniestro", 0.8, 5)).table
 
 
 # --- encoding -------------------------------------------------------------------------------------------

@@ -1,11 +1,11 @@
 """Models, validation, scoring and streams on accidents and routes made from orders.
 
-No SQL counterpart exists for fitted trees; tests check these by invariants.
-The settings are small so that a check run is quick; ``presets`` has the full ones.
+No SQL counterpart exists for fitted trees; ``evidence`` and the tests check these by invariants.
 """
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,70 +18,89 @@ from ..streaming import feed
 from .registry import query, table
 from .synthesis import orders_as_dirty_accidents
 
-LOGISTIC = {"maxIter": 30}
-FOREST = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 5}
-BOOSTED = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
-           "minInstancesPerNode": 3}
-PLAIN = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
-QUICK = {"maxIter": 2, "maxDepth": 4, "stepSize": 0.3}  # where scoring is the point
-SMALL_GRID = {"stepSize": [0.1], "maxDepth": [2, 4], "maxIter": [3], "subsamplingRate": [0.8]}
+#: The labelled rows a model is fitted on, at most; every query scores all its rows.  The reference trains on 4,000.
+FIT_ROWS = 2_000
+SETTINGS = {"logistic": (presets.LOGISTIC, True), "forest": (presets.FOREST, True), "boosted": (presets.BOOSTED_WEIGHTED, True),
+            "boosted_plain": (presets.BOOSTED_PLAIN, False)}
+#: The grid's settings with a tenth of the rounds: 48 fits of three boosters each, which are Spark jobs by the thousand.
+GRID = {**presets.GRID, "maxIter": [n // 10 for n in presets.GRID["maxIter"]]}
 KEY = "id_siniestro"
 
 
-def model_rows(spark: SparkSession, d: str) -> DataFrame:
+def model_rows(spark: SparkSession, d: str, method: str = "md5") -> DataFrame:
     """Accidents of all orders with features, no fitted statistics; written once, as training reads it often."""
-    rows = prepare.serving_features(prepare.build_accidents(spread(table(spark, d, "orders").select("o_orderkey")), "o_orderkey"))
+    keys = spread(table(spark, d, "orders").select("o_orderkey"), "o_orderkey")
+    rows = prepare.serving_features(prepare.build_accidents(keys, "o_orderkey", method=method))
     rows = rows.withColumn("n", F.regexp_extract(KEY, r"(\d+)$", 1).cast("long"))
     return stage(rows.select(KEY, "n", *presets.FEATURES, presets.TARGET), "model-rows")
 
 
+_models: dict[tuple, PipelineModel] = {}
+
+
 def _split(spark, d):
-    return train.split_table(model_rows(spark, d), KEY, presets.TARGET)
+    return train.split_table(model_rows(spark, d), KEY, presets.TARGET, method="md5")
+
+
+def fitted(spark: SparkSession, d: str, kind: str) -> PipelineModel:
+    """A model with the full preset settings, fitted once in a session and then used by all queries."""
+    name = (spark.sparkContext.applicationId, d, kind)
+    if name not in _models:
+        params, weighted = SETTINGS[kind]
+        rows = train.bounded(_split(spark, d)[0], KEY, presets.TARGET, FIT_ROWS)
+        _models[name] = models.fit_model(rows, kind.split("_")[0], presets.FEATURES, presets.TARGET, params, weighted)
+    return _models[name]
+
 
+def scored_test_rows(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    return models.class_probabilities(fitted(spark, d, kind), _split(spark, d)[1])
 
-def _scores(spark, d, kind, params, weighted):
-    fit_rows, test = _split(spark, d)
-    model = models.fit_model(fit_rows, kind, presets.FEATURES, presets.TARGET, params, weighted)
-    scored = models.class_probabilities(model, test)
-    named = models.probability_columns(model)
+
+def _scores(spark, d, kind):
+    scored = scored_test_rows(spark, d, kind)
+    named = models.probability_columns(fitted(spark, d, kind))
     return scored.select(KEY, presets.TARGET, "predicted",
                          *[round_half_even(named[t], 6).alias(f"proba_{t}") for t in presets.TIERS])
 
 
 @query("logistic_scores")
 def logistic_scores(spark, d):
-    return _scores(spark, d, "logistic", LOGISTIC, True)
+    return _scores(spark, d, "logistic")
 
 
 @query("forest_scores")
 def forest_scores(spark, d):
-    return _scores(spark, d, "forest", FOREST, True)
+    return _scores(spark, d, "forest")
 
 
 @query("boosted_scores")
 def boosted_scores(spark, d):
-    return _scores(spark, d, "boosted", BOOSTED, True)
+    return _scores(spark, d, "boosted")
 
 
 @query("boosted_scores_unweighted")
 def boosted_scores_unweighted(spark, d):
-    return _scores(spark, d, "boosted", PLAIN, False)
+    return _scores(spark, d, "boosted_plain")
+
+
+def _trained(spark, d, kinds):
+    """The train job with models at hand."""
+    rows, test = _split(spark, d)
+    return train.compare_models({k.split("_")[0]: fitted(spark, d, k) for k in kinds}, rows, test, presets.TARGET)
 
 
 @query("trained_comparison")
 def trained_comparison(spark, d):
-    done = train.train_and_compare(model_rows(spark, d), KEY, settings={"logistic": LOGISTIC, "forest": FOREST, "boosted": BOOSTED})
-    return evaluate.with_percent_texts(done.comparison)
+    return evaluate.with_percent_texts(_trained(spark, d, ["logistic", "forest", "boosted"]).comparison)
 
 
 @query("prediction_table")
 def prediction_table(spark, d):
-    done = train.train_and_compare(model_rows(spark, d), KEY, settings={"forest": FOREST, "boosted": PLAIN}, weighted=False)
-    return train.prediction_table(done, KEY, presets.FEATURES)
+    return train.prediction_table(_trained(spark, d, ["forest", "boosted_plain"]), KEY, presets.FEATURES)
 
 
 def _fitted(spark, d):
-    return models.fit_model(model_rows(spark, d), "boosted", presets.FEATURES, presets.TARGET, QUICK, weighted=True)
+    return fitted(spark, d, "boosted")
 
 
 @query("importances")
@@ -91,26 +110,29 @@ def importances(spark, d):
 
 @query("boosting_curve")
 def boosting_curve(spark, d):
-    fit_rows, test = _split(spark, d)
-    model = models.fit_model(fit_rows, "boosted", presets.FEATURES, presets.TARGET, PLAIN)
-    return models.boosting_curve(model, test, presets.TARGET, every=1)
+    return models.boosting_curve(fitted(spark, d, "boosted_plain"), _split(spark, d)[1], presets.TARGET)
+
+
+def _fit_rows(spark, d):
+    return train.bounded(_split(spark, d)[0], KEY, presets.TARGET, FIT_ROWS)
 
 
 @query("fold_scores")
 def fold_scores(spark, d):
-    rows = sample.stratified_folds(model_rows(spark, d), KEY, presets.TARGET, presets.CV_FOLDS)
-    return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, {**PLAIN, "maxIter": 2})
+    rows = sample.stratified_folds(_fit_rows(spark, d), KEY, presets.TARGET, presets.CV_FOLDS)
+    return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, presets.BOOSTED_PLAIN)
 
 
 @query("grid_scores")
 def grid_scores(spark, d):
-    folded = sample.block_folds(model_rows(spark, d), "n", presets.TARGET, presets.GRID_FOLDS)
-    _, scores = models.grid_search(folded, "fold", presets.GRID_FOLDS, presets.FEATURES, presets.TARGET, SMALL_GRID)
+    """All sixteen settings over three block folds of the training rows."""
+    folded = sample.block_folds(_fit_rows(spark, d), "n", presets.TARGET, presets.GRID_FOLDS)
+    _, scores = models.grid_search(folded, "fold", presets.GRID_FOLDS, presets.FEATURES, presets.TARGET, GRID, presets.BOOSTED_PLAIN)
     return scores
 
 
 def _routes(spark, d):
-    return prepare.build_routes(spread(table(spark, d, "orders").select("o_orderkey")), "o_orderkey")
+    return prepare.build_routes(spread(table(spark, d, "orders").select("o_orderkey"), "o_orderkey"), "o_orderkey")
 
 
 @query("scored_routes")
@@ -175,7 +197,7 @@ def streamed_first_events(spark, d):
 def three_jobs(spark, d):
     """Dirty accidents to clean table, model and rated routes with the fitted labels and maxima."""
     prepared = prepare.clean_accidents(orders_as_dirty_accidents(spark, d))
-    done = train.train_and_compare(prepared.table, KEY, settings={"boosted": QUICK})
+    done = train.train_and_compare(prepared.table, KEY, settings={"boosted": presets.BOOSTED_WEIGHTED}, fit_rows=FIT_ROWS)
     top = prepared.stats.maxima
     rated = rate_routes.rate_routes(_routes(spark, d), done.models["boosted"], prepared.labels,
                                     top["lluvia_mm"], top["visibilidad_km"])

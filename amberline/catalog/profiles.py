@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions.scalar import round_half_even
 from ..operators import profile
 from ..operators.models import fold_summary
+from ..operators.order_stats import column_facts
 from .registry import query, sql_round, table
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -71,8 +74,22 @@ SELECT '{c}' AS column_name, count({c}) AS "count", {sql_round(f'avg({c})', 2)}
   {sql_round(f'min({c})', 2)} AS "min", {sql_round(f'quantile_cont({c}, 0.25)', 2)} AS q25, {sql_round(f'quantile_cont({c}, 0.5)', 2)} AS q50,
   {sql_round(f'quantile_cont({c}, 0.75)', 2)} AS q75, {sql_round(f'max({c})', 2)} AS "max" FROM lineitem""" for c in NUMBERS))
 def describe_by_narrowing(spark, d):
-    """The same result by the route taken when a column has too many distinct values for one buffer."""
-    return profile.describe(table(spark, d, "lineitem"), NUMBERS, state_limit=0)
+    """The same by histograms alone, with no sketch to start from."""
+    lines = table(spark, d, "lineitem")
+    return profile.describe(lines, NUMBERS, facts={c: replace(f, ranges={}) for c, f in column_facts(lines, NUMBERS).items()})
+
+
+DATED = ["o_totalprice", "o_orderdate"]
+
+
+@query("describe_with_dates", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(x) AS "count", {sql_round('avg(x)', 2)} AS mean, {sql_round('stddev_samp(x)', 2)} AS std,
+  {sql_round('min(x)', 2)} AS "min", {sql_round('quantile_cont(x, 0.25)', 2)} AS q25, {sql_round('quantile_cont(x, 0.5)', 2)} AS q50,
+  {sql_round('quantile_cont(x, 0.75)', 2)} AS q75, {sql_round('max(x)', 2)} AS "max" FROM (SELECT {x} AS x FROM orders)"""
+    for c, x in (("o_totalprice", "o_totalprice"), ("o_orderdate", "date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::DOUBLE"))))
+def describe_with_dates(spark, d):
+    """Dates are described in days since 1970."""
+    return profile.describe(table(spark, d, "orders"), DATED)
 
 
 @query("spread_of_scores", f"""

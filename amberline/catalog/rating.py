@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -207,9 +209,10 @@ def requests_with_defaults(spark, d):
 SELECT o_orderkey, o_orderstatus, o_totalprice, (SELECT count(*) FROM orders) AS saved FROM orders""")
 def table_round_trip(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    save_table(orders, "amberline_orders", path=scratch_path(spark, "table"))
-    saved = table_count(spark, "amberline_orders").first()["rows"]
-    return spark.table("amberline_orders").withColumn("saved", F.lit(saved).cast("long"))
+    name = f"amberline_orders_{uuid.uuid4().hex}"
+    save_table(orders, name, path=scratch_path(spark, "table"))
+    saved = table_count(spark, name).first()["rows"]
+    return spark.table(name).withColumn("saved", F.lit(saved).cast("long"))
 
 
 @query("csv_round_trip", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")

@@ -23,7 +23,7 @@ MD5 = "md5"  # the hash DuckDB has too
 
 
 def orders_as_accidents(spark: SparkSession, d: str) -> DataFrame:
-    return build_accidents(spread(table(spark, d, "orders").select("o_orderkey")), "o_orderkey", method=MD5)
+    return build_accidents(spread(table(spark, d, "orders").select("o_orderkey"), "o_orderkey"), "o_orderkey", method=MD5)
 
 
 def stored_accidents(spark: SparkSession, d: str) -> DataFrame:
@@ -54,7 +54,7 @@ def _accident_sql() -> str:
     clipped = f"least(greatest({score}, 0::DOUBLE), 100::DOUBLE)"
     return f"""acc0 AS (
   SELECT format('SIN-2024-{{:05d}}', o_orderkey + 1) AS id_siniestro,
-         strftime(DATE '{presets.FIRST_DATE}' + (floor((o_orderkey % {presets.DATE_CYCLE})*{presets.STEP_HOURS}/24::DOUBLE))::INTEGER, '%Y-%m-%d') AS fecha,
+         strftime(DATE '{presets.FIRST_DATE}' + (floor(o_orderkey*{presets.STEP_HOURS}/24::DOUBLE))::INTEGER, '%Y-%m-%d') AS fecha,
          {drawn}
   FROM orders),
 accidents AS (
@@ -116,17 +116,17 @@ def accident_table(spark, d):
 
 @query("route_table", f"WITH {ROUTES} SELECT * FROM routes")
 def route_table(spark, d):
-    return build_routes(spread(table(spark, d, "orders").select("o_orderkey")), "o_orderkey", method=MD5)
+    return build_routes(spread(table(spark, d, "orders").select("o_orderkey"), "o_orderkey"), "o_orderkey", method=MD5)
 
 
 @query("sequence_columns", """
 SELECT event_id, format('SIN-2024-{:05d}', event_id + 1) AS id_siniestro, format('RUTA-{:03d}', event_id + 1) AS ruta_id,
-       strftime(DATE '2022-01-01' + (floor((event_id % 32850)*8/24::DOUBLE))::INTEGER, '%Y-%m-%d') AS fecha FROM events""")
+       strftime(DATE '2022-01-01' + (floor(event_id*8/24::DOUBLE))::INTEGER, '%Y-%m-%d') AS fecha FROM events""")
 def sequence_columns(spark, d):
     return table(spark, d, "events").select(
         "event_id", padded_id("SIN-2024-", F.col("event_id") + 1, 5).alias("id_siniestro"),
         padded_id("RUTA-", F.col("event_id") + 1, 3).alias("ruta_id"),
-        step_date_text("event_id", cycle=presets.DATE_CYCLE).alias("fecha"))
+        step_date_text("event_id").alias("fecha"))
 
 
 @query("draw_frequencies", f"""

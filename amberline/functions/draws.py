@@ -95,11 +95,17 @@ def normal_text(u1: str, u2: str) -> str:
     return f"(sqrt(-2.0D * ln({u1})) * cos({2.0 * math.pi!r}D * {u2}))"
 
 
+#: Beyond it exp(-mean) leaves the range of normal numbers.
+LARGEST_MEAN = 700
+
+
 def poisson_steps(lam: float) -> list[float]:
-    """Cumulative probabilities of 0, 1, 2, ... until the rest is below 1e-12."""
+    """Cumulative probabilities of 0, 1, 2, ... until the rest is below 1e-12 or the next term is lost in rounding."""
+    if not 0 <= lam <= LARGEST_MEAN:
+        raise ValueError(f"a Poisson mean must lie between 0 and {LARGEST_MEAN}, not {lam}")
     term, total, steps = math.exp(-lam), 0.0, []
     k = 0
-    while 1.0 - total > 1e-12 and k < 1000:
+    while 1.0 - total > 1e-12 and (k <= lam or total + term > total):
         total += term
         steps.append(total)
         k += 1

@@ -205,11 +205,8 @@ def padded_id(prefix: str, n: ColumnOrName, digits: int) -> Column:
     return F.format_string(f"{prefix}%0{digits}d", as_col(n).cast("long"))
 
 
-def step_date_text(n: ColumnOrName, start: str = "2022-01-01", step_hours: int = 8,
-                   cycle: int | None = None) -> Column:
-    """``yyyy-MM-dd`` text of ``start + n * step``, n counted from 0 and restarted every ``cycle`` rows."""
+def step_date_text(n: ColumnOrName, start: str = "2022-01-01", step_hours: int = 8) -> Column:
+    """``yyyy-MM-dd`` text of ``start + n * step``, n counted from 0."""
     n = as_col(n).cast("long")
-    if cycle:
-        n = F.pmod(n, F.lit(cycle))
     days = F.floor(n * F.lit(step_hours) / F.lit(24.0)).cast("int")
     return F.date_format(F.date_add(F.lit(start).cast("date"), days), "yyyy-MM-dd")

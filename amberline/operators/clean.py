@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import as_col, number, out_of_range, parse_dates
-from .order_stats import STATE_LIMIT, column_facts, medians, quantiles
+from .order_stats import column_facts, medians, quantiles
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -110,8 +110,7 @@ def _instants(df: DataFrame, date_column: str | None, date_formats: Sequence[str
 
 def fit_clean(df: DataFrame, range_rules: Mapping[str, tuple], impute: Sequence[str],
               floor_rules: Mapping[str, tuple] | None = None, date_column: str | None = None,
-              date_formats: Sequence[str] = (), maxima: Sequence[str] = (),
-              state_limit: int = STATE_LIMIT, approx: bool = False) -> CleanStats:
+              date_formats: Sequence[str] = (), maxima: Sequence[str] = (), approx: bool = False) -> CleanStats:
     """Learn fill values in two stages.
 
     Stage 1: medians of the range-checked columns as they are, absurd values
@@ -120,16 +119,15 @@ def fit_clean(df: DataFrame, range_rules: Mapping[str, tuple], impute: Sequence[
     and maxima.  Filling with a median cannot raise a maximum, so the maxima
     are those of the imputed columns too.
     """
-    options = {"state_limit": state_limit, "approx": approx}
     raw = df.select(*dict.fromkeys([*range_rules, *impute, *maxima]), *_instants(df, date_column, date_formats))
     checked = [*range_rules, *(["_micros"] if date_column is not None else [])]
     facts = None if approx else column_facts(raw, list(dict.fromkeys([*checked, *impute])))
-    first = medians(raw, checked, facts=facts, **options) if checked else {}
+    first = medians(raw, checked, facts=facts, approx=approx) if checked else {}
     date_fill = first.pop("_micros", None)
     # a median in place of other values changes neither the number of values nor the bounds they lie in
     fixed = range_fixed(raw, range_rules, first)
     second = quantiles(fixed, list(impute), [0.5], facts=facts,
-                       also={f"max:{c}": F.max(number(c)) for c in maxima}, **options)
+                       also={f"max:{c}": F.max(number(c)) for c in maxima}, approx=approx)
     impute_fill = {c: second[c][0.5] for c in impute}
     tops = {c: second[f"max:{c}"] for c in maxima}
     range_fill, date_fill = first, None if date_fill is None else int(date_fill)
@@ -169,11 +167,3 @@ def unpivoted(one_row: DataFrame, name: str, value: str) -> DataFrame:
 def null_counts(df: DataFrame, columns: Sequence[str], value: str = "nulls") -> DataFrame:
     """Missing values per column; one pass."""
     return unpivoted(df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]), "column_name", value)
-
-
-def null_total(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """Aggregate expression: missing values over all the columns."""
-    total = F.lit(0).cast("long")
-    for c in columns or df.columns:
-        total = total + F.count_if(F.col(c).isNull())
-    return total

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import text_or_nan
+from ..functions.scalar import lookup, text_or_nan
 from .order_stats import prefix_sums
 
 MAX_LABELS = 10_000
@@ -45,25 +44,14 @@ def from_catalogs(catalogs: Mapping[str, Sequence[str]]) -> dict[str, list[str]]
 
 def encode(df: DataFrame, labels: Mapping[str, Sequence[str]], suffix: str = "_cod",
            missing_as_text: bool = False) -> DataFrame:
-    """Integer codes next to each column; a value outside its label list is a run-time error.
-
-    The cast to int drops the indexer's "nominal" mark, so trees split the
-    codes as ordered numbers.
-    """
-    columns = list(labels)
-    ins = [f"_in_{c}" for c in columns]
-    outs = [f"_out_{c}" for c in columns]
-    model = StringIndexerModel.from_arrays_of_labels([list(labels[c]) for c in columns], ins, outs, "error")
-    src = df.withColumns({i: text_or_nan(c) if missing_as_text else F.col(c).cast("string")
-                          for c, i in zip(columns, ins)})
-    coded = model.transform(src)
-    return coded.select(*df.columns, *[F.col(o).cast("int").alias(c + suffix) for c, o in zip(columns, outs)])
+    """Integer codes next to each column; a value outside its label list, or a missing one, is a run-time error."""
+    return df.withColumns({c + suffix: lookup(text_or_nan(c) if missing_as_text else F.col(c).cast("string"),
+                                              {v: i for i, v in enumerate(labels[c])}, strict=True) for c in labels})
 
 
 def decode(df: DataFrame, code: str, labels: Sequence[str], out: str) -> DataFrame:
     """Text of a code."""
-    indexed = df.withColumn("_code", F.col(code).cast("double"))
-    return IndexToString(inputCol="_code", outputCol=out, labels=list(labels)).transform(indexed).drop("_code")
+    return df.withColumn(out, F.element_at(F.array(*[F.lit(v) for v in labels]), F.col(code).cast("int") + 1))
 
 
 def class_mapping(spark: SparkSession, labels: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -71,19 +71,25 @@ def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.agg(F.avg((F.col(actual) == F.col(predicted)).cast("int")).alias("accuracy"))
 
 
-def log_loss(df: DataFrame, actual: str, probabilities: Mapping[str, str | Column], eps: float = 1e-15) -> DataFrame:
-    """Mean negative log of the probability given to the actual class."""
+def accuracy_by(df: DataFrame, group: str, actual: str, predicted: str) -> DataFrame:
+    """Accuracy of each group, say each fold."""
+    return df.groupBy(group).agg(F.avg((F.col(actual) == F.col(predicted)).cast("int")).alias("accuracy"))
+
+
+def log_loss(df: DataFrame, actual: str, probabilities: Mapping[str, str | Column], eps: float = 1e-15,
+             by: Sequence[str] = ()) -> DataFrame:
+    """Mean negative log of the probability given to the actual class; with ``by`` for each group, say each boosting round."""
     p = None
     for label, c in probabilities.items():
         c = F.col(c) if isinstance(c, str) else c
         hit = F.col(actual) == F.lit(label)
         p = F.when(hit, c) if p is None else p.when(hit, c)
     safe = F.greatest(F.least(p, F.lit(1.0 - eps)), F.lit(eps))
-    return df.agg(F.avg(F.when(p.isNotNull(), -F.log(safe))).alias("log_loss"))
+    return df.groupBy(*by).agg(F.avg(F.when(p.isNotNull(), -F.log(safe))).alias("log_loss"))
 
 
 def roc_auc_by_class(df: DataFrame, actual: str, probabilities: Mapping[str, str]) -> DataFrame:
-    """One-versus-rest area under the ROC curve per class; NULL if the class or its rest is empty.
+    """One-versus-rest area under the ROC curve per class; NULL if the class or its rest is empty or a score is missing.
 
     Rows are first added up per (class, score).  The number of negatives below
     a score comes from ``prefix_sums``, so no task sees a whole class.
@@ -97,7 +103,7 @@ def roc_auc_by_class(df: DataFrame, actual: str, probabilities: Mapping[str, str
     ranked = prefix_sums(scored, ["label"], ["score"], {"neg_below": "neg"}, "auc")
     won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0)))
     return ranked.groupBy("label").agg(
-        F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+        F.when(F.count("score") == F.count(F.lit(1)), F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
 
 
 def roc_auc_ovr(df: DataFrame, actual: str, probabilities: Mapping[str, str]) -> DataFrame:

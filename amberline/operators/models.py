@@ -165,6 +165,14 @@ def boosted_models(model: PipelineModel) -> list[GBTClassificationModel]:
     return [s for s in model.stages if isinstance(s, GBTClassificationModel)]
 
 
+def with_margin_probabilities(df: DataFrame, margins: str, probabilities: str, at: str) -> DataFrame:
+    """Class probabilities of an array of margins, and the 1-based place of the largest margin (the first one on a tie)."""
+    out = df.withColumn("_odds", F.transform(margins, lambda m: 1.0 / (1.0 + F.exp(m * -2.0))))
+    out = out.withColumn("_total", F.aggregate("_odds", F.lit(0.0), lambda a, x: a + x))
+    return (out.withColumn(probabilities, F.transform("_odds", lambda x: x / F.col("_total")))
+            .withColumn(at, F.array_position(margins, F.array_max(margins))).drop("_odds", "_total"))
+
+
 def class_probabilities(model: PipelineModel, df: DataFrame, predicted: str = "predicted",
                         probabilities: str = "probabilities") -> DataFrame:
     """Adds the predicted class text and an array of class probabilities in label order.
@@ -179,11 +187,8 @@ def class_probabilities(model: PipelineModel, df: DataFrame, predicted: str = "p
     per_class_models = boosted_models(model)
     if per_class_models:
         margins = [vector_to_array(MARGIN.format(i))[1] for i in range(len(per_class_models))]
-        out = out.withColumn("_margins", F.array(*margins))
-        out = out.withColumn("_odds", F.transform("_margins", lambda m: 1.0 / (1.0 + F.exp(m * -2.0))))
-        out = out.withColumn("_total", F.aggregate("_odds", F.lit(0.0), lambda a, x: a + x))
-        probs = F.transform("_odds", lambda x: x / F.col("_total"))
-        at = F.array_position("_margins", F.array_max("_margins"))
+        out = with_margin_probabilities(out.withColumn("_margins", F.array(*margins)), "_margins", "_probs", "_at")
+        probs, at = F.col("_probs"), F.col("_at")
     else:
         probs = vector_to_array(PROBABILITY)
         at = F.col(PREDICTION) + 1
@@ -202,14 +207,20 @@ def importances(model: PipelineModel, top: int | None = None) -> DataFrame:
     values = sum(m.featureImportances.toArray() for m in sources) / len(sources)
     rows = [(name, float(v), i) for i, (name, v) in enumerate(zip(features_of(model), values))]
     spark = SparkSession.getActiveSession()
-    table = spark.createDataFrame(rows, "feature string, importance double, position int")
-    table = table.orderBy(F.desc("importance"), "position").drop("position")
-    return table.limit(top) if top else table
+    return top_importances(spark.createDataFrame(rows, "feature string, importance double, position int"), top)
+
+
+def top_importances(table: DataFrame, top: int | None = None) -> DataFrame:
+    """Features by falling importance, equal ones by position."""
+    ordered = table.orderBy(F.desc("importance"), "position").drop("position")
+    return ordered.limit(top) if top else ordered
 
 
 def boosting_curve(model: PipelineModel, test: DataFrame, target: str, every: int = 50) -> DataFrame:
     """Loss on ``test`` after every n-th round, per class model; for watching, not for stopping."""
     inner_models = boosted_models(model)
+    if not inner_models:
+        raise ValueError("only boosted models have a loss per round")
     head = PipelineModel(model.stages[:-len(inner_models)])
     ready = head.transform(test.where(F.col(target).isNotNull()))
     ready = ready.select(VECTOR, F.col(LABEL).alias("_class")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -256,8 +267,9 @@ def cross_validate(df: DataFrame, fold: str, k: int, features: Sequence[str], ta
     head, ready = _assembled(df, features, target, [fold])
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        scores = [(f + 1, _fold_accuracy(ready, fold, f, len(labels_of(head)), dict(params or {}), None, seed, parallelism))
-                  for f in range(k)]
+        with ThreadPool(k) as pool:  # the folds are independent fits on the same kept rows
+            scores = pool.map(lambda f: (f + 1, _fold_accuracy(ready, fold, f, len(labels_of(head)), dict(params or {}), None, seed,
+                                                               parallelism)), range(k))
     finally:
         ready.unpersist()
     return df.sparkSession.createDataFrame(scores, "fold int, accuracy double")

@@ -8,16 +8,17 @@ task.  Neither holds for a continuous column at scale, so:
   fixed number of bins.  Each pass is one map-side combined aggregate; only the
   bins reach the driver, and a pass divides the candidates by about the number
   of bins.
-* ``quantiles`` uses the built-in exact ``percentile`` where the number of
-  distinct values is small, and ``exact_cuts`` elsewhere.
+* ``quantiles`` starts ``exact_cuts`` with ranges from a quantile sketch, so that the
+  first histogram is already fine where the answers lie.
 * ``prefix_sums`` range-partitions, so that no window covers a whole group.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,7 +29,9 @@ from ..sources.tables import stage
 
 BINS = 2048
 SMALL_BRACKET = 4096
-STATE_LIMIT = 200_000
+LARGEST = sys.float_info.max
+#: Ranks are guessed from a sketch as accurate as one part in this many, with twice the margin.
+SKETCH_ACCURACY = 2000
 
 
 def exact_cuts(df: DataFrame, value: str, ranks: Mapping[object, Sequence[int]], group: str | None = None,
@@ -59,6 +62,11 @@ def exact_cuts(df: DataFrame, value: str, ranks: Mapping[object, Sequence[int]],
     segments = []
     for g in open_ranks:
         lo, hi = spans[g]
+        infinite = [x for x in (-math.inf, math.inf) if not whole and x in (lo, hi)]  # these have no place among bins
+        segments += [Segment(g, x, x, fine=False, closed=True) for x in infinite if x < 0]
+        above = [Segment(g, x, x, fine=False, closed=True) for x in infinite if x > 0]
+        if not whole:
+            lo, hi = max(lo, -LARGEST), min(hi, LARGEST)
         at = lo
         for a, b in _merged((guesses or {}).get(g) or [(lo, hi)]):
             a, b = max(a, at), min(b, hi)
@@ -70,6 +78,7 @@ def exact_cuts(df: DataFrame, value: str, ranks: Mapping[object, Sequence[int]],
             at = b
         if at < hi:
             segments.append(Segment(g, at, hi, fine=False, closed=True))
+        segments += above
     targets = {g: [(r, 0) for r in rs] for g, rs in open_ranks.items()}
     counted = _histogram(src, segments, bins, whole)
     brackets = _locate(targets, {g: [r for k, s in enumerate(segments) if s.group == g for r in counted.get(k, [])]
@@ -85,6 +94,8 @@ def exact_cuts(df: DataFrame, value: str, ranks: Mapping[object, Sequence[int]],
         narrower: dict = {}
         for k, ((g, _, _), (_, wanted)) in enumerate(brackets.items()):
             narrower.update(_locate({g: wanted}, {g: counted.get(k, [])}, done, ties))
+        if narrower.keys() == brackets.keys():
+            raise RuntimeError(f"the values of {value} change from one reading to the next")
         brackets = narrower
     return done
 
@@ -109,8 +120,10 @@ class Segment:
         if whole:
             width = max(1, -(-(self.hi - self.lo + 1) // bins))
             at = F.floor((F.col("_v") - F.lit(self.lo)) / F.lit(float(width)))
+        elif math.isfinite(self.hi - self.lo):
+            at = F.floor((F.col("_v") - F.lit(self.lo)) / F.lit(self.hi - self.lo) * F.lit(float(bins)))
         else:
-            at = F.floor((F.col("_v") - F.lit(self.lo)) * F.lit(bins / (self.hi - self.lo)))
+            at = F.floor((F.col("_v") / 2 - F.lit(self.lo / 2)) / F.lit(self.hi / 2 - self.lo / 2) * F.lit(float(bins)))
         return F.least(at, F.lit(bins - 1))
 
 
@@ -199,61 +212,62 @@ def _finish(src: DataFrame, brackets: Mapping, ties: dict) -> dict:
 
 @dataclass(frozen=True)
 class ColumnFacts:
-    """How many values a column has, about how many different ones, and between which bounds."""
+    """How many values a column has, between which bounds, and where a sketch sees the wanted quantiles."""
 
     values: int
-    distinct: int
     low: float | None
     high: float | None
+    ranges: Mapping[float, tuple] = field(default_factory=dict)
 
 
-def column_facts(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnFacts]:
+def column_facts(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = (0.5,)) -> dict[str, ColumnFacts]:
+    """Facts of all columns in one pass."""
     if not columns:
         return {}
+    margin = 2 / SKETCH_ACCURACY
+    wanted = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-margin, margin)]
     row = df.agg(*[a for i, c in enumerate(columns) for a in (
-        F.count(number(c)).alias(f"n{i}"), F.approx_count_distinct(number(c)).alias(f"d{i}"),
-        F.min(number(c)).alias(f"l{i}"), F.max(number(c)).alias(f"h{i}"))]).first()
-    return {c: ColumnFacts(row[f"n{i}"], row[f"d{i}"], row[f"l{i}"], row[f"h{i}"]) for i, c in enumerate(columns)}
+        F.count(number(c)).alias(f"n{i}"), F.min(number(c)).alias(f"l{i}"), F.max(number(c)).alias(f"h{i}"),
+        F.percentile_approx(number(c), wanted, SKETCH_ACCURACY).alias(f"q{i}"))]).first()
+    return {c: ColumnFacts(row[f"n{i}"], row[f"l{i}"], row[f"h{i}"],
+                           {p: tuple(row[f"q{i}"][2 * j:2 * j + 2]) for j, p in enumerate(probabilities)} if row[f"q{i}"] else {})
+            for i, c in enumerate(columns)}
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-              state_limit: int = STATE_LIMIT, approx: bool = False, facts: Mapping[str, ColumnFacts] | None = None,
-              also: Mapping[str, Column] | None = None) -> dict[str, dict]:
+def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], approx: bool = False,
+              facts: Mapping[str, ColumnFacts] | None = None, also: Mapping[str, Column] | None = None) -> dict[str, dict]:
     """Interpolated quantiles per column, missing values skipped.
 
     Exact by default.  ``approx=True`` uses ``percentile_approx``: one pass, no
     interpolation, for when an existing value close to the quantile will do.
-    ``facts`` saves the counting pass; its bounds may be too wide.  ``also`` names further aggregates to
-    read in the same pass; they come back under their names.
+    ``facts`` saves the counting pass; its bounds and ranges may be off.  ``also`` names further aggregates to
+    read along; they come back under their names.
     """
     probabilities = [float(p) for p in probabilities]
     extra = [c.alias(f"also:{name}") for name, c in (also or {}).items()]
     out: dict[str, dict] = {c: dict.fromkeys(probabilities) for c in columns}
-    if approx:
-        few, many = list(columns), []
-        aggregates = [F.percentile_approx(number(c), probabilities, 10000).alias(c) for c in columns]
-    else:
-        facts = facts or column_facts(df, columns)
-        present = [c for c in columns if facts[c].values > 0]
-        few = [c for c in present if facts[c].distinct <= state_limit]
-        many = [c for c in present if facts[c].distinct > state_limit]
-        wanted = F.array(*[F.lit(p) for p in probabilities])
-        aggregates = [F.percentile(number(c), wanted).alias(c) for c in few]
+    aggregates = [F.percentile_approx(number(c), probabilities, 10000).alias(c) for c in columns] if approx else []
     if aggregates or extra:
         row = df.agg(*aggregates, *extra).first()
-        out.update({c: dict(zip(probabilities, row[c])) for c in few if row[c]})
+        out.update({c: dict(zip(probabilities, row[c])) for c in (columns if approx else ()) if row[c]})
         out.update({name: row[f"also:{name}"] for name in also or {}})
-    if many:
-        long_form = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("_c"), number(c).alias("_x")) for c in many])).alias("_s")).select("_s.*")
-        places = {c: [(facts[c].values - 1) * p for p in probabilities] for c in many}
-        cuts = exact_cuts(long_form, "_x", {c: [k for at in ats for k in (math.floor(at), math.ceil(at))]
-                                            for c, ats in places.items()}, "_c",
-                          {c: (facts[c].low, facts[c].high) for c in many})
-        for c, ats in places.items():
-            for p, at in zip(probabilities, ats):
-                a, b = cuts[(c, math.floor(at))], cuts[(c, math.ceil(at))]
-                out[c][p] = a if a == b else (math.ceil(at) - at) * a + (at - math.floor(at)) * b
+    if approx:
+        return out
+    facts = facts or column_facts(df, columns, probabilities)
+    present = [c for c in columns if facts[c].values > 0]
+    if not present:
+        return out
+    long_form = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_c"), number(c).alias("_x")) for c in present])).alias("_s")).select("_s.*")
+    places = {c: [(facts[c].values - 1) * p for p in probabilities] for c in present}
+    guesses = {c: [r for r in facts[c].ranges.values() if all(map(math.isfinite, r))] for c in present}
+    cuts = exact_cuts(long_form, "_x", {c: [k for at in ats for k in (math.floor(at), math.ceil(at))]
+                                        for c, ats in places.items()}, "_c",
+                      {c: (facts[c].low, facts[c].high) for c in present}, guesses)
+    for c, ats in places.items():
+        for p, at in zip(probabilities, ats):
+            a, b = cuts[(c, math.floor(at))], cuts[(c, math.ceil(at))]
+            out[c][p] = a if a == b else (math.ceil(at) - at) * a + (at - math.floor(at)) * b
     return out
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number, round_half_even
-from .clean import unpivoted
-from .order_stats import STATE_LIMIT, quantiles
+from .clean import epoch_micros, unpivoted
+from .order_stats import ColumnFacts, quantiles
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -84,10 +84,18 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
 
-def describe(df: DataFrame, columns: Sequence[str], dp: int = 2, state_limit: int = STATE_LIMIT) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
-    quartiles = quantiles(df, columns, [0.25, 0.5, 0.75], state_limit=state_limit)
-    moments = df.agg(*[F.struct(
+def _is_date(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+
+
+def describe(df: DataFrame, columns: Sequence[str], dp: int = 2, facts: Mapping[str, ColumnFacts] | None = None) -> DataFrame:
+    """Count, mean, sample deviation, extremes and exact quartiles, one row per column.
+
+    A date column is described in days since 1970, with fractions.
+    """
+    as_numbers = df.select(*[(epoch_micros(c) / F.lit(86_400_000_000.0)).alias(c) if _is_date(df, c) else F.col(c) for c in columns])
+    quartiles = quantiles(as_numbers, columns, [0.25, 0.5, 0.75], facts=facts)
+    moments = as_numbers.agg(*[F.struct(
         F.count(number(c)).alias("count"), F.avg(number(c)).alias("mean"), F.stddev_samp(number(c)).alias("std"),
         F.min(number(c)).alias("min"), F.max(number(c)).alias("max")).alias(c) for c in columns])
     rows = []

@@ -27,10 +27,6 @@ def tier_from_rule_score(score, edges: Sequence[float] = presets.TIER_EDGES,
     return cut(score, edges, labels)
 
 
-def tier_from_class(predicted) -> Column:
-    return as_col(predicted)
-
-
 def tier_from_proba_score(score, edges: Sequence[float] = presets.TIER_EDGES,
                           labels: Sequence[str] = presets.TIERS, compat_nan_text: bool = False) -> Column:
     """Bins on the probability score; ``compat_nan_text`` writes a missing tier as the text ``nan``.

@@ -181,13 +181,13 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int
         "_slice", F.floor(F.col("_h") / F.lit(draws.RANK_SPAN / slices)))
     sizes = work.where(F.col(label).isNotNull()).groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     earlier = W.partitionBy(label).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    overfull = F.col("_n") > 2 * max(rows_per_slice, -(-at // slices)) + 10_000  # hashes of unique keys never do this
-    checked = F.when(overfull, F.raise_error(F.lit(f"{key} does not identify rows"))).otherwise(F.col("_n"))
-    offsets = sizes.withColumn("_n", checked).select(
+    offsets = sizes.select(
         F.col(label).alias("_l"), F.col("_slice").alias("_s"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_below"))
     here = W.partitionBy(label, "_slice").orderBy("_h", key)
-    rank = F.col("_below") + F.row_number().over(here) - 1 + per_class(label, start)
+    twice = F.col(key) == F.lag(key).over(here)  # equal keys have equal hashes, so they are neighbours
+    place = F.when(twice, F.raise_error(F.lit(f"{key} does not identify rows"))).otherwise(F.row_number().over(here))
+    rank = F.col("_below") + place - 1 + per_class(label, start)
     return (work.join(offsets, (F.col(label) == F.col("_l")) & (F.col("_slice") == F.col("_s")), "left")
             .withColumn(out, F.when(F.col(label).isNotNull(), (rank % k).cast("int")))
             .select(*df.columns, out))

@@ -50,8 +50,7 @@ def build_accidents(base: DataFrame, key: str, seed: int = 42, method: str = "xx
     """One accident per row of ``base``, whose ``key`` counts rows from 0: 23 columns, score and tier."""
     drawn = synthesize(base, key, presets.accident_spec(), seed, method)
     drawn = drawn.withColumns({"id_siniestro": padded_id("SIN-2024-", F.col(key) + 1, 5),
-                               "fecha": step_date_text(key, presets.FIRST_DATE, presets.STEP_HOURS,
-                                                       presets.DATE_CYCLE)})
+                               "fecha": step_date_text(key, presets.FIRST_DATE, presets.STEP_HOURS)})
     scored = with_rule_score(drawn, "id_siniestro", seed, method=method).drop(key)
     return scored.select("id_siniestro", "fecha", *[c for c in scored.columns if c not in ("id_siniestro", "fecha")])
 
@@ -93,20 +92,17 @@ class Prepared:
 
 
 def clean_accidents(df: DataFrame, key: str = "id_siniestro", order: Sequence[str] = (),
-                    fit_on: DataFrame | None = None) -> Prepared:
+                    fit_on: Column | None = None) -> Prepared:
     """Deduplicate, repair dates, ranges and gaps, derive features, encode.
 
     The deduplicated rows are staged once, because the statistics passes and
     the final projection all start from them.  ``order`` says which copy comes
-    first; without it copies are taken to be equal.  ``fit_on`` limits the
-    statistics to other rows (say, the training rows).
+    first; by default the other columns decide, in their order.  ``fit_on`` limits the
+    statistics to the kept rows for which it is true (say, the training rows).
     """
-    if order:
-        first = dedup_first(df, [key], list(order))
-    else:
-        first = df.dropDuplicates([key])
+    first = dedup_first(df, [key], list(order) or [c for c in df.columns if c != key])
     rows = stage(normalise_missing(first), "dedup")
-    stats = fit_clean(rows if fit_on is None else normalise_missing(fit_on), presets.RANGE_RULES,
+    stats = fit_clean(rows if fit_on is None else rows.where(fit_on), presets.RANGE_RULES,
                       presets.NULLABLE_COLUMNS, presets.FLOOR_RULES, "fecha", presets.DATE_FORMATS,
                       ["lluvia_mm", "visibilidad_km"])
     derived = derive(apply_clean(rows, stats), stats.maxima["lluvia_mm"], stats.maxima["visibilidad_km"])

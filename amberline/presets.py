@@ -30,7 +30,6 @@ DEATHS = [0, 1, 2, 3, 4]
 DEATHS_P = [0.72, 0.15, 0.08, 0.03, 0.02]
 FIRST_DATE = "2022-01-01"
 STEP_HOURS = 8
-DATE_CYCLE = 30 * 365 * 3  # very long tables start over after 30 years
 
 # --- fixed values: tiers, rule scorecard, season map ------------------------
 TIER_EDGES = [0, 33, 66, 100]
@@ -108,12 +107,9 @@ EMPTY_TIER_NOTE = "No hay rutas clasificadas como {tier} en este scoring."
 FOREST_PREDICTION = "y_pred_rf"
 BOOSTED_PREDICTION = "y_pred_xgb"
 BOOSTED_PROBABILITY = "proba_xgb_"
-CLEAN_TABLE = "siniestros_limpios"
-PREDICTION_TABLE = "resultados_modelo"
-ROUTE_TABLE = "scoring_rutas"
-REGION_TABLE = "scoring_region"
 
 
+# --- fixed values: draws of the two made-up tables ---
 def accident_spec():
     """Column draws of the accident table, as ``(name, kind, *args)``."""
     return [

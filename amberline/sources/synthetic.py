@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import draws
-from ..functions.scalar import padded_id, step_date_text
+from ..functions.scalar import padded_id
 
 
 def synthesize(base: DataFrame, key: str, spec: Sequence[tuple], seed: int, method: str = "xxhash64",
@@ -30,13 +30,3 @@ def synthesize(base: DataFrame, key: str, spec: Sequence[tuple], seed: int, meth
 def row_numbers(spark: SparkSession, n: int) -> DataFrame:
     """Keys 0 .. n-1 in a column ``n``."""
     return spark.range(n).withColumnRenamed("id", "n")
-
-
-def add_sequence_columns(df: DataFrame, n: str, id_column: str, prefix: str, digits: int,
-                         date_column: str | None = None, start: str = "2022-01-01",
-                         step_hours: int = 8) -> DataFrame:
-    """Zero-padded ids counted from 1 and, if asked for, regularly spaced date texts."""
-    new = {id_column: padded_id(prefix, F.col(n) + 1, digits)}
-    if date_column:
-        new[date_column] = step_date_text(n, start, step_hours)
-    return df.withColumns(new)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import logging
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,24 +18,12 @@ log = logging.getLogger(__name__)
 
 # --- shared folder -------------------------------------------------------------
 
-_local_folders: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}  # by application: folders written and not removed yet
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can read: the session's ``spark.checkpoint.dir``.
-
-    A temporary folder is made up only for a local master without that setting;
-    on a cluster the setting is required.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="amberline-")
-    return _local_folders[app]
+    """Folder every executor can read: ``spark.checkpoint.dir``, or one below the warehouse if that is not set."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_amberline"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -45,7 +33,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/amberline/{name}-{uuid.uuid4().hex}"
+    """A new folder name that ``drop_staged`` removes."""
+    path = f"{shared_folder(spark).rstrip('/')}/amberline/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -60,16 +51,32 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores if the input has fewer splits than that, unchanged otherwise.
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Removes on leaving what was staged inside; results must be written or collected before that."""
+    before = len(_staged.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        drop_staged(spark, before)
+
+
+def drop_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Remove this application's staged folders but for the first ``keep``."""
+    paths = _staged.get(spark.sparkContext.applicationId, [])
+    for path in paths[keep:]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del paths[keep:]
 
-    For work that is heavy per row on a small input, say a file that is one
-    row group.  A large table has more splits than cores and is not moved.
-    ``df`` should be a scan with at most projections and filters on it.
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by ``key`` to all cores.
+
+    For work that is heavy per row on narrow rows, such as drawing a wide table from a key: the rows moved
+    are small next to those made from them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 # --- reading -------------------------------------------------------------------
@@ -82,11 +89,6 @@ def read_table_or_csv(spark: SparkSession, name: str, path: str, schema: T.Struc
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def rows_to_table(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
-    """A few in-memory records as a DataFrame with a declared schema."""
-    return spark.createDataFrame(list(rows), schema)
-
-
 def normalise_missing(df: DataFrame) -> DataFrame:
     """NaN to NULL in every floating column; Spark sorts NaN above all numbers and averages it in."""
     changed = {f.name: number(f.name).cast(f.dataType) for f in df.schema.fields

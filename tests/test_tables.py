@@ -5,18 +5,23 @@ import pytest
 from amberline.sources import tables
 
 
-def session(master, configured=None):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: configured or default),
-                           sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"))
+def test_staging_folder():
+    def session(checkpoint):
+        settings = {"spark.checkpoint.dir": checkpoint, "spark.sql.warehouse.dir": "/shared/warehouse/"}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default))
 
+    assert tables.shared_folder(session("hdfs:///checkpoints")) == "hdfs:///checkpoints"
+    assert tables.shared_folder(session(None)) == "/shared/warehouse/_amberline"
 
-def test_staging_folder():
-    assert tables.shared_folder(session("yarn", "/shared/x")) == "/shared/x"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        tables.shared_folder(session("yarn"))
-    made = tables.shared_folder(session("local[2]"))
-    assert made == tables.shared_folder(session("local[2]"))
 
+def test_staged_folders_do_not_outlive_their_job(spark):
+    from pathlib import Path
+
+    with tables.staging(spark):
+        staged = tables.stage(frame(spark), "short-lived")
+        folder = Path(staged.inputFiles()[0].removeprefix("file://").removeprefix("file:")).parent
+        assert staged.count() == 2 and folder.exists()
+    assert not folder.exists()
 
 def frame(spark):
     return spark.createDataFrame([(1, "a", 1.5), (2, None, None)], "i int, t string, x double")
