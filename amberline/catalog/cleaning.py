@@ -182,14 +182,19 @@ def conditional_overwrite(spark, d):
 
 _DATE = "regexp_replace(fecha, '^\\s+|\\s+$', '', 'g')"
 _R = presets.RANGE_RULES
-CLEAN = f"""{DIRTY},
+_TRAIN = f"{sql_uniform(5, 'mask', 'id_siniestro')} < 0.8"
+
+
+def _clean_sql(fit_on: str = "true") -> str:
+    """The clean table; ``fit_on`` limits the rows that statistics come from."""
+    return f"""{DIRTY},
 c0 AS (SELECT DISTINCT * FROM dirty),
 c1 AS (SELECT * REPLACE (coalesce(try_strptime({_DATE}, '%Y-%m-%d'), try_strptime({_DATE}, '%d/%m/%Y'), try_strptime({_DATE}, '%Y/%m/%d')) AS fecha) FROM c0),
-mid AS (SELECT make_timestamp(median(epoch_us(fecha))::BIGINT) AS fecha, {', '.join(f'median({c}) AS {c}' for c in _R)} FROM c1),
+mid AS (SELECT make_timestamp(median(epoch_us(fecha))::BIGINT) AS fecha, {', '.join(f'median({c}) AS {c}' for c in _R)} FROM c1 WHERE {fit_on}),
 c2 AS (SELECT * REPLACE (coalesce(fecha, (SELECT fecha FROM mid)) AS fecha,
   {', '.join(f"(CASE WHEN {c} < {lo} OR {c} > {hi} THEN (SELECT {c} FROM mid) ELSE {c} END)::DOUBLE AS {c}" for c, (lo, hi) in _R.items())},
   CASE WHEN pago_seguro_sol < 0 THEN 0::DOUBLE ELSE pago_seguro_sol END AS pago_seguro_sol) FROM c1),
-mid2 AS (SELECT {', '.join(f'median({c}) AS {c}' for c in presets.NULLABLE_COLUMNS)}, max(lluvia_mm) AS max_rain, max(visibilidad_km) AS max_vis FROM c2),
+mid2 AS (SELECT {', '.join(f'median({c}) AS {c}' for c in presets.NULLABLE_COLUMNS)}, max(lluvia_mm) AS max_rain, max(visibilidad_km) AS max_vis FROM c2 WHERE {fit_on}),
 c3 AS (SELECT * REPLACE ({', '.join(f"coalesce({c}, (SELECT {c} FROM mid2))::DOUBLE AS {c}" for c in presets.NULLABLE_COLUMNS)}) FROM c2),
 c4 AS (SELECT *,
   CASE WHEN contains(franja_horaria,'Noche') OR contains(franja_horaria,'Madrugada') THEN 1 ELSE 0 END AS es_horario_riesgo,
@@ -199,13 +204,22 @@ c4 AS (SELECT *,
   CASE WHEN mes IN (12,1,2) THEN 'Verano' WHEN mes IN (3,4,5) THEN 'Otoño' WHEN mes IN (6,7,8) THEN 'Invierno' ELSE 'Primavera' END AS estacion
   FROM c3),
 limpios AS (SELECT *, {', '.join(f"(dense_rank() OVER (ORDER BY {c}) - 1)::INTEGER AS {c}_cod" for c in presets.ENCODED_COLUMNS)} FROM c4)"""
+
+
+CLEAN = _clean_sql()
 _ROUNDED = ["edad_conductor", "lluvia_mm", "flujo_vehicular", "visibilidad_km", "experiencia_anios", "temperatura_c"]
 
 
-@query("clean_accident_table", f"WITH {CLEAN} SELECT * REPLACE (strftime(fecha, '%Y-%m-%d %H:%M:%S') AS fecha, "
-       + ", ".join(f"{sql_round(c, 6)} AS {c}" for c in _ROUNDED) + ") FROM limpios")
+_SHOWN = ("SELECT * REPLACE (strftime(fecha, '%Y-%m-%d %H:%M:%S') AS fecha, " + ", ".join(f"{sql_round(c, 6)} AS {c}" for c in _ROUNDED)
+          + ") FROM limpios")
+
+
+@query("clean_accident_table", f"WITH {CLEAN} {_SHOWN}")
 def clean_accident_table(spark, d):
-    done = clean_accidents(orders_as_dirty_accidents(spark, d)).table
+    return _shown(clean_accidents(orders_as_dirty_accidents(spark, d)).table)
+
+
+def _shown(done):
     return done.withColumns({"fecha": F.date_format("fecha", "yyyy-MM-dd HH:mm:ss"),
                              **{c: round_half_even(c, 6) for c in _ROUNDED}})
 
@@ -219,10 +233,10 @@ def clean_summary_query(spark, d):
     return clean_summary(done, "score_riesgo", presets.TARGET, presets.TIERS)
 
 
-@query("stats_from_train_rows")
+@query("stats_from_train_rows", f"WITH {_clean_sql(_TRAIN)} {_SHOWN}")
 def stats_from_train_rows(spark, d):
     """Cleaning whose medians and maxima come from the training share only."""
-    return clean_accidents(orders_as_dirty_accidents(spark, d), fit_on=bernoulli_mask("id_siniestro", 0.8, 5)).table
+    return _shown(clean_accidents(orders_as_dirty_accidents(spark, d), fit_on=bernoulli_mask("id_siniestro", 0.8, 5, method="md5")).table)
 
 
 # --- encoding -------------------------------------------------------------------------------------------

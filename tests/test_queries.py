@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from conftest import SMALL
 
 NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-SLOW = {"three_jobs", "stats_from_train_rows", "trained_comparison", "prediction_table", "fold_scores", "grid_scores",
+SLOW = {"three_jobs", "trained_comparison", "boosted_summary", "boosted_plain_summary", "saved_model_summary", "prediction_table", "fold_scores", "grid_scores",
         "boosted_scores", "boosted_scores_unweighted", "boosting_curve", "importances", "scored_routes",
         "route_summary_by_class", "route_top_lists", "answered_requests", "saved_model_answers", "streamed_answers",
         "logistic_scores", "forest_scores"}  # covered by test_models
