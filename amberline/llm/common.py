@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable
@@ -33,6 +34,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_shuffles(df: DataFrame) -> None:
+    """Asks the driver's JVM to collect garbage: Spark deletes the shuffle and checkpoint files of results nobody refers to any more."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def doc_key(column: str = "doc_id") -> Column:
     """doc_id as a long without nulls."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))

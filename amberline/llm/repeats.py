@@ -24,7 +24,7 @@ from .common import checkpointed, map_arrow
 OPEN, SETTLED, LEFT, KNOWN = 0, 1, 2, 3  # undecided; its windows are repeats; left to compare; repeated, and others may equal it
 FIELDS = ["key", "ctx", "doc", "mark", "loc"]
 ROWS = "key long, ctx long, doc long, mark long, loc long"
-FOUND = "doc long, mark long, loc long"
+FOUND = "key long, doc long, mark long, loc long"
 FLUSH = 400_000
 #: Lists per document up to this many bytes are broadcast to the texts; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
@@ -38,24 +38,32 @@ def unpack(loc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return loc >> 16, (loc >> 4) & 0xFFF, loc & 15
 
 
-def runs(codes: list[np.ndarray], offsets: np.ndarray, k: int, length: int) -> tuple[np.ndarray, ...]:
-    """(text, first window in it, number of windows, key, context) of all runs; windows lie inside one text."""
-    grams = vec.Sums(codes[0]).grams(k)
-    contexts = vec.Sums(codes[1], 1)
-    at, first, last = vec.winnow(grams, length - k + 1)
+def runs(codes: list[np.ndarray], offsets: np.ndarray, k: int, length: int, reach: int, contexts: bool = True) -> tuple[np.ndarray, ...]:
+    """(text, first window in it, number of windows, key, context) of all runs; windows lie inside one text.
+
+    A run is cut where the distance from its windows to the anchor passes a multiple of ``reach``: all windows of a piece hold a core
+    around the anchor, at least ``length - reach + 1`` long, whose hash is the key.
+    """
+    sums = vec.Sums(codes[0])
+    at, first, last = vec.winnow(sums.raw_grams(k), length - k + 1)
     if not len(at):
         return tuple(np.zeros(0, np.int64) for _ in range(5))
-    # cut runs where a text ends: windows that reach beyond it do not count
-    begin, end = offsets[:-1], offsets[1:] - length + 1  # its windows
-    real = end > begin
-    cuts = np.unique(np.concatenate((first, begin[real], end[real])))
-    cuts = cuts[cuts <= last[-1]]
-    stop = np.append(cuts[1:], last[-1] + 1)
-    anchor = at[np.searchsorted(first, cuts, side="right") - 1]
-    text = np.searchsorted(offsets, cuts, side="right") - 1
-    inside = stop <= end[text]
-    cuts, stop, anchor, text = cuts[inside], stop[inside], anchor[inside], text[inside]
-    return (text, cuts - offsets[text], stop - cuts, grams[anchor].view(np.int64), contexts.slices(cuts, stop + length - 1).view(np.int64))
+    # windows that lie in one text: those of the text of the run's first window, else those of the text of its last one
+    text = np.searchsorted(offsets, first, side="right") - 1
+    outside = first + length > offsets[text + 1]
+    text[outside] = np.searchsorted(offsets, last[outside], side="right") - 1
+    first, last = np.maximum(first, offsets[text]), np.minimum(last, offsets[text + 1] - length)
+    inside = first <= last
+    at, first, last, text = at[inside], first[inside], last[inside], text[inside]
+    near, far = (at - last) // reach, (at - first) // reach
+    pieces = far - near + 1
+    which = np.repeat(np.arange(len(at)), pieces)
+    step = near[which] + np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    at, text = at[which], text[which]
+    first, last = np.maximum(first[which], at - (step + 1) * reach + 1), np.minimum(last[which], at - step * reach)
+    key = sums.slices(at - step * reach, at - (step + 1) * reach + 1 + length) + step.astype(np.uint64) * vec.U64(vec.BASES[1])
+    ctx = vec.Sums(codes[1], 1).slices(first, last + length) if contexts else key
+    return text, first - offsets[text], last - first + 1, key.view(np.int64), ctx.view(np.int64)
 
 
 class Collapse:
@@ -110,7 +118,7 @@ class _Stream:
 
     def feed(self, batch: list[np.ndarray], last: bool = False) -> list[np.ndarray]:
         through = batch[4] & 15 == SETTLED
-        out = [[c[through] for c in batch[2:]]]
+        out = [[batch[0][through] * 0, *[c[through] for c in batch[2:]]]]
         key, ctx, doc, mark, loc = (np.concatenate((h, c[~through])) for h, c in zip(self.held, batch))
         n = len(key)
         if n:
@@ -135,17 +143,17 @@ class _Stream:
             done = np.arange(n) < cut
             plain = loc & ~15
             for flag, mark_as in ((settled & done, SETTLED), (left & done, as_kind)):
-                out.append([doc[flag], mark[flag], (plain | mark_as)[flag]])
+                out.append([key[flag] if mark_as is not SETTLED else np.zeros(int(flag.sum()), np.int64), doc[flag], mark[flag], (plain | mark_as)[flag]])
         return [np.concatenate(c) for c in zip(*out)]
 
 
 def settle(rows: DataFrame, smaller_only: bool, leave: bool) -> DataFrame:
-    """(doc, mark, loc) of settled rows and of those left to compare."""
+    """(key, doc, mark, loc) of settled rows, with key 0, and of those left to compare."""
     ordered = rows.repartition("key").sortWithinPartitions(*FIELDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = _Stream(smaller_only, leave)
-        names = ["doc", "mark", "loc"]
+        names = ["key", "doc", "mark", "loc"]
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in stream.feed([np.asarray(batch.column(c)) for c in FIELDS])], names=names)
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in stream.feed([np.zeros(0, np.int64)] * 5, last=True)], names=names)
@@ -154,8 +162,16 @@ def settle(rows: DataFrame, smaller_only: bool, leave: bool) -> DataFrame:
 
 
 def per_document(found: DataFrame) -> DataFrame:
-    """(doc, mark, locs): the rows of each document together."""
-    return found.groupBy("doc", "mark").agg(F.collect_list("loc").alias("locs"))
+    """(doc, mark, locs, left): each document's settled rows, and those left to compare as (loc, key)."""
+    settled = F.col("loc").bitwiseAND(F.lit(15)) == SETTLED
+    return found.groupBy("doc", "mark").agg(F.collect_list(F.when(settled, F.col("loc"))).alias("locs"),
+                                            F.collect_list(F.when(~settled, F.struct("loc", "key"))).alias("left"))
+
+
+def settled_of(found: DataFrame, more: DataFrame) -> DataFrame:
+    """(doc, mark, locs) with the rows settled by comparing."""
+    lists = found.join(more.select("doc", "mark", F.col("locs").alias("more")), ["doc", "mark"], "left")
+    return lists.select("doc", "mark", F.concat("locs", F.coalesce("more", F.array().cast("array<long>"))).alias("locs"))
 
 
 def merged(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,9 +192,8 @@ def spans_of(lists: DataFrame, length: int) -> DataFrame:
             values, at = batch.column("locs").values.to_numpy(), batch.column("locs").offsets.to_numpy()
             spans = []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-                first, count, kind = unpack(values[a:b])
-                ok = kind == SETTLED
-                x, y = merged(first[ok], (first + count + length - 1)[ok])
+                first, count, _ = unpack(values[a:b])
+                x, y = merged(first, first + count + length - 1)
                 spans.append(np.stack((x, y), 1).ravel())
             lengths = np.array([len(s) for s in spans], dtype=np.int32)
             joined = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats, vec
-from .common import checkpointed, doc_key, map_arrow, text_mark
+from .common import checkpointed, doc_key, free_shuffles, map_arrow, text_mark
 
 LENGTH = 35
 SEED = 12
@@ -34,7 +34,7 @@ def _windows(length: int):
         rows = repeats.Collapse(False)
         for batch in batches:
             doc, mark = np.asarray(batch.column("doc")), np.asarray(batch.column("mark"))
-            values, at = batch.column("locs").values.to_numpy(), batch.column("locs").offsets.to_numpy()
+            values, at = batch.column("left").values.field("loc").to_numpy(), batch.column("left").offsets.to_numpy()
             for first, end, buf, offsets in vec.blocks(batch.column("text")):
                 codes, firsts, _, _ = _word_codes(buf, offsets)
                 lists = np.diff(at[first:end + 1])
@@ -61,15 +61,13 @@ def repeated_words(docs: DataFrame, length: int = LENGTH, seed: int = SEED, key:
 
     def cut(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         codes, firsts, _, _ = _word_codes(buf, offsets)
-        return repeats.runs(codes, firsts, seed, length)
+        return repeats.runs(codes, firsts, seed, length, length - seed + 1)
 
     found = checkpointed(repeats.per_document(repeats.settle(repeats.run_rows(texts, cut, False), False, True)))
-    wanted = F.filter("locs", lambda x: x.bitwiseAND(F.lit(15)) >= repeats.LEFT)
-    left = found.select("doc", "mark", wanted.alias("locs")).where(F.size("locs") > 0)
-    beside = repeats.beside_text(texts, left, "locs", "inner").select("doc", "mark", "text", "locs")
-    more = repeats.per_document(repeats.settle(map_arrow(beside, _windows(length), repeats.ROWS), False, False))
-    lists = found.join(more.withColumnRenamed("locs", "more"), ["doc", "mark"], "left")
-    return repeats.spans_of(lists.select("doc", "mark", F.concat("locs", F.coalesce("more", F.array().cast("array<long>"))).alias("locs")), length)
+    free_shuffles(found)
+    beside = repeats.beside_text(texts, found.select("doc", "mark", "left").where(F.size("left") > 0), "left", "inner")
+    windows = map_arrow(beside.select("doc", "mark", "text", "left"), _windows(length), repeats.ROWS)
+    return repeats.spans_of(repeats.settled_of(found, repeats.per_document(repeats.settle(windows, False, False))), length)
 
 
 def _apply(width: int, at: int):

@@ -27,61 +27,62 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     below, above = list(range(-1, count - 1)), list(range(1, count + 1))
     left, right = list(range(-1, n + 1)), list(range(1, n + 3))
     smaller = [0] * (n + 1)  # previous smaller suffix, 0 if there is none
-    taken: list[list[int]] = []
-
-    def split(holder: int, moved: list[int]) -> None:
-        new = len(below)
-        over = above[holder]
-        below.append(holder)
-        above.append(over)
-        above[holder] = new
-        below[over] = new
-        members.append(moved)
-        size.append(len(moved))
-        size[holder] -= len(moved)
-        for j in moved:
-            group[j] = new
+    taken: list[int] = []
 
     current = count - 1
     while current >= 0:
         here = members[current]
         if size[current] != len(here):
-            here = [i for i in here if group[i] == current]
+            here = members[current] = [i for i in here if group[i] == current]
         if len(here) == 1:
             i = here[0]
-            j, r = left[i], right[i]
+            j = left[i]
+            r = right[i]
             right[j] = r
             left[r] = j
             smaller[i] = j
-            if j and size[group[j]] > 1:
-                split(group[j], [j])
-        elif here:
+            holder = group[j]
+            if size[holder] > 1 and j:
+                moves = ((holder, [j]),)
+            else:
+                moves = ()
+        else:
             pointed: dict[int, int] = {}
             for i in here:
-                j, r = left[i], right[i]
+                j = left[i]
+                r = right[i]
                 right[j] = r
                 left[r] = j
                 smaller[i] = j
                 pointed[j] = pointed.get(j, 0) + 1
             pointed.pop(0, None)
-            times = set(pointed.values())
-            for t in sorted(times, reverse=True):
-                by_group: dict[int, list[int]] = {}
-                for j, k in pointed.items():
-                    if k == t:
-                        by_group.setdefault(group[j], []).append(j)
-                for holder, moved in by_group.items():
-                    if len(moved) < size[holder]:  # else the whole group moves, which changes nothing
-                        split(holder, moved)
-        taken.append(here)
+            by_group: dict[tuple[int, int], list[int]] = {}
+            for j, times in pointed.items():
+                by_group.setdefault((-times, group[j]), []).append(j)
+            # those that many point to move first, and so end up highest
+            moves = [(holder, moved) for (_, holder), moved in sorted(by_group.items())] if len(by_group) > 1 else \
+                    [(holder, moved) for (_, holder), moved in by_group.items()]
+        for holder, moved in moves:
+            n_moved = len(moved)
+            if n_moved < size[holder]:  # else the whole group moves, which changes nothing
+                new = len(below)
+                over = above[holder]
+                below.append(holder)
+                above.append(over)
+                above[holder] = below[over] = new
+                members.append(moved)
+                size.append(n_moved)
+                size[holder] -= n_moved
+                for j in moved:
+                    group[j] = new
+        taken.append(current)
         current = below[current]
 
     front = [0] * len(below)
     at = 0
-    for here in reversed(taken):
-        if here:
-            front[group[here[0]]] = at
-            at += len(here)
+    for g in reversed(taken):
+        front[g] = at
+        at += size[g]
     out = [0] * n
     placed = bytearray(n + 1)
     placed[0] = placed[n] = 1

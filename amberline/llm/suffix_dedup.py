@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes covered by long strings that also start in a document with a smaller id.
 
 Suffix arrays (``suffix_array``) decide which 50-byte strings are equal.  Sorting all suffixes in Python would cost microseconds a byte, so
-what needs no comparison is taken out first: winnowed 20-byte anchors that occur once, and whole contexts of an
+what needs no comparison is taken out first: winnowed anchors that occur once, and whole contexts of an
 anchor that are copies of each other (see ``repeats``).  The contexts that share an anchor but differ meet in blocks; strings that are
 nowhere twice by their hashes are left out, and the rest of a block is sorted.  Only blocks of an anchor that is too common for
 one block need strings of several blocks compared; these go through one more grouping by 128-bit hashes.
@@ -19,27 +19,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import repeats, vec
-from .common import checkpointed, doc_key, map_arrow, text_mark
+from .common import checkpointed, doc_key, free_shuffles, map_arrow, text_mark
 from .suffix_array import equal_windows
 
 LENGTH = 50
-SEED = 20
+#: Anchors are chosen by 12 bytes and told apart by 31 bytes around them.
+SEED, REACH = 12, 20
 #: Bits of the bitmap of repeated anchors (16 MB at any input size), used for inputs of at most so many partitions.
 BITMAP_BITS = 27
 BITMAP_PARTITIONS = 256
 BLOCK = 1 << 21
 
 
-def _cutter(length: int, seed: int):
+def _cutter(length: int, seed: int, reach: int, contexts: bool = True):
     def cut(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        return repeats.runs([vec.BYTE_TABLES[i][buf] for i in (0, 1)], offsets, seed, length)
+        return repeats.runs([vec.BYTE_TABLES[i][buf] for i in ((0, 1) if contexts else (0,))], offsets, seed, length, reach, contexts)
 
     return cut
 
 
-def repeated_anchors(texts: DataFrame, length: int, seed: int) -> np.ndarray:
+def repeated_anchors(texts: DataFrame, length: int, seed: int, reach: int) -> np.ndarray:
     """A bitmap with a bit set for every anchor hash (its leading bits) that occurs twice."""
-    cut = _cutter(length, seed)
+    cut = _cutter(length, seed, reach, contexts=False)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -86,28 +87,27 @@ def _filtered(cut, block):
 CONTEXTS = "key long, doc long, mark long, loc long, body binary"
 
 
-def _contexts(cut, length: int):
+def _contexts(length: int):
     """The bytes of the contexts that are left to compare, with their anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, mark = np.asarray(batch.column("doc")), np.asarray(batch.column("mark"))
-            values, at = batch.column("locs").values.to_numpy(), batch.column("locs").offsets.to_numpy()
+            left, at = batch.column("left").values, batch.column("left").offsets.to_numpy()
+            locs, keys = left.field("loc").to_numpy(), left.field("key").to_numpy()
             for first, end, buf, offsets in vec.blocks(batch.column("text")):
                 text = np.repeat(np.arange(end - first), np.diff(at[first:end + 1]))
                 if not len(text):
                     continue
-                loc = values[at[first]:at[end]]
+                loc = locs[at[first]:at[end]]
                 lo, count, _ = repeats.unpack(loc)
-                r_text, r_lo, _, r_key, _ = cut(buf, offsets)
-                where = np.searchsorted(r_lo + offsets[r_text], lo + offsets[text])
                 begin = offsets[text] + lo
                 sizes = count + length - 1
                 total = np.concatenate(([0], np.cumsum(sizes)))
                 body = buf[np.repeat(begin - total[:-1], sizes) + np.arange(total[-1])]
                 bodies = pa.Array.from_buffers(pa.large_binary(), len(text), [None, pa.py_buffer(total.astype(np.int64)), pa.py_buffer(body)])
-                yield pa.RecordBatch.from_arrays([pa.array(r_key[where]), pa.array(doc[first + text]), pa.array(mark[first + text]), pa.array(loc),
-                                                  bodies.cast(pa.binary())], names=["key", "doc", "mark", "loc", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at[first]:at[end]]), pa.array(doc[first + text]), pa.array(mark[first + text]),
+                                                  pa.array(loc), bodies.cast(pa.binary())], names=["key", "doc", "mark", "loc", "body"])
 
     return run
 
@@ -136,12 +136,20 @@ def compare(doc: np.ndarray, mark: np.ndarray, loc: np.ndarray, bodies: pa.Array
         fresh = np.r_[True, (m[1:] != m[:-1] + 1) | (owner[m[1:]] != owner[m[:-1]])]
         begin = np.flatnonzero(fresh)
         last = np.append(begin[1:] - 1, len(m) - 1)
-        position, kind = equal_windows(data, at[m[begin]], at[m[last]] + length, length)
-        window = np.searchsorted(at, position)  # contexts follow each other, so window positions ascend
-        docs = doc[owner[window]]
-        bounds = np.flatnonzero(np.r_[True, kind[1:] != kind[:-1]])
-        least = np.minimum.reduceat(docs, bounds)[kind]
-        settled[window[docs > least]] = True
+        start, end = at[m[begin]], at[m[last]] + length
+        # equal strings are sorted once
+        raw, seen = data.tobytes(), {}
+        same_as = np.array([seen.setdefault(raw[x:y], i) for i, (x, y) in enumerate(zip(start.tolist(), end.tolist()))])
+        once = np.flatnonzero(same_as == np.arange(len(same_as)))
+        position, kind = equal_windows(data, start[once], end[once], length)
+        class_at = np.zeros(len(data), dtype=np.int64)
+        class_at[position] = kind
+        piece = np.cumsum(fresh) - 1
+        kind = class_at[at[m] - start[piece] + start[same_as[piece]]]
+        docs = doc[owner[m]]
+        least = np.full(int(kind.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, kind, docs)
+        settled[m[docs > least[kind]]] = True
     first = lo[owner] + at - offsets[owner]
     s = np.flatnonzero(settled)
     fresh = np.r_[True, (s[1:] != s[:-1] + 1) | (owner[s[1:]] != owner[s[:-1]])][:len(s)]
@@ -208,7 +216,7 @@ def _blocks(length: int, block: int):
     return run
 
 
-def removed_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, block: int = BLOCK, bitmap: bool | None = None,
+def removed_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, reach: int = REACH, block: int = BLOCK, bitmap: bool | None = None,
                   key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, mark, spans): maximal byte ranges, first and end in turn, covered by strings that also start in a smaller document.
 
@@ -216,18 +224,17 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, block
     the number of input partitions.  The result does not depend on it, nor on ``block``.
     """
     texts = docs.select(doc_key(key).alias("doc"), text_mark(text).alias("mark"), F.col(text).alias("text"))
-    cut = _cutter(length, seed)
-    chosen = cut
+    cut = _cutter(length, seed, reach)
     if bitmap if bitmap is not None else texts.rdd.getNumPartitions() <= BITMAP_PARTITIONS:
-        chosen = _filtered(cut, docs.sparkSession.sparkContext.broadcast(repeated_anchors(texts, length, seed)))
-    found = checkpointed(repeats.per_document(repeats.settle(repeats.run_rows(texts, chosen, True), True, True)))
-    wanted = F.filter("locs", lambda x: x.bitwiseAND(F.lit(15)) == repeats.LEFT)
-    left = found.select("doc", "mark", F.array_sort(wanted).alias("locs")).where(F.size("locs") > 0)
-    beside = repeats.beside_text(texts, left, "locs", "inner").select("doc", "mark", "text", "locs")
-    contexts = map_arrow(beside, _contexts(cut, length), CONTEXTS).repartition("key").sortWithinPartitions("key", "doc", "mark", "loc")
-    more = repeats.per_document(repeats.settle(map_arrow(contexts, _blocks(length, block), repeats.ROWS), True, False))
-    lists = found.join(more.withColumnRenamed("locs", "more"), ["doc", "mark"], "left")
-    return repeats.spans_of(lists.select("doc", "mark", F.concat("locs", F.coalesce("more", F.array().cast("array<long>"))).alias("locs")), length)
+        cut = _filtered(cut, docs.sparkSession.sparkContext.broadcast(repeated_anchors(texts, length, seed, reach)))
+        free_shuffles(texts)
+    found = checkpointed(repeats.per_document(repeats.settle(repeats.run_rows(texts, cut, True), True, True)))
+    free_shuffles(found)
+    beside = repeats.beside_text(texts, found.select("doc", "mark", "left").where(F.size("left") > 0), "left", "inner")
+    contexts = map_arrow(beside.select("doc", "mark", "text", "left"), _contexts(length), CONTEXTS)
+    ordered = contexts.repartition("key").sortWithinPartitions("key", "doc", "mark", "loc")
+    more = repeats.per_document(repeats.settle(map_arrow(ordered, _blocks(length, block), repeats.ROWS), True, False))
+    return repeats.spans_of(repeats.settled_of(found, more), length)
 
 
 def _apply(width: int, at: int):

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 18  #: small enough that the arrays of a block stay in the cache
 SPACES = b" \t\n\x0b\x0c\r"
 _rng = np.random.default_rng(20240917)
 BYTE_TABLES = _rng.integers(1, 1 << 63, size=(2, 256), dtype=np.uint64) * U64(2) + U64(1)
@@ -96,8 +96,12 @@ class Sums:
 
     def grams(self, k: int) -> np.ndarray:
         """Hashes of all slices of length k, by start."""
+        return mix(self.raw_grams(k) + U64(k))
+
+    def raw_grams(self, k: int) -> np.ndarray:
+        """The same without mixing: the leading bits are good enough to choose by."""
         m = len(self.sums) - k
-        return mix((self.sums[k:] - self.sums[:m]) * self.down[:m] + U64(k)) if m > 0 else np.zeros(0, np.uint64)
+        return (self.sums[k:] - self.sums[:m]) * self.down[:m] if m > 0 else np.zeros(0, np.uint64)
 
 
 def word_spans(buf: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
