@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from . import chat, decontaminate, language, line_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, url_rules
 from .common import table
+from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(name: str):
