@@ -19,6 +19,7 @@ from ..plans import prepare, train
 from ..sources import tables
 from ..streaming import feed
 from . import metrics, modelling
+from .rating import LINE_KEY
 from .registry import query, sql_cut, sql_round, sql_uniform, table
 from .synthesis import ACCIDENTS, orders_as_dirty_accidents
 
@@ -163,6 +164,26 @@ for _kind in modelling.SETTINGS:
     query(f"{_kind}_summary", _summary_sql())(lambda spark, d, kind=_kind: _summary(spark, d, kind))
 
 
+LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("return_flag_summary", """
+WITH g AS (SELECT l_returnflag AS tier, count(*) AS n FROM lineitem GROUP BY 1),
+t AS (SELECT *, sum(n) OVER () AS total, ceil(sum(n) OVER () * 0.2::DOUBLE)::BIGINT AS k FROM g),
+q AS (SELECT *, (k*n) // total AS whole, (k*n) % total AS rest FROM t),
+s AS (SELECT tier, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, n DESC, tier) <= k - (SELECT sum(whole) FROM q) THEN 1 ELSE 0 END AS m FROM q)
+SELECT tier, m::BIGINT AS n_test, m::BIGINT AS sums_to_one FROM s""")
+def return_flag_summary(spark, d):
+    """A model on given columns: the return flag of line items."""
+    lines = table(spark, d, "lineitem").select(F.concat_ws("-", *LINE_KEY).alias("line"), *LINE_FEATURES, "l_returnflag")
+    rows, test = train.split_table(lines, "line", "l_returnflag", method="md5")
+    fit = train.bounded(rows, "line", "l_returnflag", modelling.FIT_ROWS)
+    model = models.fit_model(fit, "logistic", LINE_FEATURES, "l_returnflag", presets.LOGISTIC, True)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+    return models.class_probabilities(model, test).groupBy(F.col("l_returnflag").alias("tier")).agg(
+        F.count(F.lit(1)).alias("n_test"), F.count_if(F.abs(total - 1.0) < 1e-9).alias("sums_to_one"))
+
+
 @query("saved_model_summary", "SELECT count(*) AS answers, count(*) AS equal_answers FROM events")
 def saved_model_summary(spark, d):
     """A saved model gives the same answers."""

@@ -20,12 +20,12 @@ def inject_nulls(df: DataFrame, key: str, columns: Sequence[str], p: float, seed
 
 
 def inject_outliers(df: DataFrame, key: str, outliers: Sequence[tuple[str, Sequence]], per_column: int,
-                    seed: int, method: str = "xxhash64") -> DataFrame:
+                    seed: int, method: str = "xxhash64", total: int | None = None) -> DataFrame:
     """One sample, cut into consecutive groups; group i gets absurd values in column i.
 
     The groups are hash ranges, so this is a narrow projection of the input.
     """
-    marked = with_sample_group(df, key, [per_column] * len(outliers), seed, "_group", method)
+    marked = with_sample_group(df, key, [per_column] * len(outliers), seed, "_group", method, total)
     u = draws.uniforms(seed, [f"outlier.{c}" for c, _ in outliers], key, method)
     new = {}
     for i, (column, values) in enumerate(outliers):
@@ -35,14 +35,14 @@ def inject_outliers(df: DataFrame, key: str, outliers: Sequence[tuple[str, Seque
 
 
 def inject_texts(df: DataFrame, key: str, column: str, texts: Sequence[str], k: int, seed: int,
-                 method: str = "xxhash64") -> DataFrame:
+                 method: str = "xxhash64", total: int | None = None) -> DataFrame:
     """Overwrite ``column`` with one of ``texts`` in exactly ``k`` sampled rows."""
-    marked = with_sample_group(df, key, [k], seed, "_group", method)
+    marked = with_sample_group(df, key, [k], seed, "_group", method, total)
     drawn = marked.withColumn("_u", draws.uniform(seed, f"text.{column}", key, method))
     bad = draws.choice("_u", list(texts))
     return drawn.withColumn(column, F.when(F.col("_group") == 0, bad).otherwise(F.col(column))).drop("_group", "_u")
 
 
-def append_copies(df: DataFrame, key: str, k: int, seed: int, method: str = "xxhash64") -> DataFrame:
+def append_copies(df: DataFrame, key: str, k: int, seed: int, method: str = "xxhash64", total: int | None = None) -> DataFrame:
     """Append exact copies of ``k`` sampled rows."""
-    return df.unionByName(sample_rows(df, key, k, seed, method))
+    return df.unionByName(sample_rows(df, key, k, seed, method, total))

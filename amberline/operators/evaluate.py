@@ -39,23 +39,24 @@ def _per_class(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def class_report(df: DataFrame, actual: str, predicted: str, dp: int = 4) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy, macro and weighted averages.
 
-    After the confusion counts every step works on one row per class.
+    After the confusion counts, whose exchange both parts of the report share, there is one row per class.
     """
-    rows = F.collect_list(F.struct("label", "precision", "recall", "f1", "support"))
     total = F.sum("support")
 
     def weighted(c: str) -> Column:
         return F.sum(F.col(c) * F.col("support")) / total
 
     none = F.lit(None).cast("double")
-    all_rows = F.concat(rows, F.array(
+    averages = F.array(
         F.struct(F.lit("accuracy").alias("label"), none.alias("precision"), none.alias("recall"),
                  (F.sum("hits") / total).alias("f1"), total.alias("support")),
         F.struct(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
                  F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), total.alias("support")),
         F.struct(F.lit("weighted avg").alias("label"), weighted("precision").alias("precision"),
-                 weighted("recall").alias("recall"), weighted("f1").alias("f1"), total.alias("support"))))
-    report = _per_class(df, actual, predicted).agg(all_rows.alias("r")).select(F.explode("r").alias("s")).select("s.*")
+                 weighted("recall").alias("recall"), weighted("f1").alias("f1"), total.alias("support")))
+    classes = _per_class(df, actual, predicted)
+    report = classes.select("label", "precision", "recall", "f1", "support").unionByName(
+        classes.agg(averages.alias("r")).select(F.explode("r").alias("s")).select("s.*"))
     return report.select("label", *[round_half_even(c, dp).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 

@@ -99,20 +99,21 @@ def _up_to(hashed: Column, key: str, cut: tuple) -> Column:
     return (hashed < F.lit(h)) | ((hashed == F.lit(h)) & (F.col(key) <= F.lit(k)))
 
 
-def sample_rows(df: DataFrame, key: str, k: int, seed: int, method: str = "xxhash64") -> DataFrame:
+def sample_rows(df: DataFrame, key: str, k: int, seed: int, method: str = "xxhash64", total: int | None = None) -> DataFrame:
     """Exactly ``k`` rows (all rows if there are fewer) without replacement."""
-    return with_sample_group(df, key, [k], seed, "_group", method).where(F.col("_group") == 0).drop("_group")
+    return with_sample_group(df, key, [k], seed, "_group", method, total).where(F.col("_group") == 0).drop("_group")
 
 
 def with_sample_group(df: DataFrame, key: str, sizes: Sequence[int], seed: int, out: str,
-                      method: str = "xxhash64") -> DataFrame:
+                      method: str = "xxhash64", total: int | None = None) -> DataFrame:
     """Number of the group a row was sampled into, NULL for the rest.
 
     One sample without replacement is cut by sample position into consecutive
     groups of the given sizes; the groups are ranges of the row's hash.
+    ``total``, the number of rows, is counted if it is not given.
     """
     hashed = draws.rank_hash(seed, key, method)
-    total = df.count()
+    total = df.count() if total is None else total
     ends, at = [], 0
     for size in sizes:
         at += size

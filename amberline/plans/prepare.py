@@ -63,10 +63,11 @@ def dirty_accidents(df: DataFrame, key: str = "id_siniestro", seed: int = 42, ou
                     bad_dates: int = presets.BAD_DATE_ROWS, copies: int = presets.COPIED_ROWS,
                     method: str = "xxhash64") -> DataFrame:
     """The table with gaps, absurd values, bad dates and copies; ``df`` should be a stored table."""
+    total = df.count()
     out = inject_nulls(df, key, presets.NULLABLE_COLUMNS, presets.NULL_RATE, seed, method)
-    out = inject_outliers(out, key, presets.OUTLIERS, outliers, seed + 1, method)
-    out = inject_texts(out, key, "fecha", presets.BAD_DATES, bad_dates, seed + 2, method)
-    return append_copies(out, key, copies, seed + 3, method)
+    out = inject_outliers(out, key, presets.OUTLIERS, outliers, seed + 1, method, total)
+    out = inject_texts(out, key, "fecha", presets.BAD_DATES, bad_dates, seed + 2, method, total)
+    return append_copies(out, key, copies, seed + 3, method, total)
 
 
 def derive(df: DataFrame, max_rain: float, max_visibility: float, with_season: bool = True) -> DataFrame:
