@@ -123,7 +123,12 @@ def final_metrics(spark, d):
 
 
 def _compared(spark, d):
-    return evaluate.compare([(f"model {v}", evaluate.metrics(predictions(spark, d, v), "y", "pred", PROBABILITIES)) for v in "abc"])
+    """All models in one table, counted and ranked together."""
+    together = None
+    for i, v in enumerate("abc"):
+        part = predictions(spark, d, v).select(F.lit(i).alias("position"), F.lit(f"model {v}").alias("model"), "y", "pred", *PROBABILITIES.values())
+        together = part if together is None else together.unionByName(part)
+    return evaluate.metrics(together, "y", "pred", PROBABILITIES, by=["position", "model"])
 
 
 _COMPARED = ", ".join(_all_sql(v, v) for v in "abc") + ", cmp AS (" + " UNION ALL ".join(

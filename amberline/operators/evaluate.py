@@ -14,23 +14,23 @@ from .order_stats import prefix_sums
 from .profile import first_best
 
 
-def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    return (df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull()).groupBy(actual, predicted)
+def confusion(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    return (df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull()).groupBy(*by, actual, predicted)
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _per_class(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """One row per class seen as actual or predicted: support, predictions, hits, scores."""
+def _per_class(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per class seen as actual or predicted (in each group): support, predictions, hits, scores."""
     y, p, n = F.col(actual).cast("string"), F.col(predicted).cast("string"), F.col("n")
     zero = F.lit(0).cast("long")
     parts = F.array(
         F.struct(y.alias("label"), n.alias("support"), zero.alias("predicted"), F.when(y == p, n).otherwise(zero).alias("hits")),
         F.struct(p.alias("label"), zero.alias("support"), n.alias("predicted"), zero.alias("hits")))
-    counted = (confusion(df, actual, predicted).select(F.explode(parts).alias("s")).select("s.*").groupBy("label")
+    counted = (confusion(df, actual, predicted, by).select(*by, F.explode(parts).alias("s")).select(*by, "s.*").groupBy(*by, "label")
                .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hits").alias("hits")))
     hits = F.col("hits").cast("double")
     return counted.select(
-        "label", "support", "hits",
+        *by, "label", "support", "hits",
         F.coalesce(F.try_divide(hits, F.col("predicted")), F.lit(0.0)).alias("precision"),
         F.coalesce(F.try_divide(hits, F.col("support")), F.lit(0.0)).alias("recall"),
         F.coalesce(F.try_divide(hits * 2.0, F.col("predicted") + F.col("support")), F.lit(0.0)).alias("f1"))
@@ -60,10 +60,10 @@ def class_report(df: DataFrame, actual: str, predicted: str, dp: int = 4) -> Dat
     return report.select("label", *[round_half_even(c, dp).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
-def class_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Accuracy, macro F1 and weighted F1 in one row."""
+def class_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, macro F1 and weighted F1 in one row (for each group)."""
     total = F.sum("support")
-    return _per_class(df, actual, predicted).agg(
+    return _per_class(df, actual, predicted, by).groupBy(*by).agg(
         (F.sum("hits") / total).alias("accuracy"), F.avg("f1").alias("f1_macro"),
         (F.sum(F.col("f1") * F.col("support")) / total).alias("f1_weighted"))
 
@@ -89,7 +89,7 @@ def log_loss(df: DataFrame, actual: str, probabilities: Mapping[str, str | Colum
     return df.groupBy(*by).agg(F.avg(F.when(p.isNotNull(), -F.log(safe))).alias("log_loss"))
 
 
-def roc_auc_by_class(df: DataFrame, actual: str, probabilities: Mapping[str, str]) -> DataFrame:
+def roc_auc_by_class(df: DataFrame, actual: str, probabilities: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:
     """One-versus-rest area under the ROC curve per class; NULL if the class or its rest is empty or a score is missing.
 
     Rows are first added up per (class, score).  The number of negatives below
@@ -99,27 +99,27 @@ def roc_auc_by_class(df: DataFrame, actual: str, probabilities: Mapping[str, str
     pairs = F.array(*[F.struct(F.lit(label).alias("label"), F.col(c).cast("double").alias("score"),
                                F.when(F.col(actual) == F.lit(label), one).otherwise(zero).alias("pos"))
                       for label, c in probabilities.items()])
-    scored = (df.where(F.col(actual).isNotNull()).select(F.explode(pairs).alias("s")).select("s.*")
-              .groupBy("label", "score").agg(F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg")))
-    ranked = prefix_sums(scored, ["label"], ["score"], {"neg_below": "neg"}, "auc")
+    scored = (df.where(F.col(actual).isNotNull()).select(*by, F.explode(pairs).alias("s")).select(*by, "s.*")
+              .groupBy(*by, "label", "score").agg(F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg")))
+    ranked = prefix_sums(scored, [*by, "label"], ["score"], {"neg_below": "neg"}, "auc")
     won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0)))
-    return ranked.groupBy("label").agg(
+    return ranked.groupBy(*by, "label").agg(
         F.when(F.count("score") == F.count(F.lit(1)), F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
 
 
-def roc_auc_ovr(df: DataFrame, actual: str, probabilities: Mapping[str, str]) -> DataFrame:
+def roc_auc_ovr(df: DataFrame, actual: str, probabilities: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:
     """Macro average of the class areas; missing as soon as one class area is undefined."""
-    per = roc_auc_by_class(df, actual, probabilities)
-    return per.agg(F.when(F.count("auc") == F.count(F.lit(1)), F.avg("auc")).alias("auc"))
+    per = roc_auc_by_class(df, actual, probabilities, by)
+    return per.groupBy(*by).agg(F.when(F.count("auc") == F.count(F.lit(1)), F.avg("auc")).alias("auc"))
 
 
-def metrics(df: DataFrame, actual: str, predicted: str, probabilities: Mapping[str, str] | None = None) -> DataFrame:
-    """One row: accuracy, f1_macro, f1_weighted, auc."""
-    row = class_metrics(df, actual, predicted)
+def metrics(df: DataFrame, actual: str, predicted: str, probabilities: Mapping[str, str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """One row (for each group, say each model): accuracy, f1_macro, f1_weighted, auc."""
+    row = class_metrics(df, actual, predicted, by)
     if probabilities is None:
         return row.withColumn("auc", F.lit(None).cast("double"))
-    both = row.unionByName(roc_auc_ovr(df, actual, probabilities), allowMissingColumns=True)
-    return both.agg(*[F.max(m).alias(m) for m in METRICS])  # each column has one non-null row
+    both = row.unionByName(roc_auc_ovr(df, actual, probabilities, by), allowMissingColumns=True)
+    return both.groupBy(*by).agg(*[F.max(m).alias(m) for m in METRICS])  # each column has one non-null row
 
 
 METRICS = ["accuracy", "f1_macro", "f1_weighted", "auc"]
