@@ -22,7 +22,8 @@ from .synthesis import orders_as_dirty_accidents
 FIT_ROWS = 2_000
 SETTINGS = {"logistic": (presets.LOGISTIC, True), "forest": (presets.FOREST, True), "boosted": (presets.BOOSTED_WEIGHTED, True),
             "boosted_plain": (presets.BOOSTED_PLAIN, False)}
-#: The grid's settings with a tenth of the rounds: 48 fits of three boosters each, which are Spark jobs by the thousand.
+#: Validation and search, 5 and 48 fits of three boosters each, run with a tenth of the rounds: a round is several Spark jobs.
+FOLD_SETTINGS = {**presets.BOOSTED_PLAIN, "maxIter": presets.BOOSTED_PLAIN["maxIter"] // 10}
 GRID = {**presets.GRID, "maxIter": [n // 10 for n in presets.GRID["maxIter"]]}
 KEY = "id_siniestro"
 
@@ -120,7 +121,7 @@ def _fit_rows(spark, d):
 @query("fold_scores")
 def fold_scores(spark, d):
     rows = sample.stratified_folds(_fit_rows(spark, d), KEY, presets.TARGET, presets.CV_FOLDS)
-    return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, presets.BOOSTED_PLAIN)
+    return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, FOLD_SETTINGS)
 
 
 @query("grid_scores")
@@ -195,10 +196,10 @@ def streamed_first_events(spark, d):
 
 @query("three_jobs")
 def three_jobs(spark, d):
-    """Dirty accidents to clean table, model and rated routes with the fitted labels and maxima."""
+    """Dirty accidents to clean table, the better of two models, and rated routes with the fitted labels and maxima."""
     prepared = prepare.clean_accidents(orders_as_dirty_accidents(spark, d))
-    done = train.train_and_compare(prepared.table, KEY, settings={"boosted": presets.BOOSTED_WEIGHTED}, fit_rows=FIT_ROWS)
+    done = train.train_and_compare(prepared.table, KEY, settings={"logistic": presets.LOGISTIC, "forest": presets.FOREST}, fit_rows=FIT_ROWS)
     top = prepared.stats.maxima
-    rated = rate_routes.rate_routes(_routes(spark, d), done.models["boosted"], prepared.labels,
+    rated = rate_routes.rate_routes(_routes(spark, d), done.best()[1], prepared.labels,
                                     top["lluvia_mm"], top["visibilidad_km"])
     return rated.by_score
