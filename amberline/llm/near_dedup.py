@@ -5,9 +5,10 @@ Knudsen and Thorup fills its bins in rounds: in round i every element throws the
 round t on, into bin i - t), bins keep their least value, and rounds go on until no bin is empty.  Every coordinate is filled, and two
 sketches agree in a share of coordinates that is sharply concentrated at the Jaccard similarity.
 
-Bands of coordinates give buckets.  Links are sought from pivots, the most central nodes of a bucket, so that a group of near
-copies costs a comparison per member, and only for members of different components: rounds with more and more
-pivots go on until every bucket is one component or has had all its members as pivots.  Each link is confirmed on full sets.
+Bands of coordinates give buckets.  Each node is first compared with the most central node of all its buckets, its pivot, so that a group
+of near copies costs a comparison per member.  Then rounds with more and more pivots of each bucket go on until the bucket is one
+component or all its members have been pivots; only members of different components are compared, and, as 1 - Jaccard is a
+metric, only those whose similarities to a common pivot differ by no more than a link allows.  Links are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -21,15 +22,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from . import vec
-from .common import NO_ID, checkpointed, doc_key, map_arrow, small_side, text_mark
+from .common import NO_ID, checkpointed, doc_key, free_shuffles, map_arrow, text_mark
 
 SHINGLE = 5
 PERCENT = 85
-#: 40 bands of 6: a pair at similarity 0.85 is in no common bucket with probability (1 - 0.85 ** 6) ** 40 = 6e-9.
-BANDS, ROWS = 40, 6
-#: A pair whose sketches agree in a smaller share is left out: 6.5 standard deviations below the threshold.
-SKETCH_MARGIN = 0.15
+#: 32 bands of 6: a pair at similarity 0.85 is in no common bucket with probability (1 - 0.85 ** 6) ** 32 = 3e-7.
+BANDS, ROWS = 32, 6
+#: Coordinates of a sketch, a multiple of 64; the bands use the first ones.  Kept are four bits of each, and one bit of each for comparing inside
+#: buckets.  A pair is left out if its sketches agree so little that this is five standard deviations below the threshold (one linked pair in 3 million).
+COORDINATES = 768
+DEVIATIONS = 5
 BLOCK_ROWS = 2_048
+#: At most so many pairs (of six longs) are broadcast to the texts; more are joined by a shuffle.
+SMALL_PAIRS = 100_000
+#: Pivots of a bucket in the first round after the hubs, and how many times as many each further round takes.
+PIVOTS, PIVOT_GROWTH = 64, 64
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
@@ -69,28 +76,34 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
 
 
 def _describe(bands: int, rows: int, k: int):
-    t = bands * rows
+    t = max(COORDINATES, -(-bands * rows // 64) * 64)
+    longs = t // 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(at, BLOCK_ROWS)
-                nodes, sizes, band_lists, marks = [], [], [], []
+                nodes, sizes, band_lists, marks, packed = [], [], [], [], []
                 for first, end, buf, offsets in vec.blocks(part.column("text")):
                     sets = shingle_sets(buf, offsets, k)
                     matrix = sketches(sets, t)
                     sizes.append(np.array([len(s) for s in sets], dtype=np.int64))
                     nodes.append(np.array([int(vec.mix(s).sum(dtype=np.uint64)) * 31 + len(s) & 2**64 - 1 for s in sets], dtype=np.uint64))
-                    hashed = matrix.reshape(len(sets) * bands, rows) * vec.powers(vec.BASES[0], rows + 1)[0][1:rows + 1]
+                    hashed = matrix[:, :bands * rows].reshape(len(sets) * bands, rows) * vec.powers(vec.BASES[0], rows + 1)[0][1:rows + 1]
                     number = np.tile(np.arange(bands, dtype=np.uint64), len(sets))
                     band_lists.append(vec.mix(vec.mix(hashed.sum(axis=1, dtype=np.uint64)) + number).reshape(len(sets), bands))
-                    marks += [r.tobytes() for r in (vec.mix(matrix) & vec.U64(255)).astype(np.uint8)]
+                    mixed = vec.mix(matrix)
+                    packed.append(np.packbits((mixed >> vec.U64(63)).astype(np.uint8), axis=1).view(np.int64).reshape(len(sets), longs))
+                    nibbles = (mixed & vec.U64(15)).astype(np.uint8)
+                    marks += [r.tobytes() for r in nibbles[:, ::2] << 4 | nibbles[:, 1::2]]
                 n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
                 flat = np.concatenate(band_lists).ravel().view(np.int64) if band_lists else np.zeros(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * bands), pa.array(flat))
                 node = np.concatenate(nodes) if nodes else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("mark"), pa.array(vec.mix(node).view(np.int64)), pa.array(n), lists,
-                                                  pa.array(marks, pa.binary())], names=["doc", "mark", "node", "n", "bands", "sketch"])
+                                                  pa.array(marks, pa.binary()), *[pa.array(np.concatenate([p[:, i] for p in packed]) if packed else [], pa.int64())
+                                                                                  for i in range(longs)]],
+                                                 names=["doc", "mark", "node", "n", "bands", "sketch", *[f"s{i}" for i in range(longs)]])
 
     return run
 
@@ -100,28 +113,35 @@ def _sketch_filter(percent: int):
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for c in ("sketch", "p_sketch"))
             n, m = (np.asarray(batch.column(c)) for c in ("n", "p_n"))
-            near = (a == b).mean(axis=1) if batch.num_rows else np.zeros(0)
-            ok = (near >= percent / 100 - SKETCH_MARGIN) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-            yield batch.select(["node", "doc", "mark", "pivot", "p_doc", "p_mark"]).filter(pa.array(ok))
+            unlike = a ^ b
+            t = 2 * unlike.shape[1]
+            agree = ((unlike < 16).sum(axis=1) + ((unlike & 15) == 0).sum(axis=1)) / max(1, t)
+            near = (agree - 1 / 16) * 16 / 15  # four bits agree by chance once in 16
+            at = percent / 100 + (1 - percent / 100) / 16
+            least = percent / 100 - DEVIATIONS * (at * (1 - at) / max(1, t)) ** 0.5 * 16 / 15
+            ok = (near >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            kept = batch.select(["node", "doc", "mark", "pivot", "p_doc", "p_mark"]).append_column("near", pa.array(near))
+            yield kept.filter(pa.array(ok))
 
     return run
 
 
-def _verifier(percent: int, k: int):
+def _verifier(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, pivot_set = None, None
         for batch in batches:
-            nodes, pivots = batch.column("node").to_numpy(), batch.column("pivot").to_numpy()
-            ok = np.zeros(batch.num_rows, dtype=bool)
+            pivots = batch.column("pivot").to_numpy()
+            both, either = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int64)
             texts = batch.column("p_text")
             for first, end, buf, offsets in vec.blocks(batch.column("text")):
                 for i, s in enumerate(shingle_sets(buf, offsets, k), first):
                     if last is None or pivots[i] != last:
                         _, _, p_buf, p_offsets = next(vec.blocks(texts.slice(i, 1)))
                         last, pivot_set = pivots[i], shingle_sets(p_buf, p_offsets, k)[0]
-                    both = len(np.intersect1d(s, pivot_set, assume_unique=True))
-                    ok[i] = both > 0 and 100 * both >= percent * (len(s) + len(pivot_set) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[ok]), pa.array(pivots[ok])], names=["node", "pivot"])
+                    both[i] = len(np.intersect1d(s, pivot_set, assume_unique=True))
+                    either[i] = len(s) + len(pivot_set) - both[i]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("pivot"), pa.array(both), pa.array(either)],
+                                             names=["node", "pivot", "both", "either"])
 
     return run
 
@@ -130,25 +150,24 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of ``links`` (a, b); the label is the smallest node reachable.
 
     Alternating large-star and small-star steps: groupings with partial minima and joins, a few of them even for long chains.
+    They end when a step changes nothing, which a count and a sum of hashes tell.
     """
-    edges = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = large.where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(small_least, "u")
-        small = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(small_least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small_least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        new = checkpointed(small)
-        # done when every node has one edge, to a node that has none itself
-        if (new.groupBy("u").count().where("count > 1").isEmpty()
-                and new.join(new.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()):
+        edges = checkpointed(small)
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == state:
             break
-        edges = new
-    return new.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-        new.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+        state = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
@@ -163,7 +182,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     """
     base = docs.select(doc_key(key).alias("doc"), text_mark(text).alias("mark"), F.col(text).alias("text"))
     described = checkpointed(map_arrow(base, _describe(bands, rows, shingle),
-                                       "doc long, mark long, node long, n long, bands array<long>, sketch binary"))
+                                       "doc long, mark long, node long, n long, bands array<long>, sketch binary, "
+                                       + ", ".join(f"s{i} long" for i in range(max(COORDINATES // 64, -(-bands * rows // 64))))))
     filled = described.where("n > 0")
     classes = checkpointed(filled.groupBy("node").agg(F.min("doc").alias("doc"), F.min_by("mark", "doc").alias("mark")))
     nodes = filled.join(classes, ["node", "doc", "mark"])
@@ -179,7 +199,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
 
 def link_nodes(base: DataFrame, nodes: DataFrame, percent: int, shingle: int) -> DataFrame:
     """(node, label) of the nodes that have a link."""
-    facts = nodes.select("node", "doc", "mark", "n", "sketch")
+    packed = [c for c in nodes.columns if c[0] == "s" and c[1:].isdigit()]
+    facts = nodes.select("node", "doc", "mark", "n", "sketch", *packed)
+    # one bit of a coordinate differs with probability (1 - J) / 2
+    t, differ = 64 * len(packed), (1 - percent / 100) / 2
+    most = int(t * differ + DEVIATIONS * (t * differ * (1 - differ)) ** 0.5)
     members = nodes.select("node", F.explode("bands").alias("band"))
     crowded = members.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     members = checkpointed(members.join(crowded.select("band", "c"), "band"))
@@ -191,44 +215,76 @@ def link_nodes(base: DataFrame, nodes: DataFrame, percent: int, shingle: int) ->
     # first each node with the most central pivot of all its buckets: nearly all links are found here
     best = members.groupBy("band").agg(F.max_by("node", "rank").alias("pivot"), F.max("rank").alias("p_rank"))
     first = (members.join(best, "band").where("node <> pivot").groupBy("node").agg(F.max_by("pivot", "p_rank").alias("pivot")))
-    tested = checkpointed(first.select("node", "pivot"))
-    links = checkpointed(verified(base, facts, tested, percent, shingle))
+    tested = checkpointed(compared(base, located(facts, first), shingle))
+    linked = F.col("both") * 100 >= F.col("either") * percent
+    links = tested.where(linked).select("node", "pivot")
     label = checkpointed(components(links.select(F.col("node").alias("a"), F.col("pivot").alias("b"))))
-    done, pivots = 0, 1
+    known = tested.select("node", F.col("pivot").alias("hub"), (F.col("both") / F.col("either")).alias("near"))
+    members = members.join(facts.select("node", "n", *packed), "node").join(known, "node", "left")
+    tested = tested.select("node", "pivot")
+    done, pivots = 0, PIVOTS
     while True:
         # buckets that are not one component yet, and have had fewer pivots than members
-        here = members.join(label, "node", "left").select("band", "node", "rank", F.coalesce("label", "node").alias("label"))
+        here = members.join(label, "node", "left").select("band", "node", "rank", "n", *packed, "hub", "near", F.coalesce("label", "node").alias("label"))
         mixed = here.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c")).where(f"lo <> hi and c > {done}")
         here = checkpointed(here.join(mixed.select("band"), "band"))
         if here.isEmpty():
             return label
         order = W.partitionBy("band").orderBy(F.desc("rank"), "node")
         chosen = (here.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).where(F.col("place") > done)
-                  .select("band", F.col("node").alias("pivot"), F.col("label").alias("p_label")))
-        pairs = (here.join(chosen, "band").where("label <> p_label")
-                 .select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct())
+                  .select("band", *[F.col(c).alias(f"p_{c}") for c in ("node", "n", *packed, "hub", "near", "label")]))
+        # 1 - Jaccard is a metric: nodes are not linked if their similarities to one hub differ by more than 1 - threshold
+        apart = (F.col("hub") == F.col("p_hub")) & (F.abs(F.col("near") - F.col("p_near")) > 1 - percent / 100 + 1e-9)
+        sizes = F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent
+        unlike = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p_{c}"))) for c in packed), F.lit(0))
+        pairs = (here.join(chosen, (here["band"] == chosen["band"]) & (F.col("label") != F.col("p_label")) & sizes
+                           & ~F.coalesce(apart, F.lit(False)) & (unlike <= most))
+                 .select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot")).distinct())
         old = tested.select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot"))
         pairs = checkpointed(pairs.join(old, ["node", "pivot"], "left_anti"))
         if not pairs.isEmpty():
-            tested = checkpointed(tested.unionByName(pairs))
-            found = checkpointed(verified(base, facts, pairs, percent, shingle))
+            tested = tested.unionByName(pairs)
+            near = checkpointed(map_arrow(located(facts, pairs, ["n", "sketch"]), _sketch_filter(percent),
+                                          "node long, doc long, mark long, pivot long, p_doc long, p_mark long, near double"))
+            # the likely links first: most of the other pairs are in one component then
+            likely = F.col("near") >= percent / 100 - 0.02
+            found = checkpointed(compared(base, near.where(likely), shingle).where(linked).select("node", "pivot"))
             if not found.isEmpty():
                 links = links.unionByName(found)
                 label = checkpointed(components(links.select(F.col("node").alias("a"), F.col("pivot").alias("b"))))
-        done, pivots = pivots, pivots * 4
+            free_shuffles(members)
+            found = checkpointed(compared(base, _apart(near.where(~likely), label), shingle).where(linked).select("node", "pivot"))
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                label = checkpointed(components(links.select(F.col("node").alias("a"), F.col("pivot").alias("b"))))
+            free_shuffles(members)
+        members = here.drop("label")
+        free_shuffles(members)
+        done, pivots = pivots, pivots * PIVOT_GROWTH
+
+
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    ends = label.select(F.col("node").alias("pivot"), F.col("label").alias("p_label"))
+    both = pairs.join(label, "node", "left").join(ends, "pivot", "left")
+    return both.where(F.coalesce("label", "node") != F.coalesce("p_label", "pivot")).drop("label", "p_label")
+
+
+def located(facts: DataFrame, pairs: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """The pairs (node, pivot) with the document and text mark of both, and further facts."""
+    own = ["doc", "mark", *(more or [])]
+    pivot = facts.select(F.col("node").alias("pivot"), *[F.col(c).alias(f"p_{c}") for c in own])
+    return pairs.join(facts.select("node", *own), "node").join(pivot, "pivot").select("node", *own, "pivot", *[f"p_{c}" for c in own])
 
 
-def verified(base: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """The pairs (node, pivot) that are linked: after a look at sizes and sketches, by the full sets of both texts."""
-    pivot = facts.select(F.col("node").alias("pivot"), F.col("doc").alias("p_doc"), F.col("mark").alias("p_mark"), F.col("n").alias("p_n"),
-                         F.col("sketch").alias("p_sketch"))
-    wide = pairs.join(facts, "node").join(pivot, "pivot")
-    near = checkpointed(map_arrow(wide.select("node", "doc", "mark", "n", "sketch", "pivot", "p_doc", "p_mark", "p_n", "p_sketch"), _sketch_filter(percent),
-                                  "node long, doc long, mark long, pivot long, p_doc long, p_mark long"))
+def compared(base: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """(node, pivot, both, either): sizes of intersection and union of the full sets of located pairs."""
+    near = checkpointed(pairs.select("node", "doc", "mark", "pivot", "p_doc", "p_mark"))
+    few = near.limit(SMALL_PAIRS + 1).count() <= SMALL_PAIRS
     texts = base.select("doc", "mark", "text")
-    with_text = texts.join(small_side(near), ["doc", "mark"]).select("node", "text", "pivot", "p_doc", "p_mark")
+    with_text = texts.join(F.broadcast(near) if few else near, ["doc", "mark"]).select("node", "text", "pivot", "p_doc", "p_mark")
     of_pivots = near.select("p_doc", "p_mark").distinct()
     pivot_texts = (texts.select(F.col("doc").alias("p_doc"), F.col("mark").alias("p_mark"), F.col("text").alias("p_text"))
-                   .join(small_side(of_pivots), ["p_doc", "p_mark"], "left_semi"))
+                   .join(F.broadcast(of_pivots) if few else of_pivots, ["p_doc", "p_mark"], "left_semi"))
     both = with_text.join(pivot_texts, ["p_doc", "p_mark"]).select("node", "pivot", "text", "p_text")
-    return map_arrow(both, _verifier(percent, shingle), "node long, pivot long")
+    return map_arrow(both, _verifier(shingle), "node long, pivot long, both long, either long")
