@@ -65,7 +65,7 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
         if not len(x):
             break
         h = vec.mix(x + vec.U64((i + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        value = (h >> vec.U64(10)) | vec.U64(i << 54)
+        value = (h >> vec.U64(11)) | vec.U64(i << 53)  # the round leads: up to 2048 of them
         where = row * t + ((h & vec.U64(1023)).astype(np.int64) * 8191 + (h >> vec.U64(40)).astype(np.int64)) % t if i < t else row * t + (i - t)
         np.minimum.at(table, where, value)
         # each round takes on only the texts that still have an empty bin
