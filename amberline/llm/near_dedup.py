@@ -36,7 +36,7 @@ BLOCK_ROWS = 2_048
 #: At most so many pairs (of six longs) are broadcast to the texts; more are joined by a shuffle.
 SMALL_PAIRS = 100_000
 #: Pivots of a bucket in the first round after the hubs, and how many times as many each further round takes.
-PIVOTS, PIVOT_GROWTH = 64, 64
+PIVOTS, PIVOT_GROWTH = 4, 64
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
