@@ -18,6 +18,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 #: Ids of dropped near copies up to this number are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Near copies are documents with a similarity of 0.8 or more.  38 bands of 5: a pair at 0.8 is in no common bucket with probability
+#: (1 - 0.8 ** 5) ** 38 = 3e-7, as op8's bands miss a pair at its 0.85.
+NEAR = {"percent": 80, "bands": 38, "rows": 5}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +41,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies.  Rows that share an id stand or fall together."""
-    dropped = checkpointed(near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct())
+    """One document, the one with the smallest id, of each group of near copies (similarity 0.8 or more).  Rows that share an id stand or fall together."""
+    dropped = checkpointed(near_dedup.near_duplicates(docs, **NEAR).where("not kept").select("doc_id").distinct())
     return docs.select(COLUMNS).join(small_side(dropped, BROADCAST_IDS), "doc_id", "left_anti").select(COLUMNS)
 
 
