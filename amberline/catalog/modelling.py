@@ -114,21 +114,19 @@ def boosting_curve(spark, d):
     return models.boosting_curve(fitted(spark, d, "boosted_plain"), _split(spark, d)[1], presets.TARGET)
 
 
-def _fit_rows(spark, d):
-    return train.bounded(_split(spark, d)[0], KEY, presets.TARGET, FIT_ROWS)
-
-
 @query("fold_scores")
 def fold_scores(spark, d):
-    rows = sample.stratified_folds(_fit_rows(spark, d), KEY, presets.TARGET, presets.CV_FOLDS)
-    return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, FOLD_SETTINGS)
+    """Accuracy on all rows of each fold of the training rows."""
+    rows = sample.stratified_folds(_split(spark, d)[0], KEY, presets.TARGET, presets.CV_FOLDS)
+    return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, FOLD_SETTINGS, key=KEY, fit_rows=FIT_ROWS)
 
 
 @query("grid_scores")
 def grid_scores(spark, d):
     """All sixteen settings over three block folds of the training rows."""
-    folded = sample.block_folds(_fit_rows(spark, d), "n", presets.TARGET, presets.GRID_FOLDS)
-    _, scores = models.grid_search(folded, "fold", presets.GRID_FOLDS, presets.FEATURES, presets.TARGET, GRID, presets.BOOSTED_PLAIN)
+    folded = sample.block_folds(_split(spark, d)[0], "n", presets.TARGET, presets.GRID_FOLDS)
+    _, scores = models.grid_search(folded, "fold", presets.GRID_FOLDS, presets.FEATURES, presets.TARGET, GRID, presets.BOOSTED_PLAIN,
+                                   key=KEY, fit_rows=FIT_ROWS)
     return scores
 
 

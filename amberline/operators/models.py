@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number
-from ..sources.tables import ensure_checkpoint_dir
-from .sample import balanced_weights, class_counts, per_class
+from ..sources.tables import ensure_checkpoint_dir, stage
+from .sample import balanced_weights, class_counts, per_class, sample_rows
 
 LABEL = "_label"
 VECTOR = "_features"
@@ -253,28 +253,54 @@ def _margin_class(models: Sequence[GBTClassificationModel], df: DataFrame) -> Da
         "_class", F.array_position("_margins", F.array_max("_margins")) - 1)
 
 
-def _fold_accuracy(ready: DataFrame, fold: str, f: int, classes: int, params: Mapping, weight_col: str | None,
+def drawn(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFrame:
+    """At most ``rows`` rows, drawn by a hash of the key and written once in one piece.
+
+    Iterative fits on a bounded sample are many short passes; one partition spares each of them the scheduling of empty ones.
+    """
+    return stage(sample_rows(df, key, rows, seed).coalesce(1), "fit-rows")
+
+
+def _fold_accuracy(fit: DataFrame, held: DataFrame, classes: int, params: Mapping, weight_col: str | None,
                    seed: int, parallelism: int) -> float:
-    models = fit_boosted(ready.where(F.col(fold) != f), classes, weight_col, seed, parallelism, **params)
-    scored = _margin_class(models, ready.where(F.col(fold) == f))
+    models = fit_boosted(fit, classes, weight_col, seed, parallelism, **params)
+    scored = _margin_class(models, held)
     return scored.agg(F.avg((F.col("_class") == F.col(LABEL)).cast("int"))).first()[0]
 
 
+def _fold_parts(ready: DataFrame, fold: str, f: int, key: str | None, fit_rows: int | None, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The rows that are fitted on for a fold, at most ``fit_rows`` of the other folds, and all rows of the fold."""
+    others = ready.where(F.col(fold) != f)
+    return (others if fit_rows is None else drawn(others, key, fit_rows, seed).persist(StorageLevel.MEMORY_AND_DISK),
+            ready.where(F.col(fold) == f))
+
+
 def cross_validate(df: DataFrame, fold: str, k: int, features: Sequence[str], target: str,
-                   params: Mapping | None = None, seed: int = 42, parallelism: int = 3) -> DataFrame:
-    """Accuracy of the boosted model on each fold, fitted without weights on the other folds."""
+                   params: Mapping | None = None, seed: int = 42, parallelism: int = 3, key: str | None = None,
+                   fit_rows: int | None = None) -> DataFrame:
+    """Accuracy of the boosted model on all rows of each fold, fitted without weights on the other folds.
+
+    ``fit_rows`` bounds how many rows of the other folds, drawn by a hash of ``key``, a model is fitted on.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    head, ready = _assembled(df, features, target, [fold])
+    head, ready = _assembled(df, features, target, [fold, *([] if fit_rows is None else [key])])
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = []
     try:
+        parts += [_fold_parts(ready, fold, f, key, fit_rows, seed) for f in range(k)]
         with ThreadPool(k) as pool:  # the folds are independent fits on the same kept rows
-            scores = pool.map(lambda f: (f + 1, _fold_accuracy(ready, fold, f, len(labels_of(head)), dict(params or {}), None, seed,
+            scores = pool.map(lambda f: (f + 1, _fold_accuracy(*parts[f], len(labels_of(head)), dict(params or {}), None, seed,
                                                                parallelism)), range(k))
     finally:
-        ready.unpersist()
+        _release(ready, parts)
     return df.sparkSession.createDataFrame(scores, "fold int, accuracy double")
 
 
+def _release(ready: DataFrame, parts: Sequence[tuple[DataFrame, DataFrame]]) -> None:
+    for df in (ready, *[fit for fit, _ in parts]):
+        df.unpersist()
+
+
 def fold_summary(scores: DataFrame) -> DataFrame:
     """Mean and population deviation of the fold scores."""
     return scores.agg(F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy"))
@@ -282,15 +308,15 @@ def fold_summary(scores: DataFrame) -> DataFrame:
 
 def grid_search(train: DataFrame, fold: str, folds: int, features: Sequence[str], target: str,
                 grid: Mapping[str, Sequence], base: Mapping | None = None, seed: int = 42,
-                parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
+                parallelism: int = 4, key: str | None = None, fit_rows: int | None = None) -> tuple[PipelineModel, DataFrame]:
     """Accuracy of every setting of the boosted model over given folds; best setting refitted on all of ``train``.
 
-    Settings are tried with the last grid key varying fastest, and the first
+    ``fit_rows`` bounds how many rows, drawn by a hash of ``key``, each model is fitted on; all rows of a fold are judged.  Settings are tried with the last grid key varying fastest, and the first
     best one wins.  ``parallelism`` settings train at the same time on one
     kept copy of the assembled rows.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    head, ready = _assembled(train, features, target, [fold])
+    head, ready = _assembled(train, features, target, [fold, *([] if fit_rows is None else [key])])
     classes = len(labels_of(head))
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     names = list(grid)
@@ -298,9 +324,11 @@ def grid_search(train: DataFrame, fold: str, folds: int, features: Sequence[str]
 
     def one(setting: dict) -> list[float]:
         params = {**dict(base or {}), **setting}
-        return [_fold_accuracy(ready, fold, f, classes, params, None, seed, 1) for f in range(folds)]
+        return [_fold_accuracy(*part, classes, params, None, seed, 1) for part in parts]
 
+    parts = []
     try:
+        parts += [_fold_parts(ready, fold, f, key, fit_rows, seed) for f in range(folds)]
         if parallelism > 1:
             with ThreadPool(min(parallelism, len(settings))) as pool:
                 scores = pool.map(one, settings)
@@ -308,9 +336,10 @@ def grid_search(train: DataFrame, fold: str, folds: int, features: Sequence[str]
             scores = [one(s) for s in settings]
         means = [sum(s) / len(s) for s in scores]
         top = max(range(len(settings)), key=lambda i: (means[i], -i))
-        best = PipelineModel([*head.stages, *fit_boosted(ready, classes, None, seed, **{**dict(base or {}), **settings[top]})])
+        whole = ready if fit_rows is None else drawn(ready, key, fit_rows, seed)
+        best = PipelineModel([*head.stages, *fit_boosted(whole, classes, None, seed, **{**dict(base or {}), **settings[top]})])
     finally:
-        ready.unpersist()
+        _release(ready, parts)
     rows = [(i, *[float(w[n]) for n in names], means[i],
              (sum((x - means[i]) ** 2 for x in scores[i]) / folds) ** 0.5, i == top) for i, w in enumerate(settings)]
     schema = ", ".join(["setting int", *[f"{n} double" for n in names], "mean_accuracy double",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import presets
 from ..operators import evaluate, models
 from ..operators.rate import named_probabilities
-from ..operators.sample import sample_rows, stratified_split
+from ..operators.sample import stratified_split
 from ..sources.tables import stage
 
 NAMES = {"logistic": "Regresión Logística", "forest": "Random Forest", "boosted": "Boosted Trees"}
@@ -40,11 +40,8 @@ def split_table(df: DataFrame, key: str, target: str, share: float = presets.TES
 
 
 def bounded(df: DataFrame, key: str, target: str, rows: int, seed: int = 42) -> DataFrame:
-    """At most ``rows`` of the rows that have a target, drawn by a hash of the key and written once in one piece.
-
-    Iterative fits on a bounded sample are many short passes; one partition spares each of them the scheduling of empty ones.
-    """
-    return stage(sample_rows(df.where(F.col(target).isNotNull()), key, rows, seed).coalesce(1), "fit-rows")
+    """At most ``rows`` of the rows that have a target, drawn by a hash of the key and written once in one piece."""
+    return models.drawn(df.where(F.col(target).isNotNull()), key, rows, seed)
 
 
 def train_and_compare(df: DataFrame, key: str, features: Sequence[str] = tuple(presets.FEATURES),

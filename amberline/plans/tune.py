@@ -14,7 +14,7 @@ from .. import presets
 from ..operators import evaluate, models, sample
 from ..operators.clean import CleanStats
 from ..sources.tables import stage
-from .train import bounded, split_table
+from .train import split_table
 
 
 @dataclass(frozen=True)
@@ -34,17 +34,16 @@ def tune(df: DataFrame, key: str, features: Sequence[str] = tuple(presets.FEATUR
          grid_folds: int = presets.GRID_FOLDS, order: str | None = None, seed: int = 42, fit_rows: int | None = None) -> Tuned:
     """Validate ``base``, search ``grid`` over it, and judge the best setting on the test rows.
 
-    Only training rows are fitted on, at most ``fit_rows`` of them.  ``order`` is a whole number that identifies rows and gives the
+    Only training rows are fitted on; ``fit_rows`` bounds how many of them each model is fitted on, and all rows of a fold are judged.  ``order`` is a whole number that identifies rows and gives the
     order of the unshuffled folds of the search; without it these are shuffled too.
     """
     spark = df.sparkSession
     train, test = split_table(df, key, target, seed=presets.SPLIT_SEED)
-    fit = train if fit_rows is None else bounded(train, key, target, fit_rows, seed)
-    shuffled = sample.stratified_folds(fit, key, target, cv_folds, seed)
-    validation = models.cross_validate(shuffled, "fold", cv_folds, features, target, base, seed)
+    shuffled = sample.stratified_folds(train, key, target, cv_folds, seed)
+    validation = models.cross_validate(shuffled, "fold", cv_folds, features, target, base, seed, key=key, fit_rows=fit_rows)
     spread = models.fold_summary(validation).first()
-    blocks = (sample.block_folds(fit, order, target, grid_folds) if order else sample.stratified_folds(fit, key, target, grid_folds, seed))
-    model, scores = models.grid_search(blocks, "fold", grid_folds, features, target, grid, base, seed)
+    blocks = (sample.block_folds(train, order, target, grid_folds) if order else sample.stratified_folds(train, key, target, grid_folds, seed))
+    model, scores = models.grid_search(blocks, "fold", grid_folds, features, target, grid, base, seed, key=key, fit_rows=fit_rows)
     top = scores.where("best").first()
     best = {name: top[name] for name in grid}
     scored = stage(models.class_probabilities(model, test), "tuned")
