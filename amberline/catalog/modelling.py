@@ -22,9 +22,6 @@ from .synthesis import orders_as_dirty_accidents
 FIT_ROWS = 2_000
 SETTINGS = {"logistic": (presets.LOGISTIC, True), "forest": (presets.FOREST, True), "boosted": (presets.BOOSTED_WEIGHTED, True),
             "boosted_plain": (presets.BOOSTED_PLAIN, False)}
-#: Validation and search, 5 and 48 fits of three boosters each, run with few rounds: a round is several Spark jobs.
-FOLD_SETTINGS = {**presets.BOOSTED_PLAIN, "maxIter": presets.BOOSTED_PLAIN["maxIter"] // 30}
-GRID = {**presets.GRID, "maxIter": [n // 50 for n in presets.GRID["maxIter"]]}
 KEY = "id_siniestro"
 
 
@@ -118,14 +115,14 @@ def boosting_curve(spark, d):
 def fold_scores(spark, d):
     """Accuracy on all rows of each fold of the training rows."""
     rows = sample.stratified_folds(_split(spark, d)[0], KEY, presets.TARGET, presets.CV_FOLDS)
-    return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, FOLD_SETTINGS, key=KEY, fit_rows=FIT_ROWS)
+    return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, presets.BOOSTED_PLAIN, key=KEY, fit_rows=FIT_ROWS)
 
 
 @query("grid_scores")
 def grid_scores(spark, d):
     """All sixteen settings over three block folds of the training rows."""
     folded = sample.block_folds(_split(spark, d)[0], "n", presets.TARGET, presets.GRID_FOLDS)
-    _, scores = models.grid_search(folded, "fold", presets.GRID_FOLDS, presets.FEATURES, presets.TARGET, GRID, presets.BOOSTED_PLAIN,
+    _, scores = models.grid_search(folded, "fold", presets.GRID_FOLDS, presets.FEATURES, presets.TARGET, presets.GRID, presets.BOOSTED_PLAIN,
                                    key=KEY, fit_rows=FIT_ROWS)
     return scores
 

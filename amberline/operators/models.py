@@ -6,7 +6,7 @@ import itertools
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
@@ -261,11 +261,23 @@ def drawn(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFrame:
     return stage(sample_rows(df, key, rows, seed).coalesce(1), "fit-rows")
 
 
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after so many rounds; they do not depend on how many follow."""
+    if rounds > model.getNumTrees:
+        raise ValueError(f"{rounds} rounds wanted of a model with {model.getNumTrees}")
+    java, jvm = model._java_obj, SparkContext._active_spark_context._jvm
+    made = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), java.trees()[:rounds], java.treeWeights()[:rounds],
+                                                                         java.numFeatures(), java.numClasses())
+    return model._copyValues(GBTClassificationModel(made))
+
+
 def _fold_accuracy(fit: DataFrame, held: DataFrame, classes: int, params: Mapping, weight_col: str | None,
-                   seed: int, parallelism: int) -> float:
+                   seed: int, parallelism: int, rounds: Sequence[int] | None = None) -> list[float]:
+    """Accuracy after each number of ``rounds``, or after all rounds of ``params``, by one fit."""
+    params = dict(params) if rounds is None else {**params, "maxIter": max(rounds)}
     models = fit_boosted(fit, classes, weight_col, seed, parallelism, **params)
-    scored = _margin_class(models, held)
-    return scored.agg(F.avg((F.col("_class") == F.col(LABEL)).cast("int"))).first()[0]
+    stages = [models] if rounds is None else [[first_rounds(m, n) for m in models] for n in rounds]
+    return [_margin_class(s, held).agg(F.avg((F.col("_class") == F.col(LABEL)).cast("int"))).first()[0] for s in stages]
 
 
 def _fold_parts(ready: DataFrame, fold: str, f: int, key: str | None, fit_rows: int | None, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -290,7 +302,7 @@ def cross_validate(df: DataFrame, fold: str, k: int, features: Sequence[str], ta
         parts += [_fold_parts(ready, fold, f, key, fit_rows, seed) for f in range(k)]
         with ThreadPool(k) as pool:  # the folds are independent fits on the same kept rows
             scores = pool.map(lambda f: (f + 1, _fold_accuracy(*parts[f], len(labels_of(head)), dict(params or {}), None, seed,
-                                                               parallelism)), range(k))
+                                                               parallelism)[0]), range(k))
     finally:
         _release(ready, parts)
     return df.sparkSession.createDataFrame(scores, "fold int, accuracy double")
@@ -322,18 +334,25 @@ def grid_search(train: DataFrame, fold: str, folds: int, features: Sequence[str]
     names = list(grid)
     settings = [dict(zip(names, values)) for values in itertools.product(*[grid[n] for n in names])]
 
-    def one(setting: dict) -> list[float]:
+    rounds = list(grid["maxIter"]) if "maxIter" in names else None  # one fit of the most rounds serves them all
+    fits = list(dict.fromkeys(tuple(v for n, v in w.items() if n != "maxIter") for w in settings))
+
+    def one(fit: tuple) -> dict[tuple, list[float]]:
+        setting = dict(zip([n for n in names if n != "maxIter"], fit))
         params = {**dict(base or {}), **setting}
-        return [_fold_accuracy(*part, classes, params, None, seed, 1) for part in parts]
+        found = zip(*[_fold_accuracy(*part, classes, params, None, seed, 1, rounds) for part in parts])
+        return {tuple({**setting, "maxIter": r}[n] for n in names) if rounds else fit: list(x) for r, x in zip(rounds or [None], found)}
 
     parts = []
     try:
         parts += [_fold_parts(ready, fold, f, key, fit_rows, seed) for f in range(folds)]
         if parallelism > 1:
-            with ThreadPool(min(parallelism, len(settings))) as pool:
-                scores = pool.map(one, settings)
+            with ThreadPool(min(parallelism, len(fits))) as pool:
+                found = pool.map(one, fits)
         else:
-            scores = [one(s) for s in settings]
+            found = [one(f) for f in fits]
+        by_setting = {values: x for part in found for values, x in part.items()}
+        scores = [by_setting[tuple(w.values())] for w in settings]
         means = [sum(s) / len(s) for s in scores]
         top = max(range(len(settings)), key=lambda i: (means[i], -i))
         whole = ready if fit_rows is None else drawn(ready, key, fit_rows, seed)

@@ -56,3 +56,25 @@ def test_queries_make_folds_of_all_training_rows(spark, monkeypatch, name, judge
     monkeypatch.setattr(modelling, "FIT_ROWS", 50)
     getattr(modelling, name)(spark, SMALL)
     assert seen == [(modelling._split(spark, SMALL)[0].count(), {"key": KEY, "fit_rows": 50})]
+
+
+def test_one_fit_serves_all_numbers_of_rounds(rows, parts):
+    folded = sample.stratified_folds(rows, KEY, presets.TARGET, 2)
+    base = {"stepSize": 0.3, "maxDepth": 2, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+    _, table = models.grid_search(folded, "fold", 2, presets.FEATURES, presets.TARGET, {"maxIter": [1, 4], "maxDepth": [1, 2]}, base)
+    assert len(parts) == 4
+    del parts[:]
+    for r in table.collect():
+        params = {**base, "maxIter": int(r.maxIter), "maxDepth": int(r.maxDepth)}
+        alone = models.cross_validate(folded, "fold", 2, presets.FEATURES, presets.TARGET, params).collect()
+        assert r.mean_accuracy == pytest.approx(sum(x.accuracy for x in alone) / 2)
+    assert [(r.maxIter, r.maxDepth) for r in table.orderBy("setting").collect()] == [(1, 1), (1, 2), (4, 1), (4, 2)]
+
+
+def test_queries_run_the_presets_in_full(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(models, "cross_validate", lambda df, fold, k, features, target, params, **b: seen.update(fold=(k, params)))
+    monkeypatch.setattr(models, "grid_search", lambda df, fold, k, features, target, grid, base, **b: (seen.update(grid=(k, grid, base)), None))
+    modelling.fold_scores(spark, SMALL)
+    modelling.grid_scores(spark, SMALL)
+    assert seen == {"fold": (presets.CV_FOLDS, presets.BOOSTED_PLAIN), "grid": (presets.GRID_FOLDS, presets.GRID, presets.BOOSTED_PLAIN)}
