@@ -191,9 +191,9 @@ def streamed_first_events(spark, d):
 
 @query("three_jobs")
 def three_jobs(spark, d):
-    """Dirty accidents to clean table, the better of two models, and rated routes with the fitted labels and maxima."""
+    """Dirty accidents to clean table, the best of the three models, and rated routes with the fitted labels and maxima."""
     prepared = prepare.clean_accidents(orders_as_dirty_accidents(spark, d))
-    done = train.train_and_compare(prepared.table, KEY, settings={"logistic": presets.LOGISTIC, "forest": presets.FOREST}, fit_rows=FIT_ROWS)
+    done = train.train_and_compare(prepared.table, KEY, fit_rows=FIT_ROWS)
     top = prepared.stats.maxima
     rated = rate_routes.rate_routes(_routes(spark, d), done.best()[1], prepared.labels,
                                     top["lluvia_mm"], top["visibilidad_km"])
