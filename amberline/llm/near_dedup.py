@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from . import vec
-from .common import NO_ID, checkpointed, doc_key, free_shuffles, map_arrow, text_mark
+from .common import NO_ID, checkpointed, doc_key, free_shuffles, map_arrow, small_side, text_mark
 
 SHINGLE = 5
 PERCENT = 85
@@ -180,21 +180,49 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     component if all of it has null ids.  Rows with the same id are judged by their own texts.  Empty table: no rows; other
     columns do not matter.  Nodes are 64-bit hashes of whole sets.
     """
+    out = _judged(docs, percent, shingle, bands, rows, key, text)
+    component = F.coalesce("component", "doc")
+    return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(key), F.col("n").alias("n_shingles"),
+                      F.when(component != NO_ID, component).alias("component_id"), (component == F.col("doc")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, broadcast_rows: int, percent: int = PERCENT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
+                         key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: exactly one row of each component, the first by id, mark of the text and the other columns.
+
+    A null id sorts last and is told apart by the text like any other; rows with the same id are judged by their own texts, and of rows
+    with the same id and text one stays.  Rows without words are nobody's copies and all stay.  Up to ``broadcast_rows`` pairs of id and mark
+    of dropped or repeated rows are broadcast.
+    """
+    judged = _judged(docs, percent, shingle, bands, rows, key, text).where("n > 0")
+    first = (F.col("doc") == F.col("component")) & (F.col("mark") == F.col("c_mark"))
+    known = checkpointed(judged.groupBy("doc", "mark").agg(F.max(first).alias("kept"), F.count("*").alias("copies")).where("not kept or copies > 1"))
+    marked = docs.withColumns({"_doc": doc_key(key), "_mark": text_mark(text)})
+    found = known.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), "kept")
+    out = marked.join(small_side(found.drop("kept"), broadcast_rows), ["_doc", "_mark"], "left_anti").select(docs.columns)
+    repeated = found.where("kept").drop("kept")
+    if repeated.isEmpty():
+        return out
+    one = (marked.join(small_side(repeated, broadcast_rows), ["_doc", "_mark"]).groupBy("_doc", "_mark")
+           .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+    return out.unionByName(one)
+
+
+def _judged(docs: DataFrame, percent: int, shingle: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
+    """(doc, mark, n, component, c_mark) of each row; the last two are those of the component's first row, null without words."""
     base = docs.select(doc_key(key).alias("doc"), text_mark(text).alias("mark"), F.col(text).alias("text"))
     described = checkpointed(map_arrow(base, _describe(bands, rows, shingle),
                                        "doc long, mark long, node long, n long, bands array<long>, sketch binary, "
                                        + ", ".join(f"s{i} long" for i in range(max(COORDINATES // 64, -(-bands * rows // 64))))))
     filled = described.where("n > 0")
-    classes = checkpointed(filled.groupBy("node").agg(F.min("doc").alias("doc"), F.min_by("mark", "doc").alias("mark")))
+    classes = checkpointed(filled.groupBy("node").agg(F.min(F.struct("doc", "mark")).alias("first")).select("node", "first.*"))
     nodes = filled.join(classes, ["node", "doc", "mark"])
     label = link_nodes(base, nodes, percent, shingle)
-    small = (classes.join(label, "node").groupBy("label").agg(F.min("doc").alias("least")))
+    small = classes.join(label, "node").groupBy("label").agg(F.min(F.struct("doc", "mark")).alias("least"))
     linked = checkpointed(label.join(small, "label").select("node", "least"))
-    class_of = classes.join(linked, "node", "left").select("node", F.coalesce("least", "doc").alias("component"))
-    out = described.select("doc", "node", "n").join(class_of, "node", "left")
-    component = F.coalesce("component", "doc")
-    return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(key), F.col("n").alias("n_shingles"),
-                      F.when(component != NO_ID, component).alias("component_id"), (component == F.col("doc")).alias("kept"))
+    least = F.coalesce("least", F.struct("doc", "mark"))
+    class_of = classes.join(linked, "node", "left").select("node", least["doc"].alias("component"), least["mark"].alias("c_mark"))
+    return described.select("doc", "mark", "node", "n").join(class_of, "node", "left").drop("node")
 
 
 def link_nodes(base: DataFrame, nodes: DataFrame, percent: int, shingle: int) -> DataFrame:

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amberline.llm import decontaminate, line_dedup, mixing, near_dedup, quality
-from amberline.llm.common import WORD, checkpointed, small_side, table
+from amberline.llm.common import WORD, checkpointed, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: The labelling of lines cannot be said in SQL.
 ORACLE_SQL = None
-#: Ids of dropped near copies up to this number are broadcast; more are joined by a shuffle.
+#: Ids and text marks of dropped near copies up to this number are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Near copies are documents with a similarity of 0.8 or more.  38 bands of 5: a pair at 0.8 is in no common bucket with probability
 #: (1 - 0.8 ** 5) ** 38 = 3e-7, as op8's bands miss a pair at its 0.85.
@@ -41,9 +41,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies (similarity 0.8 or more).  Rows that share an id stand or fall together."""
-    dropped = checkpointed(near_dedup.near_duplicates(docs, **NEAR).where("not kept").select("doc_id").distinct())
-    return docs.select(COLUMNS).join(small_side(dropped, BROADCAST_IDS), "doc_id", "left_anti").select(COLUMNS)
+    """One row, the one with the smallest id, of each group of near copies (similarity 0.8 or more).
+
+    Null ids sort last; rows that share an id, null included, are judged by their own texts, and of those with one text too a single one stays.
+    """
+    return near_dedup.drop_near_duplicates(docs.select(COLUMNS), BROADCAST_IDS, **NEAR)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,3 +32,15 @@ def test_stage_on_supplied_documents(spark):
     before = [(r.doc_id, r.text) for r in docs.collect()]
     kept = {r.doc_id for r in pipeline.near_dedup_stage(spark, docs, None).collect()}
     assert kept == {d for d, (_, least) in brute.near_duplicates(before, 80).items() if d == least}
+
+
+def test_one_row_stays_of_copies_with_null_or_shared_ids(spark):
+    docs = [(None, text(1)), (None, text(1)), (None, text(1, 2)), (None, text(1).upper()),  # only null ids
+            (None, text(2)), (7, text(2)), (7, text(2)), (9, text(2, 1)),  # a real id comes first
+            (7, text(3)), (9, text(4)),  # ids of dropped or repeated rows, other texts
+            (None, text(5)), (None, ""), (None, ""), (None, None)]
+    kept = [(r.doc_id, r.text) for r in pipeline.near_dedup_stage(spark, table(spark, docs), None).collect()]
+    first = [x for x in kept if x in docs[:4]]
+    assert len(first) == 1
+    rest = [(7, text(2)), (7, text(3)), (9, text(4)), (None, text(5)), (None, ""), (None, ""), (None, None)]
+    assert sorted(map(repr, kept)) == sorted(map(repr, first + rest))
