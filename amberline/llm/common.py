@@ -46,8 +46,8 @@ def doc_key(column: str = "doc_id") -> Column:
 
 
 def text_mark(column: str = "text") -> Column:
-    """31 bits of the text: tells rows apart that share a doc_id."""
-    return F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(column), F.lit(""))), 33).cast("long")
+    """64-bit hash of the text: tells rows apart that share a doc_id."""
+    return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
 
 
 def ascii_lower(c: Column) -> Column:
