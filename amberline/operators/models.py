@@ -256,9 +256,10 @@ def _margin_class(models: Sequence[GBTClassificationModel], df: DataFrame) -> Da
 def drawn(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFrame:
     """At most ``rows`` rows, drawn by a hash of the key and written once in one piece.
 
-    Iterative fits on a bounded sample are many short passes; one partition spares each of them the scheduling of empty ones.
+    All partitions scan and filter, and only the drawn rows meet in one task, in the order of their keys.  Iterative fits on a
+    bounded sample are many short passes; one partition spares each of them the scheduling of empty ones.
     """
-    return stage(sample_rows(df, key, rows, seed).coalesce(1), "fit-rows")
+    return stage(sample_rows(df, key, rows, seed).repartition(1).sortWithinPartitions(key), "fit-rows")
 
 
 def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:

@@ -78,3 +78,13 @@ def test_queries_run_the_presets_in_full(spark, monkeypatch):
     modelling.fold_scores(spark, SMALL)
     modelling.grid_scores(spark, SMALL)
     assert seen == {"fold": (presets.CV_FOLDS, presets.BOOSTED_PLAIN), "grid": (presets.GRID_FOLDS, presets.GRID, presets.BOOSTED_PLAIN)}
+
+
+def test_only_drawn_rows_meet_in_one_task(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(models, "stage", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), tables.stage(df, name))[1])
+    keys = spark.range(0, 5000, 1, 7).withColumnRenamed("id", "k")
+    out = models.drawn(keys, "k", 40)
+    assert "Coalesce" not in plans[0] and "Exchange SinglePartition" in plans[0]
+    drawn = [r.k for r in out.collect()]
+    assert len(drawn) == 40 and drawn == sorted(drawn) and out.rdd.getNumPartitions() == 1
