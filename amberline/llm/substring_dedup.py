@@ -1,8 +1,8 @@
-"""Substring dedup by seed and extend: repeated passages of words, wherever they are, same document included.
+"""Substring dedup by seeds and windows: repeated passages of words, wherever they are, same document included.
 
-Seeds are winnowed anchors, words chosen so that every window of ``length`` words holds one.  Documents meet at equal seeds; a match is
-extended both ways, first over the whole context of the seed, and where contexts differ window by window, which is as
-far as a window around the seed can reach.  Windows that are anywhere else too are merged into maximal repeats.
+Seeds are winnowed anchors, words chosen so that every window of ``length`` words holds one.  Documents meet at equal seeds, first with
+the whole context of the seed, by hash.  Where contexts differ nothing is extended: their windows are grouped one by one by a
+128-bit hash.  Windows that are anywhere else too are merged into maximal repeats.
 """
 
 from __future__ import annotations
