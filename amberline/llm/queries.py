@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, line_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, url_rules
+from . import chat, decontaminate, fill_middle, language, line_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, url_rules
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -85,3 +85,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_mixing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_fill_in_middle")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return fill_middle.digests(fill_middle.taken_back(fill_middle.fill_in_middle(docs)))
