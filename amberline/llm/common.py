@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -21,6 +22,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder (``spark.checkpoint.dir``, or where that is unset one below the warehouse)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder and read from there, so that lost executors cost no earlier work.
 

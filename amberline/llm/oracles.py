@@ -120,3 +120,11 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefi
   CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
     ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+ORACLES["op13_warc_revisits"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+h AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first FROM p),
+v AS (SELECT *, list_transform(range(8), lambda g: ('0x' || substr(h, (g * 5 + 1)::BIGINT, 5))::BIGINT) AS v FROM h)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, array_to_string(list_transform(range(32),
+  lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v[(i // 4 + 1)::BIGINT] >> (15 - 5 * (i % 4))::BIGINT) & 31)::BIGINT + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM v"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fill_middle, language, line_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, url_rules
-from .common import table
+from . import chat, decontaminate, fill_middle, language, line_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, url_rules, warc
+from .common import checkpointed, remove_folder, scratch_folder, table
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return fill_middle.digests(fill_middle.taken_back(fill_middle.fill_in_middle(docs)))
+
+
+@query("op13_warc_revisits")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """The archives are in a folder of their own, which goes once their headers are read back and saved."""
+    archives = scratch_folder(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    read = checkpointed(warc.read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    remove_folder(spark, archives)
+    return read
