@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fill_middle, language, line_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, url_rules, warc
+from . import chat, decontaminate, fill_middle, language, line_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, url_rules, warc, whitening
 from .common import checkpointed, remove_folder, scratch_folder, table
 from .oracles import ORACLES  # noqa: F401
 
@@ -93,6 +93,13 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle.digests(fill_middle.taken_back(fill_middle.fill_in_middle(docs)))
 
 
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    fitted = whitening.fit(vectors)
+    return whitening.by_component(whitening.whiten(vectors, fitted), fitted)
+
+
 @query("op13_warc_revisits")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """The archives are in a folder of their own, which goes once their headers are read back and saved."""
