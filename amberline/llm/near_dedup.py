@@ -5,10 +5,13 @@ Knudsen and Thorup fills its bins in rounds: in round i every element throws the
 round t on, into bin i - t), bins keep their least value, and rounds go on until no bin is empty.  Every coordinate is filled, and two
 sketches agree in a share of coordinates that is sharply concentrated at the Jaccard similarity.
 
-Bands of coordinates give buckets.  Each node is first compared with the most central node of all its buckets, its pivot, so that a group
+Bands of coordinates give buckets.  Each node is first compared with the most central node of all its buckets, its hub, so that a group
 of near copies costs a comparison per member.  Then rounds with more and more pivots of each bucket go on until the bucket is one
-component or all its members have been pivots; only members of different components are compared, and, as 1 - Jaccard is a
-metric, only those whose similarities to a common pivot differ by no more than a link allows.  Links are confirmed on full sets.
+component or all its members have been pivots.  A pair meets in the first bucket where it can; only members of different components are compared, and only
+where what is known of both leaves room for a link: their sizes, their sketches and how their sets differ from that of a common hub.
+For the last, the members of buckets that are not one component yet are compared with their hubs once more, and the shingles in which a member differs
+from its hub are counted over all members of that hub.  Those that no other member has are certain to tell it apart from each of
+them, so that many edits of a text are ruled out without being compared with each other.  Links are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -126,26 +129,44 @@ def _sketch_filter(percent: int):
     return run
 
 
+def _set_pairs(batch: pa.RecordBatch, k: int, held: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, set of the node, set of the pivot); the last pivot's set is kept."""
+    pivots, texts = batch.column("pivot").to_numpy(), batch.column("p_text")
+    for first, _, buf, offsets in vec.blocks(batch.column("text")):
+        for i, own in enumerate(shingle_sets(buf, offsets, k), first):
+            if held.get("pivot") != pivots[i]:
+                _, _, p_buf, p_offsets = next(vec.blocks(texts.slice(i, 1)))
+                held["pivot"], held["set"] = pivots[i], shingle_sets(p_buf, p_offsets, k)[0]
+            yield i, own, held["set"]
+
+
 def _verifier(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, pivot_set = None, None
+        held: dict = {}
         for batch in batches:
-            pivots = batch.column("pivot").to_numpy()
             both, either = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int64)
-            texts = batch.column("p_text")
-            for first, end, buf, offsets in vec.blocks(batch.column("text")):
-                for i, s in enumerate(shingle_sets(buf, offsets, k), first):
-                    if last is None or pivots[i] != last:
-                        _, _, p_buf, p_offsets = next(vec.blocks(texts.slice(i, 1)))
-                        last, pivot_set = pivots[i], shingle_sets(p_buf, p_offsets, k)[0]
-                    both[i] = len(np.intersect1d(s, pivot_set, assume_unique=True))
-                    either[i] = len(s) + len(pivot_set) - both[i]
+            for i, own, other in _set_pairs(batch, k, held):
+                both[i] = len(np.intersect1d(own, other, assume_unique=True))
+                either[i] = len(own) + len(other) - both[i]
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("pivot"), pa.array(both), pa.array(either)],
                                              names=["node", "pivot", "both", "either"])
 
     return run
 
 
+def _differ(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            node, pivot = (batch.column(c).to_numpy() for c in ("node", "pivot"))
+            for i, own, other in _set_pairs(batch, k, held):
+                unlike = np.setxor1d(own, other, assume_unique=True).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(unlike), node[i])), pa.array(np.full(len(unlike), pivot[i])), pa.array(unlike)],
+                                                 names=["node", "pivot", "unlike"])
+
+    return run
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of ``links`` (a, b); the label is the smallest node reachable.
 
@@ -215,9 +236,12 @@ def _judged(docs: DataFrame, percent: int, shingle: int, bands: int, rows: int,
                                        "doc long, mark long, node long, n long, bands array<long>, sketch binary, "
                                        + ", ".join(f"s{i} long" for i in range(max(COORDINATES // 64, -(-bands * rows // 64))))))
     filled = described.where("n > 0")
-    classes = checkpointed(filled.groupBy("node").agg(F.min(F.struct("doc", "mark")).alias("first")).select("node", "first.*"))
-    nodes = filled.join(classes, ["node", "doc", "mark"])
+    # documents with equal sets, repeated rows among them, are one node, compared by the text of the first
+    facts = [c for c in described.columns if c not in ("doc", "mark", "node")]
+    nodes = checkpointed(filled.groupBy("node").agg(F.min(F.struct("doc", "mark")).alias("first"), *[F.first(c).alias(c) for c in facts])
+                         .select("node", "first.*", *facts))
     label = link_nodes(base, nodes, percent, shingle)
+    classes = nodes.select("node", "doc", "mark")
     small = classes.join(label, "node").groupBy("label").agg(F.min(F.struct("doc", "mark")).alias("least"))
     linked = checkpointed(label.join(small, "label").select("node", "least"))
     least = F.coalesce("least", F.struct("doc", "mark"))
@@ -247,26 +271,33 @@ def link_nodes(base: DataFrame, nodes: DataFrame, percent: int, shingle: int) ->
     linked = F.col("both") * 100 >= F.col("either") * percent
     links = tested.where(linked).select("node", "pivot")
     label = checkpointed(components(links.select(F.col("node").alias("a"), F.col("pivot").alias("b"))))
-    known = tested.select("node", F.col("pivot").alias("hub"), (F.col("both") / F.col("either")).alias("near"))
-    members = members.join(facts.select("node", "n", *packed), "node").join(known, "node", "left")
+    known = tested.select("node", F.col("pivot").alias("hub"), (F.col("both") / F.col("either")).alias("near"), (F.col("either") - F.col("both")).alias("unlike"))
     tested = tested.select("node", "pivot")
     done, pivots = 0, PIVOTS
     while True:
         # buckets that are not one component yet, and have had fewer pivots than members
-        here = members.join(label, "node", "left").select("band", "node", "rank", "n", *packed, "hub", "near", F.coalesce("label", "node").alias("label"))
+        here = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = here.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c")).where(f"lo <> hi and c > {done}")
         here = checkpointed(here.join(mixed.select("band"), "band"))
         if here.isEmpty():
             return label
+        if not done:
+            own = apart_from_hubs(base, facts, here.select("node").distinct().join(known, "node"), shingle)
+            here = checkpointed(here.join(nodes.select("node", "n", "bands", *packed), "node").join(own, "node", "left"))
         order = W.partitionBy("band").orderBy(F.desc("rank"), "node")
         chosen = (here.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).where(F.col("place") > done)
-                  .select("band", *[F.col(c).alias(f"p_{c}") for c in ("node", "n", *packed, "hub", "near", "label")]))
+                  .select(*[F.col(c).alias(f"p_{c}") for c in ("band", "node", "n", *packed, "hub", "near", "own", "shared", "label")]))
+        chosen = chosen.join(chosen.groupBy("p_node").agg(F.collect_set("p_band").alias("p_bands")), "p_node")
         # 1 - Jaccard is a metric: nodes are not linked if their similarities to one hub differ by more than 1 - threshold
-        apart = (F.col("hub") == F.col("p_hub")) & (F.abs(F.col("near") - F.col("p_near")) > 1 - percent / 100 + 1e-9)
+        apart = F.abs(F.col("near") - F.col("p_near")) > 1 - percent / 100 + 1e-9
+        # what two sets differ from a hub by, they differ by from each other, but for what they have both
+        least = F.col("own") + F.col("p_own") + F.abs(F.col("shared") - F.col("p_shared"))
+        apart = (F.col("hub") == F.col("p_hub")) & (apart | (least * (100 + percent) > (F.col("n") + F.col("p_n")) * (100 - percent)))
         sizes = F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent
         unlike = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p_{c}"))) for c in packed), F.lit(0))
-        pairs = (here.join(chosen, (here["band"] == chosen["band"]) & (F.col("label") != F.col("p_label")) & sizes
-                           & ~F.coalesce(apart, F.lit(False)) & (unlike <= most))
+        first_meeting = F.array_min(F.array_intersect("bands", "p_bands")) == F.col("band")
+        pairs = (here.join(chosen, (F.col("band") == F.col("p_band")) & (F.col("label") != F.col("p_label")) & sizes
+                           & ~F.coalesce(apart, F.lit(False)) & (unlike <= most) & first_meeting)
                  .select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot")).distinct())
         old = tested.select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot"))
         pairs = checkpointed(pairs.join(old, ["node", "pivot"], "left_anti"))
@@ -291,6 +322,16 @@ def link_nodes(base: DataFrame, nodes: DataFrame, percent: int, shingle: int) ->
         done, pivots = pivots, pivots * PIVOT_GROWTH
 
 
+def apart_from_hubs(base: DataFrame, facts: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
+    """(node, hub, near, own, shared): of the shingles in which a node differs from its hub, how many no other of these nodes with that hub differs by."""
+    unlike = beside(base, located(facts, known.select("node", F.col("hub").alias("pivot"))))
+    unlike = map_arrow(unlike, _differ(shingle), "node long, pivot long, unlike long")
+    own = (unlike.groupBy("pivot", "unlike").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+           .groupBy("node").agg(F.count("*").alias("own")))
+    own_count = F.coalesce("own", F.lit(0).cast("long"))
+    return checkpointed(known.join(own, "node", "left").select("node", "hub", "near", own_count.alias("own"), (F.col("unlike") - own_count).alias("shared")))
+
+
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components."""
     ends = label.select(F.col("node").alias("pivot"), F.col("label").alias("p_label"))
@@ -305,14 +346,21 @@ def located(facts: DataFrame, pairs: DataFrame, more: list[str] | None = None) -
     return pairs.join(facts.select("node", *own), "node").join(pivot, "pivot").select("node", *own, "pivot", *[f"p_{c}" for c in own])
 
 
-def compared(base: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """(node, pivot, both, either): sizes of intersection and union of the full sets of located pairs."""
+def beside(base: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, pivot, text, p_text) of located pairs, those of one pivot side by side; rows of ``base`` with one id and text count once."""
     near = checkpointed(pairs.select("node", "doc", "mark", "pivot", "p_doc", "p_mark"))
     few = near.limit(SMALL_PAIRS + 1).count() <= SMALL_PAIRS
-    texts = base.select("doc", "mark", "text")
-    with_text = texts.join(F.broadcast(near) if few else near, ["doc", "mark"]).select("node", "text", "pivot", "p_doc", "p_mark")
-    of_pivots = near.select("p_doc", "p_mark").distinct()
-    pivot_texts = (texts.select(F.col("doc").alias("p_doc"), F.col("mark").alias("p_mark"), F.col("text").alias("p_text"))
-                   .join(F.broadcast(of_pivots) if few else of_pivots, ["p_doc", "p_mark"], "left_semi"))
-    both = with_text.join(pivot_texts, ["p_doc", "p_mark"]).select("node", "pivot", "text", "p_text")
-    return map_arrow(both, _verifier(shingle), "node long, pivot long, both long, either long")
+
+    def texts(doc: str, mark: str, text: str) -> DataFrame:
+        wanted = near.select(F.col(doc).alias("doc"), F.col(mark).alias("mark")).distinct()
+        found = base.join(F.broadcast(wanted) if few else wanted, ["doc", "mark"], "left_semi").dropDuplicates(["doc", "mark"])
+        return found.select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("text").alias(text))
+
+    with_text = texts("doc", "mark", "text").join(F.broadcast(near) if few else near, ["doc", "mark"])
+    return (with_text.select("node", "text", "pivot", "p_doc", "p_mark").join(texts("p_doc", "p_mark", "p_text"), ["p_doc", "p_mark"])
+            .select("node", "pivot", "text", "p_text"))
+
+
+def compared(base: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """(node, pivot, both, either): sizes of intersection and union of the full sets of located pairs."""
+    return map_arrow(beside(base, pairs), _verifier(shingle), "node long, pivot long, both long, either long")

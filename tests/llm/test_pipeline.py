@@ -16,7 +16,8 @@ def expected(name, before, sf_dir, spark):
     if name == "line_dedup":
         return {d: t for d, (_, dropped, t) in brute.line_dedup(docs, 10, keep_first=True).items() if not dropped or brute.WORD.search(t)}
     if name == "near_dedup":
-        return {d: t for d, t in docs if brute.near_duplicates(docs)[d][1] == d}
+        near = brute.near_duplicates(docs, 80)
+        return {d: t for d, t in docs if near[d][1] == d}
     return None
 
 
