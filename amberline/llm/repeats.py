@@ -162,10 +162,10 @@ def settle(rows: DataFrame, smaller_only: bool, leave: bool) -> DataFrame:
 
 
 def per_document(found: DataFrame) -> DataFrame:
-    """(doc, mark, locs, left): each document's settled rows, and those left to compare as (loc, key)."""
+    """(doc, mark, locs, left): each document's settled rows, and those left to compare as (loc, key); repeated rows of a table count once."""
     settled = F.col("loc").bitwiseAND(F.lit(15)) == SETTLED
-    return found.groupBy("doc", "mark").agg(F.collect_list(F.when(settled, F.col("loc"))).alias("locs"),
-                                            F.collect_list(F.when(~settled, F.struct("loc", "key"))).alias("left"))
+    return found.groupBy("doc", "mark").agg(F.collect_set(F.when(settled, F.col("loc"))).alias("locs"),
+                                            F.collect_set(F.when(~settled, F.struct("loc", "key"))).alias("left"))
 
 
 def settled_of(found: DataFrame, more: DataFrame) -> DataFrame:
@@ -206,7 +206,8 @@ def spans_of(lists: DataFrame, length: int) -> DataFrame:
 def beside_text(texts: DataFrame, lists: DataFrame, column: str, how: str) -> DataFrame:
     """``texts`` (with doc, mark) joined with per-document lists, which are broadcast if they are small enough."""
     lists = checkpointed(lists)
-    size = lists.agg(F.coalesce(F.sum(F.lit(64) + F.size(column) * 8), F.lit(0))).first()[0]
+    element = 8 if lists.schema[column].dataType.elementType.simpleString() == "bigint" else 32  # a struct of two longs
+    size = lists.agg(F.coalesce(F.sum(F.lit(64) + F.size(column) * element), F.lit(0))).first()[0]
     return texts.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists, ["doc", "mark"], how)
 
 
@@ -224,3 +225,51 @@ def run_rows(texts: DataFrame, cut: Callable, smaller_only: bool) -> DataFrame:
         yield from rows.flush()
 
     return map_arrow(texts, run, ROWS)
+
+
+def in_blocks(compare: Callable[[pa.Table, bool], Iterator[pa.RecordBatch]], block: int) -> Callable:
+    """Feeds rows sorted by key to ``compare`` in blocks of about ``block`` bytes, of whole keys or of a part of a very common one.
+
+    ``compare`` gets a block and whether all rows of its keys are in it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        size, part_of = 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(pa.Table.from_batches([batch]))
+            size += batch.nbytes
+            if size < block:
+                continue
+            table = pa.concat_tables(held)
+            key = table.column("key").to_numpy()
+            if part_of is not None:  # the rest of a key that has been cut
+                own = int(np.searchsorted(key != part_of, True))
+                if own:
+                    yield from compare(table.slice(0, own), False)
+                table, key = table.slice(own), key[own:]
+                part_of = part_of if not len(key) else None
+            if len(key):
+                cut = int(np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[-1])
+                if cut:
+                    yield from compare(table.slice(0, cut), True)
+                    table = table.slice(cut)
+                if table.nbytes >= 2 * block:
+                    part_of = key[-1]
+                    yield from compare(table, False)
+                    table = table.slice(0, 0)
+            held, size = [table] if table.num_rows else [], table.nbytes
+        if held:
+            table = pa.concat_tables(held)
+            key = table.column("key").to_numpy()
+            own = 0
+            if part_of is not None:
+                own = int((key == part_of).sum())
+                if own:
+                    yield from compare(table.slice(0, own), False)
+            if own < len(key):
+                yield from compare(table.slice(own), True)
+
+    return run

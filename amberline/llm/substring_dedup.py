@@ -1,8 +1,11 @@
-"""Substring dedup by seeds and windows: repeated passages of words, wherever they are, same document included.
-
-Seeds are winnowed anchors, words chosen so that every window of ``length`` words holds one.  Documents meet at equal seeds, first with
-the whole context of the seed, by hash.  Where contexts differ nothing is extended: their windows are grouped one by one by a
-128-bit hash.  Windows that are anywhere else too are merged into maximal repeats.
+"""Substring dedup by seed and extension: repeated passages of words, wherever they are, same document included.
+
+Seeds are winnowed anchors, a few words chosen so that every window of ``length`` words holds one.  Documents meet at equal seeds, first with
+the whole context of the seed, by hash: equal contexts match as a whole.  Where contexts of a seed differ, the matches are extended from it word by word, to the left
+and to the right, all occurrences of a seed at once: occurrences that agree so far are a class, the next word splits it, and who is alone
+goes no further.  A window is a repeat if, with its words left of the seed and its words right of it, it still has company.  No pair of
+occurrences is ever formed.  Windows that are anywhere else too are merged into maximal repeats.  Occurrences arrive sorted by seed in blocks of
+bounded size; only what a seed too common for one block has left goes through one more grouping, by 128-bit hashes of windows.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from .common import checkpointed, doc_key, free_shuffles, map_arrow, text_mark
 
 LENGTH = 35
 SEED = 12
+BLOCK = 1 << 22
 
 
 def _word_codes(buf: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -27,36 +31,117 @@ def _word_codes(buf: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray],
     return [vec.word_codes(buf, starts, ends, i) for i in (0, 1)], firsts, starts, ends
 
 
-def _windows(length: int):
-    """Rows of single windows, for the runs that are left to compare."""
+CONTEXTS = "key long, doc long, mark long, loc long, place int, body binary"
+
+
+def _contexts(length: int, seed: int):
+    """The word codes of the contexts that are left to compare, with their seeds and the place of the seed in the context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = repeats.Collapse(False)
         for batch in batches:
             doc, mark = np.asarray(batch.column("doc")), np.asarray(batch.column("mark"))
-            values, at = batch.column("left").values.field("loc").to_numpy(), batch.column("left").offsets.to_numpy()
+            left, at = batch.column("left").values, batch.column("left").offsets.to_numpy()
+            locs, keys = left.field("loc").to_numpy(), left.field("key").to_numpy()
             for first, end, buf, offsets in vec.blocks(batch.column("text")):
-                codes, firsts, _, _ = _word_codes(buf, offsets)
-                lists = np.diff(at[first:end + 1])
-                text = np.repeat(np.arange(end - first), lists)
-                lo, count, kind = repeats.unpack(values[at[first]:at[end]])
-                n = len(text)
-                if not n:
+                text = np.repeat(np.arange(end - first), np.diff(at[first:end + 1]))
+                if not len(text):
                     continue
-                which = np.repeat(np.arange(n), count)
-                begin = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-                start = firsts[text[which]] + begin
-                keys = [vec.Sums(c, i).slices(start, start + length).view(np.int64) for i, c in enumerate(codes)]
-                owner = first + text[which]
-                loc = repeats.pack(begin, np.ones(len(begin), dtype=np.int64), 0) | np.where(kind[which] == repeats.KNOWN, repeats.KNOWN, repeats.OPEN)
-                yield from rows.add(*keys, doc[owner], mark[owner], loc)
-        yield from rows.flush()
+                starts, ends, firsts = vec.word_spans(buf, offsets)
+                codes = vec.word_codes(buf, starts, ends)
+                loc, key = locs[at[first]:at[end]], keys[at[first]:at[end]]
+                lo, count, _ = repeats.unpack(loc)
+                begin, sizes = firsts[text] + lo, count + length - 1
+                # the seed is the first of its kind in the context: a window takes the leftmost one
+                sums, place = vec.Sums(codes), np.full(len(text), -1)
+                for i in range(length - seed, -1, -1):
+                    a = np.minimum(begin + i, len(codes) - seed)
+                    place[(sums.slices(a, a + seed).view(np.int64) == key) & (a == begin + i)] = i
+                total = np.concatenate(([0], np.cumsum(sizes)))
+                body = codes[np.repeat(begin - total[:-1], sizes) + np.arange(total[-1])]
+                bodies = pa.Array.from_buffers(pa.large_binary(), len(text), [None, pa.py_buffer(total.astype(np.int64) * 8), pa.py_buffer(body)])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc[first + text]), pa.array(mark[first + text]), pa.array(loc),
+                                                  pa.array(place.astype(np.int32)), bodies.cast(pa.binary())], names=["key", "doc", "mark", "loc", "place", "body"])
+
+    return run
+
+
+def _split(classes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Classes by (class, word); -1 for who is in a class (-1) no more, or alone in it."""
+    out = np.full(len(classes), -1)
+    live = np.flatnonzero(classes >= 0)
+    order = live[np.lexsort((words[live], classes[live]))]
+    c, w = classes[order], words[order]
+    new = np.r_[True, (c[1:] != c[:-1]) | (w[1:] != w[:-1])][:len(order)]
+    group = np.cumsum(new) - 1
+    several = np.bincount(group)[group] > 1 if len(order) else np.zeros(0, bool)
+    out[order[several]] = group[several]
+    return out
+
+
+def extend(key: np.ndarray, place: np.ndarray, count: np.ndarray, offsets: np.ndarray, codes: np.ndarray, length: int, seed: int) -> list[np.ndarray]:
+    """For each number of words left of the seed, the occurrences whose window with so many is also that of another one.
+
+    Occurrence i has the words ``codes[offsets[i]:offsets[i + 1]]``, its seed ``place[i]`` words into them, and ``count[i]`` windows.
+    """
+    reach, at = length - seed, offsets[:-1] + place
+    room_left, room_right = place, offsets[1:] - at - seed
+    start = _split(np.zeros(len(key), np.int64), key)
+    right = [start]
+    for r in range(1, reach + 1):
+        inside = room_right >= r
+        word = codes[np.where(inside, at + seed + r - 1, 0)]
+        right.append(_split(np.where(inside, right[-1], -1), word))
+    left, out = start, []
+    for n in range(reach + 1):
+        if n:
+            inside = room_left >= n
+            left = _split(np.where(inside, left, -1), codes[np.where(inside, at - n, 0)])
+        begins = place - n  # the window's place in the context
+        both = np.where((right[reach - n] >= 0) & (begins >= 0) & (begins < count), left, -1)
+        out.append(np.flatnonzero(_split(both, right[reach - n]) >= 0))
+    return out
+
+
+def _compare(length: int, seed: int):
+    """Rows for ``repeats.settle`` from a block of contexts: runs of repeated windows and, if the block has not all of a seed, its windows one by one."""
+
+    def run(table: pa.Table, whole: bool) -> Iterator[pa.RecordBatch]:
+        key, doc, mark, loc, place = (table.column(c).to_numpy() for c in ("key", "doc", "mark", "loc", "place"))
+        bodies = table.column("body").combine_chunks().cast(pa.large_binary())
+        offsets = np.frombuffer(bodies.buffers()[1], dtype=np.int64)[bodies.offset:bodies.offset + len(bodies) + 1]
+        codes = np.frombuffer(bodies.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]].view(np.uint64)
+        offsets = (offsets - offsets[0]) // 8
+        lo, count, kind = repeats.unpack(loc)
+        found = extend(key, place, count, offsets, codes, length, seed)
+        owner = np.concatenate(found)
+        window = np.concatenate([place[f] - n for n, f in enumerate(found)])
+        order = np.lexsort((window, owner))
+        owner, window = owner[order], window[order]
+        begin = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (window[1:] != window[:-1] + 1)][:len(owner)])
+        runs, of = np.diff(np.append(begin, len(owner))), owner[begin]
+        settled = repeats.pack(lo[of] + window[begin], runs, repeats.SETTLED)
+        spread = vec.mix(doc[of].view(np.uint64) + settled.view(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (spread, spread * 0, doc[of], mark[of], settled)], names=repeats.FIELDS)
+        if whole:
+            return
+        every = np.repeat(np.arange(len(key)), count)
+        step = np.arange(len(every)) - np.repeat(np.cumsum(count) - count, count)
+        known = kind[every] == repeats.KNOWN
+        known[(np.cumsum(count) - count)[owner] + window] = True
+        a = offsets[every] + step
+        hashes = [vec.Sums(c, i).slices(a, a + length).view(np.int64) for i, c in enumerate((codes, vec.mix(codes)))]
+        rest = repeats.Collapse(False)
+        yield from rest.add(*hashes, doc[every], mark[every], repeats.pack(lo[every] + step, np.ones(len(every), np.int64), np.where(known, repeats.KNOWN, repeats.OPEN)))
+        yield from rest.flush()
 
     return run
 
 
-def repeated_words(docs: DataFrame, length: int = LENGTH, seed: int = SEED, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, mark, spans): maximal ranges of words, first and end in turn, covered by windows that also start anywhere else."""
+def repeated_words(docs: DataFrame, length: int = LENGTH, seed: int = SEED, block: int = BLOCK, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, mark, spans): maximal ranges of words, first and end in turn, covered by windows that also start anywhere else.
+
+    The result does not depend on ``block``, the bytes of contexts that are extended together.
+    """
     texts = docs.select(doc_key(key).alias("doc"), text_mark(text).alias("mark"), F.col(text).alias("text"))
 
     def cut(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -66,8 +151,10 @@ def repeated_words(docs: DataFrame, length: int = LENGTH, seed: int = SEED, key:
     found = checkpointed(repeats.per_document(repeats.settle(repeats.run_rows(texts, cut, False), False, True)))
     free_shuffles(found)
     beside = repeats.beside_text(texts, found.select("doc", "mark", "left").where(F.size("left") > 0), "left", "inner")
-    windows = map_arrow(beside.select("doc", "mark", "text", "left"), _windows(length), repeats.ROWS)
-    return repeats.spans_of(repeats.settled_of(found, repeats.per_document(repeats.settle(windows, False, False))), length)
+    contexts = map_arrow(beside.select("doc", "mark", "text", "left"), _contexts(length, seed), CONTEXTS)
+    ordered = contexts.repartition("key").sortWithinPartitions("key", "doc", "mark", "loc")
+    extended = map_arrow(ordered, repeats.in_blocks(_compare(length, seed), block), repeats.ROWS)
+    return repeats.spans_of(repeats.settled_of(found, repeats.per_document(repeats.settle(extended, False, False))), length)
 
 
 def _apply(width: int, at: int):

@@ -165,53 +165,11 @@ def compare(doc: np.ndarray, mark: np.ndarray, loc: np.ndarray, bodies: pa.Array
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names=repeats.FIELDS)
 
 
-def _blocks(length: int, block: int):
-    """Sorted contexts in blocks of whole anchors, or of parts of a very common one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        size, part_of = 0, None
-
-        def done(table: pa.Table, whole: bool) -> pa.RecordBatch:
-            table = table.combine_chunks()
-            doc, mark, loc = (table.column(c).to_numpy() for c in ("doc", "mark", "loc"))
-            return compare(doc, mark, loc, table.column("body").chunk(0), length, whole)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(pa.Table.from_batches([batch]))
-            size += batch.nbytes
-            if size < block:
-                continue
-            table = pa.concat_tables(held)
-            key = table.column("key").to_numpy()
-            if part_of is not None:  # the rest of an anchor that has been cut
-                own = int(np.searchsorted(key != part_of, True))
-                if own:
-                    yield done(table.slice(0, own), False)
-                table, key = table.slice(own), key[own:]
-                part_of = part_of if not len(key) else None
-            if len(key):
-                cut = int(np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[-1])
-                if cut:
-                    yield done(table.slice(0, cut), True)
-                    table = table.slice(cut)
-                if table.nbytes >= 2 * block:
-                    part_of = key[-1]
-                    yield done(table, False)
-                    table = table.slice(0, 0)
-            held, size = [table] if table.num_rows else [], table.nbytes
-        if held:
-            table = pa.concat_tables(held)
-            key = table.column("key").to_numpy()
-            own = 0
-            if part_of is not None:
-                own = int((key == part_of).sum())
-                if own:
-                    yield done(table.slice(0, own), False)
-            if own < len(key):
-                yield done(table.slice(own), True)
+def _compared(length: int):
+    def run(table: pa.Table, whole: bool) -> Iterator[pa.RecordBatch]:
+        table = table.combine_chunks()
+        doc, mark, loc = (table.column(c).to_numpy() for c in ("doc", "mark", "loc"))
+        yield compare(doc, mark, loc, table.column("body").chunk(0), length, whole)
 
     return run
 
@@ -233,7 +191,7 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, reach
     beside = repeats.beside_text(texts, found.select("doc", "mark", "left").where(F.size("left") > 0), "left", "inner")
     contexts = map_arrow(beside.select("doc", "mark", "text", "left"), _contexts(length), CONTEXTS)
     ordered = contexts.repartition("key").sortWithinPartitions("key", "doc", "mark", "loc")
-    more = repeats.per_document(repeats.settle(map_arrow(ordered, _blocks(length, block), repeats.ROWS), True, False))
+    more = repeats.per_document(repeats.settle(map_arrow(ordered, repeats.in_blocks(_compared(length), block), repeats.ROWS), True, False))
     return repeats.spans_of(repeats.settled_of(found, more), length)
 
 
