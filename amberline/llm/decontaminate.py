@@ -235,18 +235,20 @@ def _matcher(blocks: list, min_words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, n_hit, n_items, digests, spans = [], [], [], [], []
+            pieces = []
             for first, end, buf, offsets in vec.blocks(batch.column("_text")):
                 buf = vec.LOWER[buf]
-                starts, ends, firsts = vec.word_spans(buf, offsets, WORD_BYTES)
-                covered: dict[int, list] = {}
-                names: dict[int, set] = {}
-                for block in blocks:
-                    for t, (ranges, items) in _automaton(block, min_words).scan(buf, starts, ends, firsts).items():
+                pieces.append((end - first, offsets, buf, *vec.word_spans(buf, offsets, WORD_BYTES), {}, {}))
+            for block in blocks:  # an automaton is needed once for all pieces of a batch
+                automaton = _automaton(block, min_words) if pieces else None
+                for _, _, buf, starts, ends, firsts, covered, names in pieces:
+                    for t, (ranges, items) in automaton.scan(buf, starts, ends, firsts).items():
                         covered.setdefault(t, []).extend(ranges)
                         names.setdefault(t, set()).update(items)
+            n_words, n_hit, n_items, digests, spans = [], [], [], [], []
+            for size, offsets, _, starts, ends, firsts, covered, names in pieces:
                 n_words.extend(np.diff(firsts).tolist())
-                for t in range(end - first):
+                for t in range(size):
                     merged: list[list[int]] = []
                     for a, b in sorted(covered.get(t, ())):
                         if merged and a <= merged[-1][1]:

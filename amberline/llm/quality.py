@@ -2,8 +2,9 @@
 
 A line with a word is a step of the chain; its features are shares of kinds of characters and word statistics.  Viterbi
 decoding gives the labels, and a document stays if enough of its words are in content lines and it passes the base rules.
-Weights are fitted on the lines of at most ``fit_docs`` documents with a quality label; a document's label is the
-training label of all its lines.
+Weights are fitted on the lines of at most ``fit_docs`` documents with a quality label, and of each on at most ``fit_lines`` lines in a row.  A line's training
+label is that of its document, but for lines that several of these documents have: nearly all of them good ones, it is content in each of them; nearly all
+bad ones, boilerplate.  So labels change inside documents, which is what the transitions are fitted on.
 """
 
 from __future__ import annotations
@@ -26,7 +27,10 @@ DIGITS = vec.byte_class(bytes(range(48, 58)))
 MARKS = vec.byte_class(bytes([*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]))
 FEATURES = ("symbols", "marks", "capitals", "digits", "word_length", "words", "repeated_line", "repeated_words", "echoes", "bare_words")
 WINDOW = 8
-FIT_DOCS = 2_000
+#: Bounds on what the weights are fitted on: documents, and lines of each.
+FIT_DOCS, FIT_LINES = 2_000, 256
+#: A line of so many fitted documents has a label of its own if this share of them, or more, has it.
+COMMON_DOCS, COMMON_SHARE = 3, 0.8
 CONTENT_SHARE = 0.5
 
 
@@ -67,13 +71,16 @@ def viterbi(crf: Crf, scores: np.ndarray) -> np.ndarray:
     return labels
 
 
-def fit(chains: list[tuple[np.ndarray, int]], rounds: int = 500, rate: float = 1.0, ridge: float = 1e-4) -> Crf:
-    """Maximum likelihood by gradient ascent with forward-backward sums over all chains at once, sorted by length."""
-    if len({label for _, label in chains}) < 2:
+def fit(chains: list[tuple[np.ndarray, int | np.ndarray]], rounds: int = 500, rate: float = 1.0, ridge: float = 1e-4) -> Crf:
+    """Maximum likelihood by gradient ascent with forward-backward sums over all chains at once, sorted by length.
+
+    A chain is the features of its lines and their labels, or one label for all.  Chains of a single label give ``DEFAULT``.
+    """
+    chains = sorted(((x, np.broadcast_to(np.asarray(y, dtype=np.int64), len(x))) for x, y in chains), key=lambda c: -len(c[0]))
+    gold = np.concatenate([y for _, y in chains]) if chains else np.zeros(0, np.int64)
+    if len(np.unique(gold)) < 2:
         return DEFAULT
-    chains = sorted(chains, key=lambda c: -len(c[0]))
     lengths = np.array([len(x) for x, _ in chains])
-    labels = np.array([y for _, y in chains])
     width = chains[0][0].shape[1] + 1
     x = np.concatenate([np.c_[f, np.ones(len(f))] for f, _ in chains])
     first = np.r_[0, np.cumsum(lengths)[:-1]]
@@ -81,7 +88,6 @@ def fit(chains: list[tuple[np.ndarray, int]], rounds: int = 500, rate: float = 1
     alive = [int((lengths > t).sum()) for t in range(int(lengths[0]))]
     emit, step, begin = np.zeros((width, 2)), np.zeros((2, 2)), np.zeros(2)
     moments = [np.zeros_like(p) for p in (emit, step, begin)]
-    gold = np.repeat(labels, lengths)
     gold_one = np.eye(2)[gold] * np.repeat(weight, lengths)[:, None]
     for _ in range(rounds):
         s = x @ emit
@@ -165,6 +171,7 @@ class Block:
         lines = np.flatnonzero(q > p)
         text = np.searchsorted(lf, lines, side="right") - 1
         whole = vec.Sums(vec.BYTE_TABLES[0][buf]).slices(ls[lines], le[lines])
+        self.line_keys = whole
         again = _repeats(vec.mix(whole + text.astype(np.uint64) * vec.U64(0x9E3779B97F4A7C15)))[1]
         self.n_dup_lines = np.bincount(text[again], minlength=len(a))
         self.line_firsts = np.searchsorted(text, np.arange(len(a) + 1))
@@ -181,24 +188,52 @@ class Block:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for first, end, buf, offsets in vec.blocks(batch.column("text")):
-            block = Block(buf, offsets)
-            out += [block.features[a:b].ravel().tolist() for a, b in zip(block.line_firsts, block.line_firsts[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(out, pa.list_(pa.float64()))], names=["quality", "features"])
+def _chains(fit_lines: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features, keys = [], []
+            for _, _, buf, offsets in vec.blocks(batch.column("text")):
+                block = Block(buf, offsets)
+                for a, b in zip(block.line_firsts.tolist(), block.line_firsts[1:].tolist()):
+                    if b - a > fit_lines:  # lines in a row from a place that the text itself draws
+                        a += int(block.line_keys[a:b].sum(dtype=np.uint64)) % (b - a - fit_lines + 1)
+                        b = a + fit_lines
+                    features.append(block.features[a:b].ravel().tolist())
+                    keys.append(block.line_keys[a:b].view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(features, pa.list_(pa.float64())), pa.array(keys, pa.list_(pa.int64()))],
+                                             names=["quality", "features", "keys"])
+
+    return run
+
+
+def line_labels(documents: list[tuple[int, list[int]]], docs: int = COMMON_DOCS, share: float = COMMON_SHARE) -> list[np.ndarray]:
+    """Labels of the lines of (label, line keys) documents: the document's, or for a line of ``docs`` or more of them what a ``share`` of these has."""
+    held = [np.unique(np.array(keys, dtype=np.int64)) for _, keys in documents]
+    every = np.concatenate(held) if held else np.zeros(0, np.int64)
+    kinds, place, counts = np.unique(every, return_inverse=True, return_counts=True)
+    bad = np.bincount(place, weights=np.repeat([label for label, _ in documents], [len(h) for h in held]), minlength=len(kinds)) / np.maximum(counts, 1)
+    common, least = counts >= docs, share - 1e-9
+    own = np.where(common & (bad >= least), 1, np.where(common & (1 - bad >= least), 0, -1))
+    out = []
+    for label, keys in documents:
+        said = own[np.searchsorted(kinds, np.array(keys, dtype=np.int64))] if keys else np.zeros(0, np.int64)
+        out.append(np.where(said < 0, label, said))
+    return out
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Crf:
-    """A CRF from the documents of the ``fit_docs`` labels with the smallest hashed ids.  Of an id's labels the smallest counts."""
+def fit_on_labels(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, fit_lines: int = FIT_LINES) -> Crf:
+    """A CRF from the documents of the ``fit_docs`` labels with the smallest hashed ids, at most ``fit_lines`` lines of each.
+
+    Of an id's labels the smallest counts, and of its texts the first in their order.
+    """
     key = F.xxhash64(F.lit("quality"), F.col("doc_id"))
     chosen = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
               .orderBy(key, "doc_id").limit(fit_docs))
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
-    rows = map_arrow(texts, _chains, "quality int, features array<double>").collect()  # at most fit_docs feature lists
-    chains = [(np.array(r.features).reshape(-1, len(FEATURES)), 0 if r.quality else 1) for r in rows if r.features]
-    return fit(sorted(chains, key=lambda c: (c[1], c[0].shape, c[0].tobytes())))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = map_arrow(texts.select("quality", "text"), _chains(fit_lines), "quality int, features array<double>, keys array<long>")
+    found = sorted((0 if r.quality else 1, list(r.keys), list(r.features)) for r in rows.collect() if r.features)  # at most fit_docs times fit_lines lines
+    lines = line_labels([(label, keys) for label, keys, _ in found])
+    return fit([(np.array(features).reshape(-1, len(FEATURES)), y) for (_, _, features), y in zip(found, lines)])
 
 
 def _judge(block, share: float):

@@ -307,3 +307,51 @@ def test_sketches_fill_and_estimate():
     m = near_dedup.sketches(sets, 240)
     assert (m[:3] != 2**64 - 1).all() and (m[3] == 2**64 - 1).all()
     assert abs((m[0] == m[1]).mean() - 270 / 330) < .12
+
+
+def test_automata_are_built_once_for_a_batch(monkeypatch):
+    import pyarrow as pa
+
+    class Block:
+        def __init__(self, n):
+            self.value = (f"test {n}", [(f"i{n}", " ".join(f"w{n}x{j}" for j in range(12)))])
+
+    built = []
+    real = decontaminate.Automaton
+    monkeypatch.setattr(decontaminate, "Automaton", lambda *a: (built.append(1), real(*a))[1])
+    texts = [" ".join(f"w{i % 4}x{j}" for j in range(12)) + " filler" * 60_000 for i in range(10)]
+    out = list(decontaminate._matcher([Block(n) for n in range(4)], 10)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["_text"])])))
+    assert len(built) == 4 and out[0].column("n_hit").to_pylist() == [12] * 10 and out[0].column("n_items").to_pylist() == [1] * 10
+
+
+def test_lines_of_many_documents_have_labels_of_their_own():
+    documents = [(1, [7, 1, 2]), (1, [7, 3]), (1, [7, 4, 7]), (0, [7, 5, 9]), (0, [9, 6]), (0, [9]), (1, [9, 8]), (0, [9]), (1, [])]
+    got = [y.tolist() for y in quality.line_labels(documents)]
+    assert got == [[1, 1, 1], [1, 1], [1, 1, 1], [0, 0, 0], [0, 0], [0], [0, 1], [0], []]
+    got = [y.tolist() for y in quality.line_labels(documents, share=.75)]
+    assert got[3] == [1, 0, 0]
+
+
+def test_fit_of_a_very_long_labelled_document(spark):
+    """Lines that a document is fitted on are bounded, rows that repeat an id count once, and the fit takes seconds."""
+    import time
+
+    long = "\n".join(f"line {i} with some words of its own" for i in range(100_000))
+    junk = "\n".join("$$ ## !! ??" for _ in range(50))
+    df = frame(spark, [(1, long)] + [(2, junk)] * 50 + [(3, junk + "\nx")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    begin = time.time()
+    crf = quality.fit_on_labels(df, labels)
+    assert time.time() - begin < 60
+    assert crf.step[0, 0] > crf.step[0, 1] and crf.step[1, 1] > crf.step[1, 0]
+
+
+def test_language_prediction_equals_a_plain_version(spark, small):
+    """The whole result over all documents, from integer vectors that are bundled and compared one by one."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    got = {r.doc_id: r for r in queries.QUERIES["op4_language_id"](spark, small).collect()}
+    want = brute.languages([(r.doc_id, r.text, r.lang) for r in docs.collect()])
+    assert got.keys() == want.keys()
+    for d, (held_out, lang, score) in want.items():
+        assert (got[d].held_out, got[d].lang_pred) == (held_out, lang), d
+        assert got[d].score == pytest.approx(score, abs=1e-6)
