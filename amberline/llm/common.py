@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,10 +77,28 @@ def small_side(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Bytes of a batch that goes to Python, where the session does not say otherwise.  Spark's own 64 MB are held several times over, in the JVM and in Python.
+BATCH_BYTES = "8m"
+BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _released(function: Callable) -> Callable:
+    """``function``, upon whose end the worker gives memory that it has no more use for back to the machine."""
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package sent along, so that executors need no installation of it."""
-    sc = df.sparkSession.sparkContext
+    """``mapInArrow`` with this package sent along, so that executors need no installation of it, in batches of a few MB."""
+    spark = df.sparkSession
+    if spark.conf.get(BYTES_SETTING, None) is None:
+        spark.conf.set(BYTES_SETTING, BATCH_BYTES)
+    sc = spark.sparkContext
     if not any(name.startswith("amberline") for name in sc._python_includes):
         package = Path(__file__).resolve().parents[1]
         sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/amberline", "zip", package.parent, package.name))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_released(function), schema)
