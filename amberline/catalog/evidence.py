@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import presets
 from ..functions import draws
 from ..functions.scalar import cut, round_half_even
-from ..operators import evaluate, models
+from ..operators import evaluate, models, trees
 from ..operators.sample import bernoulli_mask
 from ..plans import prepare, train
 from ..sources import tables
@@ -138,6 +138,56 @@ def streamed_tiers(spark, d):
     return spark.read.schema(rated.schema).parquet(out)
 
 
+SLICES, DELAY_DAYS, FILES = 5, 2, 2
+EVENTS = ["event_id", "user_id", "ts", "value"]
+
+
+def _feed_in_slices(spark, d, late: bool):
+    """Folder of a feed whose files are the events of five spans of time, one after the other.
+
+    With ``late`` each span repeats events of the one before, and the last one brings some that are older than all others, under other ids.
+    """
+    events = table(spark, d, "events").select(*EVENTS)
+    day = F.to_date("ts")
+    ends = events.agg(F.min(day).alias("lo"), F.datediff(F.max(day), F.min(day)).alias("days")).first()
+    number = F.coalesce(F.floor(F.datediff(day, F.lit(ends["lo"])) * SLICES / ((ends["days"] or 0) + 1)), F.lit(0))
+    path = tables.scratch_path(spark, "feed")
+    for b in range(SLICES):
+        rows = events.where(number == b)
+        if late:
+            rows = rows.unionByName(events.where((number == b - 1) & (F.col("event_id") % 7 == 0)))
+        if late and b == SLICES - 1:
+            older = events.where((number == 0) & (F.col("event_id") % 3 == 0))
+            rows = rows.unionByName(older.select((-1 - F.col("event_id")).alias("event_id"), "user_id", (F.col("ts") - F.expr("INTERVAL 1 SECOND")).alias("ts"), "value"))
+        rows.repartition(FILES).write.mode("append").parquet(path)
+    return feed.read_feed(spark, path, events.schema, max_files=FILES)
+
+
+@query("streamed_window_firsts", f"""
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) AS place FROM events WHERE ts IS NOT NULL)
+SELECT event_id, user_id, value FROM e WHERE place = 1
+  AND date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL {DELAY_DAYS} DAY""")
+def streamed_window_firsts(spark, d):
+    """The first event of each user and day, from a feed in batches with repeated events and some that come too late; state expires, on disk."""
+    firsts = feed.first_in_window(_feed_in_slices(spark, d, True), ["user_id"], "ts", "1 day", f"{DELAY_DAYS} days", ["event_id"])
+    out = tables.scratch_path(spark, "window-firsts")
+    with feed.disk_state(spark):
+        feed.drain(firsts, out, tables.scratch_path(spark, "window-firsts-progress"))
+    return spark.read.schema(firsts.schema).parquet(out).select("event_id", "user_id", "value")
+
+
+@query("published_tiers", f"""
+SELECT event_id, {sql_cut('value', presets.TIER_EDGES, presets.TIERS)} AS tier, {SLICES}::BIGINT AS batches FROM events""")
+def published_tiers(spark, d):
+    """A rule tier of every event, published batch by batch with a ledger; asking again publishes nothing twice."""
+    rated = _feed_in_slices(spark, d, False).select("event_id", cut("value", presets.TIER_EDGES, presets.TIERS).alias("tier"))
+    out, progress = tables.scratch_path(spark, "published"), tables.scratch_path(spark, "published-progress")
+    for _ in range(2):
+        feed.publish(rated, out, progress)
+    batches = feed.ledger(spark, out).count()
+    return feed.published(spark, out, rated.schema).withColumn("batches", F.lit(batches).cast("long"))
+
+
 # --- fitted models ------------------------------------------------------------------------
 
 _TEST = f"""WITH {ACCIDENTS}, g AS (SELECT nivel_riesgo AS tier, count(*) AS n FROM accidents GROUP BY 1),
@@ -164,6 +214,76 @@ for _kind in modelling.SETTINGS:
     query(f"{_kind}_summary", _summary_sql())(lambda spark, d, kind=_kind: _summary(spark, d, kind))
 
 
+def _walked(spark, d, kind):
+    """Test rows for which the table of trees gives the predicted class."""
+    model = modelling.fitted(spark, d, kind)
+    labels = F.array(*[F.lit(v) for v in models.labels_of(model)])
+    scored = modelling.scored_test_rows(spark, d, kind).select(modelling.KEY, presets.TARGET, "predicted")
+    walked = trees.walked_classes(model, modelling._split(spark, d)[1], modelling.KEY)
+    both = scored.join(walked, modelling.KEY)
+    return both.groupBy(F.col(presets.TARGET).alias("tier")).agg(
+        F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("predicted") == F.element_at(labels, F.col("walked").cast("int") + 1)).alias("same_class"))
+
+
+for _kind in ("forest", "boosted"):
+    query(f"{_kind}_by_trees", f"{_TEST} SELECT tier, m::BIGINT AS n_test, m::BIGINT AS same_class FROM s")(
+        lambda spark, d, kind=_kind: _walked(spark, d, kind))
+
+
+@query("importances_by_trees", " UNION ALL ".join(f"SELECT '{k}' AS model, '{f}' AS feature, true AS same" for k in ("forest", "boosted") for f in presets.FEATURES))
+def importances_by_trees(spark, d):
+    """Importances added up from the table of trees are those that the models give."""
+    out = None
+    for kind in ("forest", "boosted"):
+        model = modelling.fitted(spark, d, kind)
+        added = trees.importances_by_trees(trees.tree_table(model), presets.FEATURES, kind == "forest").withColumnRenamed("importance", "added")
+        both = models.importances(model).join(added, "feature", "left")
+        part = both.select(F.lit(kind).alias("model"), "feature", (F.abs(F.col("importance") - F.coalesce("added", F.lit(0.0))) < 1e-9).alias("same"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("logistic_gradients", " UNION ALL ".join(f"SELECT '{t}' AS tier, '{f}' AS feature, true AS near_zero" for t in presets.TIERS
+                                                for f in [*presets.FEATURES, "(intercept)"]))
+def logistic_gradients(spark, d):
+    """The logistic model is the optimum: its penalised gradient vanishes over the rows it was fitted on."""
+    rows = modelling.fit_rows(spark, d)
+    gradient = models.logistic_gradient(modelling.fitted(spark, d, "logistic"), rows, presets.TARGET)
+    return gradient.select(F.col("label").alias("tier"), "feature", (F.abs("gradient") < 1e-4).alias("near_zero"))
+
+
+_SHOWN = models.shown_rounds(presets.BOOSTED_PLAIN["maxIter"], 50)
+
+
+@query("loss_by_round", " UNION ALL ".join(f'SELECT {r} AS "round", true AS is_log_loss, true AS is_lower' for r in _SHOWN))
+def loss_by_round(spark, d):
+    """The log-loss after some rounds is that of the model cut off there, and lower than after the first one."""
+    model, test = modelling.fitted(spark, d, "boosted_plain"), modelling._split(spark, d)[1]
+    table_of = models.loss_by_round(model, test, presets.TARGET)
+    inner = models.boosted_models(model)
+    out = None
+    for r in _SHOWN:
+        cut_off = models.PipelineModel([*model.stages[:-len(inner)], *[models.first_rounds(m, r) for m in inner]])
+        scored = models.class_probabilities(cut_off, test)
+        loss = evaluate.log_loss(scored, presets.TARGET, models.probability_columns(cut_off)).select(F.lit(r).alias("round"), F.col("log_loss").alias("alone"))
+        out = loss if out is None else out.unionByName(loss)
+    first = table_of.where(F.col("round") == 1).select(F.col("log_loss").alias("first"), F.lit(True).alias("_one"))
+    both = table_of.withColumn("_one", F.lit(True)).join(out, "round").join(F.broadcast(first), "_one")
+    return both.select("round", (F.abs(F.col("log_loss") - F.col("alone")) < 1e-9).alias("is_log_loss"),
+                       ((F.col("round") == 1) | (F.col("log_loss") < F.col("first"))).alias("is_lower"))
+
+
+_FOLDS = f"""{_TEST}, n AS (SELECT sum(t.n) - max(t.k) AS train FROM t)"""
+
+
+@query("fold_sizes", f"""{_FOLDS} SELECT (f + 1)::INTEGER AS fold, ((train + {presets.CV_FOLDS} - 1 - f) // {presets.CV_FOLDS})::BIGINT AS judged,
+  true AS is_share FROM n, range({presets.CV_FOLDS}) r(f)""")
+def fold_sizes(spark, d):
+    """Cross-validation judges every training row once."""
+    scores = modelling.fold_table(spark, d)
+    return scores.select("fold", "judged", F.col("accuracy").between(0.0, 1.0).alias("is_share"))
+
+
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

@@ -40,13 +40,17 @@ def _split(spark, d):
     return train.split_table(model_rows(spark, d), KEY, presets.TARGET, method="md5")
 
 
+def fit_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows that the registered models are fitted on."""
+    return train.bounded(_split(spark, d)[0], KEY, presets.TARGET, FIT_ROWS)
+
+
 def fitted(spark: SparkSession, d: str, kind: str) -> PipelineModel:
     """A model with the full preset settings, fitted once in a session and then used by all queries."""
     name = (spark.sparkContext.applicationId, d, kind)
     if name not in _models:
         params, weighted = SETTINGS[kind]
-        rows = train.bounded(_split(spark, d)[0], KEY, presets.TARGET, FIT_ROWS)
-        _models[name] = models.fit_model(rows, kind.split("_")[0], presets.FEATURES, presets.TARGET, params, weighted)
+        _models[name] = models.fit_model(fit_rows(spark, d), kind.split("_")[0], presets.FEATURES, presets.TARGET, params, weighted)
     return _models[name]
 
 
@@ -118,6 +122,17 @@ def fold_scores(spark, d):
     return models.cross_validate(rows, "fold", presets.CV_FOLDS, presets.FEATURES, presets.TARGET, presets.BOOSTED_PLAIN, key=KEY, fit_rows=FIT_ROWS)
 
 
+_tables: dict[tuple, DataFrame] = {}
+
+
+def fold_table(spark: SparkSession, d: str) -> DataFrame:
+    """The scores of ``fold_scores``, made once in a session for all that show something of them."""
+    name = (spark.sparkContext.applicationId, d, "folds")
+    if name not in _tables:
+        _tables[name] = fold_scores(spark, d)
+    return _tables[name]
+
+
 @query("grid_scores")
 def grid_scores(spark, d):
     """All sixteen settings over three block folds of the training rows."""

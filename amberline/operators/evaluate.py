@@ -161,11 +161,13 @@ def run_rows(spark: SparkSession, run_name: str, params: Mapping, measured: Mapp
 
 
 def log_run(spark: SparkSession, path: str, run_name: str, params: Mapping, measured: Mapping) -> str:
-    """Append a run to the log folder; returns its id."""
+    """Adds a run to the log folder, in a folder of its own; returns its id."""
     run_id = uuid.uuid4().hex
-    run_rows(spark, run_name, params, measured, run_id).coalesce(1).write.mode("append").parquet(path)
+    run_rows(spark, run_name, params, measured, run_id).coalesce(1).write.mode("append").partitionBy("run_id").parquet(path)
     return run_id
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_SCHEMA).parquet(path)
+def read_runs(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """All runs of the log, or one, which reads the folder of that run alone."""
+    runs = spark.read.schema(RUN_SCHEMA).parquet(path)
+    return (runs if run_id is None else runs.where(F.col("run_id") == run_id)).select(*[c.split()[0] for c in RUN_SCHEMA.split(", ")])

@@ -6,14 +6,17 @@ import itertools
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import SparkContext, StorageLevel
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
+                                       RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
+from ..functions.draws import rank_hash
 from ..functions.scalar import number
 from ..sources.tables import ensure_checkpoint_dir, stage
 from .sample import balanced_weights, class_counts, per_class, sample_rows
@@ -101,8 +104,7 @@ def fit_model(train: DataFrame, kind: str, features: Sequence[str], target: str,
     """Fit ``kind`` (``logistic``, ``forest`` or ``boosted``) on the rows that have a target.
 
     The saved pipeline holds the label order, the feature order and, for the
-    logistic model, the scaling.  The training columns are kept in memory and
-    on disk while the estimator iterates.
+    logistic model, the scaling.  The training columns are staged, as the estimator reads them more than once.
     """
     params = dict(params or {})
     spark = train.sparkSession
@@ -112,29 +114,26 @@ def fit_model(train: DataFrame, kind: str, features: Sequence[str], target: str,
     total = float(sum(counts.values()))
     if weighted:
         rows = rows.withColumn(WEIGHT, per_class(target, balanced_weights(counts)))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stages: list = [StringIndexer(inputCol=target, outputCol=LABEL, stringOrderType="alphabetAsc")]
-        inputs = list(features)
-        weight_col = WEIGHT if weighted else None
-        if kind == "logistic":
-            stages.append(scaling_stage(fit_scaler(rows, features)))
-            inputs = [f"{c}_z" for c in features]
-            estimator = logistic(total, weight_col, **params)  # balanced weights add up to the row count
-        elif kind == "forest":
-            estimator = forest(weight_col, seed, **params)
-        elif kind == "boosted":
-            estimator = None
-        else:
-            raise ValueError(f"unknown model kind {kind!r}")
-        stages.append(VectorAssembler(inputCols=inputs, outputCol=VECTOR, handleInvalid="error"))
-        if estimator is not None:
-            return Pipeline(stages=[*stages, estimator]).fit(rows)
-        head = Pipeline(stages=stages).fit(rows)
-        ready = head.transform(rows).select(VECTOR, LABEL, *([WEIGHT] if weighted else []))
-        return PipelineModel([*head.stages, *fit_boosted(ready, len(counts), weight_col, seed, **params)])
-    finally:
-        rows.unpersist()
+    rows = stage(rows, "training-rows")
+    stages: list = [StringIndexer(inputCol=target, outputCol=LABEL, stringOrderType="alphabetAsc")]
+    inputs = list(features)
+    weight_col = WEIGHT if weighted else None
+    if kind == "logistic":
+        stages.append(scaling_stage(fit_scaler(rows, features)))
+        inputs = [f"{c}_z" for c in features]
+        estimator = logistic(total, weight_col, **params)  # balanced weights add up to the row count
+    elif kind == "forest":
+        estimator = forest(weight_col, seed, **params)
+    elif kind == "boosted":
+        estimator = None
+    else:
+        raise ValueError(f"unknown model kind {kind!r}")
+    stages.append(VectorAssembler(inputCols=inputs, outputCol=VECTOR, handleInvalid="error"))
+    if estimator is not None:
+        return Pipeline(stages=[*stages, estimator]).fit(rows)
+    head = Pipeline(stages=stages).fit(rows)
+    ready = head.transform(rows).select(VECTOR, LABEL, *([WEIGHT] if weighted else []))
+    return PipelineModel([*head.stages, *fit_boosted(ready, len(counts), weight_col, seed, **params)])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -201,6 +200,36 @@ def probability_columns(model: PipelineModel, probabilities: str = "probabilitie
     return {label: F.col(probabilities)[i] for i, label in enumerate(labels_of(model))}
 
 
+def logistic_gradient(model: PipelineModel, train: DataFrame, target: str, weighted: bool = True) -> DataFrame:
+    """(label, feature, gradient) of the penalised loss that a logistic model minimises, at its coefficients, over the rows it was fitted on.
+
+    The loss is the weighted mean log-loss plus half the penalty times the squared coefficients; the intercepts, feature ``(intercept)``, are not penalised.  All are
+    near 0 where the fit has converged, and only there.  One pass of pre-aggregated sums, one for each class and feature.
+    """
+    fitted = model.stages[-1]
+    if not isinstance(fitted, LogisticRegressionModel):
+        raise ValueError("only a logistic model has this gradient")
+    labels, names = labels_of(model), features_of(model)
+    rows = train.where(F.col(target).isNotNull())
+    w = per_class(target, balanced_weights(class_counts(rows, target))) if weighted else F.lit(1.0)
+    scored = model.transform(rows.withColumn(WEIGHT, w))
+    scored = scored.select(WEIGHT, LABEL, vector_to_array(VECTOR).alias("_x"), vector_to_array(PROBABILITY).alias("_p"))
+    coefficients, penalty = fitted.coefficientMatrix.toArray(), fitted.getRegParam()
+    sums = {}
+    for k in range(len(labels)):
+        excess = F.col(WEIGHT) * (F.col("_p")[k] - (F.col(LABEL) == F.lit(float(k))).cast("double"))
+        sums |= {(k, j): F.sum(excess * F.col("_x")[j]) for j in range(len(names))}
+        sums[k, None] = F.sum(excess)
+    row = scored.agg(F.sum(WEIGHT).alias("_w"), *[s.alias(f"g{i}") for i, s in enumerate(sums.values())])
+
+    def entry(i: int, k: int, j: int | None) -> Column:
+        pull = 0.0 if j is None else penalty * float(coefficients[k][j])
+        return F.struct(F.lit(labels[k]).alias("label"), F.lit("(intercept)" if j is None else names[j]).alias("feature"),
+                        (F.col(f"g{i}") / F.col("_w") + F.lit(pull)).alias("gradient"))
+
+    return row.select(F.inline(F.array(*[entry(i, k, j) for i, (k, j) in enumerate(sums)])))
+
+
 def importances(model: PipelineModel, top: int | None = None) -> DataFrame:
     """Feature importances (they sum to 1), largest first; the mean over the class models if there are several."""
     sources = boosted_models(model) or [model.stages[-1]]
@@ -216,6 +245,68 @@ def top_importances(table: DataFrame, top: int | None = None) -> DataFrame:
     return ordered.limit(top) if top else ordered
 
 
+def slice_rounds(model: GBTClassificationModel, first: int, end: int) -> GBTClassificationModel:
+    """The model made of the rounds from ``first`` (counted from 0) up to ``end``; margins of slices add up to that of all rounds."""
+    if not 0 <= first <= end <= model.getNumTrees:
+        raise ValueError(f"rounds {first} to {end} wanted of a model with {model.getNumTrees}")
+    java, jvm = model._java_obj, SparkContext._active_spark_context._jvm
+    made = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), java.trees()[first:end], java.treeWeights()[first:end],
+                                                                         java.numFeatures(), java.numClasses())
+    return model._copyValues(GBTClassificationModel(made))
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after so many rounds; they do not depend on how many follow."""
+    return slice_rounds(model, 0, rounds)
+
+
+def with_round_margins(df: DataFrame, models: Sequence[GBTClassificationModel], rounds: Sequence[int]) -> tuple[DataFrame, dict[int, Column]]:
+    """Adds what the rounds between two of ``rounds`` put to the margins; the margins of all classes after each of them are prefix sums of that.
+
+    Each tree is applied once, however many rounds are asked for.
+    """
+    ends = sorted(set(rounds))
+    stages, parts = [], {}
+    for i, m in enumerate(models):
+        for a, b in zip([0, *ends], ends):
+            parts[i, b] = f"_part_{i}_{b}"
+            stages.append(slice_rounds(m, a, b).setRawPredictionCol(parts[i, b]).setPredictionCol("").setProbabilityCol(""))
+    out = PipelineModel(stages).transform(df)
+    margins = {}
+    for at, r in enumerate(ends):
+        margins[r] = F.array(*[sum((vector_to_array(parts[i, b])[1] for b in ends[:at + 1]), F.lit(0.0)) for i in range(len(models))])
+    return out, margins
+
+
+def shown_rounds(total: int, every: int) -> list[int]:
+    """Round 1, every ``every``-th one after it, and the last."""
+    return sorted({*range(1, total + 1, every), total})
+
+
+def loss_by_round(model: PipelineModel, test: DataFrame, target: str, every: int = 50, eps: float = 1e-15) -> DataFrame:
+    """(round, log_loss): log-loss over all classes on ``test`` after every n-th round and the last, in one pass.
+
+    The probabilities are those of ``class_probabilities``.  Rows whose target is missing, or a class that the model does not know, are left out.
+    """
+    inner_models = boosted_models(model)
+    if not inner_models:
+        raise ValueError("only boosted models have a loss per round")
+    labels = labels_of(model)
+    head = PipelineModel([s for s in model.stages[:-len(inner_models)] if not isinstance(s, StringIndexerModel)])
+    place = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(target).cast("string"))
+    ready = head.transform(test.where(place > 0)).select(VECTOR, place.cast("int").alias("_class"))
+    rounds = shown_rounds(inner_models[0].getNumTrees, every)
+    scored, margins = with_round_margins(ready, inner_models, rounds)
+
+    def loss(r: int) -> Column:
+        odds = F.transform(margins[r], lambda m: 1.0 / (1.0 + F.exp(m * -2.0)))
+        p = F.element_at(odds, F.col("_class")) / F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
+        return F.avg(-F.log(F.greatest(F.least(p, F.lit(1.0 - eps)), F.lit(eps))))
+
+    row = scored.agg(*[loss(r).alias(f"r{r}") for r in rounds])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"r{r}").alias("log_loss")) for r in rounds])))
+
+
 def boosting_curve(model: PipelineModel, test: DataFrame, target: str, every: int = 50) -> DataFrame:
     """Loss on ``test`` after every n-th round, per class model; for watching, not for stopping."""
     inner_models = boosted_models(model)
@@ -223,16 +314,13 @@ def boosting_curve(model: PipelineModel, test: DataFrame, target: str, every: in
         raise ValueError("only boosted models have a loss per round")
     head = PipelineModel(model.stages[:-len(inner_models)])
     ready = head.transform(test.where(F.col(target).isNotNull()))
-    ready = ready.select(VECTOR, F.col(LABEL).alias("_class")).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = stage(ready.select(VECTOR, F.col(LABEL).alias("_class")), "curve-rows")
     rows = []
-    try:
-        for i, (label, inner) in enumerate(zip(labels_of(model), inner_models)):
-            binary = ready.select(VECTOR, (F.col("_class") == F.lit(float(i))).cast("double").alias(inner.getLabelCol()),
-                                  F.lit(1.0).alias(WEIGHT))
-            losses = inner.evaluateEachIteration(binary)
-            rows += [(label, r + 1, float(x)) for r, x in enumerate(losses) if r % every == 0 or r + 1 == len(losses)]
-    finally:
-        ready.unpersist()
+    for i, (label, inner) in enumerate(zip(labels_of(model), inner_models)):
+        binary = ready.select(VECTOR, (F.col("_class") == F.lit(float(i))).cast("double").alias(inner.getLabelCol()),
+                              F.lit(1.0).alias(WEIGHT))
+        losses = inner.evaluateEachIteration(binary)
+        rows += [(label, r + 1, float(x)) for r, x in enumerate(losses) if r % every == 0 or r + 1 == len(losses)]
     return test.sparkSession.createDataFrame(rows, "label string, round int, loss double")
 
 
@@ -246,13 +334,6 @@ def _assembled(df: DataFrame, features: Sequence[str], target: str, keep: Sequen
     return head, head.transform(rows).select(VECTOR, LABEL, *keep)
 
 
-def _margin_class(models: Sequence[GBTClassificationModel], df: DataFrame) -> DataFrame:
-    scored = PipelineModel(list(models)).transform(df)
-    margins = F.array(*[vector_to_array(MARGIN.format(i))[1] for i in range(len(models))])
-    return scored.withColumn("_margins", margins).withColumn(
-        "_class", F.array_position("_margins", F.array_max("_margins")) - 1)
-
-
 def drawn(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFrame:
     """At most ``rows`` rows, drawn by a hash of the key and written once in one piece.
 
@@ -262,56 +343,54 @@ def drawn(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFrame:
     return stage(sample_rows(df, key, rows, seed).repartition(1).sortWithinPartitions(key), "fit-rows")
 
 
-def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """The model as it was after so many rounds; they do not depend on how many follow."""
-    if rounds > model.getNumTrees:
-        raise ValueError(f"{rounds} rounds wanted of a model with {model.getNumTrees}")
-    java, jvm = model._java_obj, SparkContext._active_spark_context._jvm
-    made = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), java.trees()[:rounds], java.treeWeights()[:rounds],
-                                                                         java.numFeatures(), java.numClasses())
-    return model._copyValues(GBTClassificationModel(made))
-
-
 def _fold_accuracy(fit: DataFrame, held: DataFrame, classes: int, params: Mapping, weight_col: str | None,
                    seed: int, parallelism: int, rounds: Sequence[int] | None = None) -> list[float]:
-    """Accuracy after each number of ``rounds``, or after all rounds of ``params``, by one fit."""
+    """Accuracy after each number of ``rounds``, or after all rounds of ``params``, by one fit and one pass over the rows held out."""
     params = dict(params) if rounds is None else {**params, "maxIter": max(rounds)}
     models = fit_boosted(fit, classes, weight_col, seed, parallelism, **params)
-    stages = [models] if rounds is None else [[first_rounds(m, n) for m in models] for n in rounds]
-    return [_margin_class(s, held).agg(F.avg((F.col("_class") == F.col(LABEL)).cast("int"))).first()[0] for s in stages]
+    wanted = [models[0].getNumTrees] if rounds is None else list(rounds)
+    scored, margins = with_round_margins(held, models, wanted)
+    hits = [(F.array_position(margins[r], F.array_max(margins[r])) - 1 == F.col(LABEL)).cast("int") for r in wanted]
+    return list(scored.agg(*[F.avg(h).alias(f"a{i}") for i, h in enumerate(hits)]).first())
 
 
-def _fold_parts(ready: DataFrame, fold: str, f: int, key: str | None, fit_rows: int | None, seed: int) -> tuple[DataFrame, DataFrame]:
-    """The rows that are fitted on for a fold, at most ``fit_rows`` of the other folds, and all rows of the fold."""
-    others = ready.where(F.col(fold) != f)
-    return (others if fit_rows is None else drawn(others, key, fit_rows, seed).persist(StorageLevel.MEMORY_AND_DISK),
-            ready.where(F.col(fold) == f))
+def fold_parts(ready: DataFrame, fold: str, k: int, key: str | None, fit_rows: int | None, seed: int) -> list[tuple[DataFrame, DataFrame]]:
+    """For each fold the rows to fit on, at most ``fit_rows`` of the other folds, and all rows of the fold, from staged copies.
+
+    The rows are written once by fold, and judged fold by fold from there.  Drawn are the rows with the smallest hashes of ``key`` among the other folds;
+    they are among the ``fit_rows`` smallest of each fold, so one pass that limits each fold where it is read draws them for all folds, whatever their number.
+    """
+    rows = stage(ready, "folded-rows", [fold])
+    held = [rows.where(F.col(fold) == f) for f in range(k)]
+    if fit_rows is None:
+        return [(rows.where(F.col(fold) != f), held[f]) for f in range(k)]
+    hashed = rows.withColumn("_h", rank_hash(seed, key))
+    smallest = hashed.withColumn("_place", F.row_number().over(W.partitionBy(fold).orderBy("_h", key))).where(F.col("_place") <= fit_rows).drop("_place")
+    others = smallest.withColumn("_for", F.explode(F.array(*[F.lit(f) for f in range(k)]))).where(F.col("_for") != F.col(fold))
+    drawn_rows = others.withColumn("_place", F.row_number().over(W.partitionBy("_for").orderBy("_h", key))).where(F.col("_place") <= fit_rows)
+    fits = stage(drawn_rows.drop("_place", "_h").sortWithinPartitions("_for", key), "fold-fits", ["_for"])
+    return [(fits.where(F.col("_for") == f).drop("_for").coalesce(1), held[f]) for f in range(k)]
 
 
 def cross_validate(df: DataFrame, fold: str, k: int, features: Sequence[str], target: str,
-                   params: Mapping | None = None, seed: int = 42, parallelism: int = 3, key: str | None = None,
+                   params: Mapping | None = None, seed: int = 42, parallelism: int | None = None, key: str | None = None,
                    fit_rows: int | None = None) -> DataFrame:
-    """Accuracy of the boosted model on all rows of each fold, fitted without weights on the other folds.
+    """Accuracy of the boosted model on all rows of each fold, with the number of rows judged, fitted without weights on the other folds.
 
-    ``fit_rows`` bounds how many rows of the other folds, drawn by a hash of ``key``, a model is fitted on.
+    ``fit_rows`` bounds how many rows of the other folds, drawn by a hash of ``key``, a model is fitted on.  ``parallelism`` fits run at the same time,
+    by default as many as the session has cores.
     """
     ensure_checkpoint_dir(df.sparkSession)
     head, ready = _assembled(df, features, target, [fold, *([] if fit_rows is None else [key])])
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    parts = []
-    try:
-        parts += [_fold_parts(ready, fold, f, key, fit_rows, seed) for f in range(k)]
-        with ThreadPool(k) as pool:  # the folds are independent fits on the same kept rows
-            scores = pool.map(lambda f: (f + 1, _fold_accuracy(*parts[f], len(labels_of(head)), dict(params or {}), None, seed,
-                                                               parallelism)[0]), range(k))
-    finally:
-        _release(ready, parts)
-    return df.sparkSession.createDataFrame(scores, "fold int, accuracy double")
+    parts = fold_parts(ready, fold, k, key, fit_rows, seed)
+    classes = len(labels_of(head))
+    with ThreadPool(min(k, _threads(df, parallelism))) as pool:  # the folds are independent fits
+        scores = pool.map(lambda f: (f + 1, _fold_accuracy(*parts[f], classes, dict(params or {}), None, seed, classes)[0]), range(k))
+    return df.sparkSession.createDataFrame([(*score, held.count()) for score, (_, held) in zip(scores, parts)], "fold int, accuracy double, judged long")
 
 
-def _release(ready: DataFrame, parts: Sequence[tuple[DataFrame, DataFrame]]) -> None:
-    for df in (ready, *[fit for fit, _ in parts]):
-        df.unpersist()
+def _threads(df: DataFrame, parallelism: int | None) -> int:
+    return parallelism or max(4, df.sparkSession.sparkContext.defaultParallelism)
 
 
 def fold_summary(scores: DataFrame) -> DataFrame:
@@ -321,45 +400,42 @@ def fold_summary(scores: DataFrame) -> DataFrame:
 
 def grid_search(train: DataFrame, fold: str, folds: int, features: Sequence[str], target: str,
                 grid: Mapping[str, Sequence], base: Mapping | None = None, seed: int = 42,
-                parallelism: int = 4, key: str | None = None, fit_rows: int | None = None) -> tuple[PipelineModel, DataFrame]:
+                parallelism: int | None = None, key: str | None = None, fit_rows: int | None = None) -> tuple[PipelineModel, DataFrame]:
     """Accuracy of every setting of the boosted model over given folds; best setting refitted on all of ``train``.
 
-    ``fit_rows`` bounds how many rows, drawn by a hash of ``key``, each model is fitted on; all rows of a fold are judged.  Settings are tried with the last grid key varying fastest, and the first
-    best one wins.  ``parallelism`` settings train at the same time on one
-    kept copy of the assembled rows.
+    ``fit_rows`` bounds how many rows, drawn by a hash of ``key``, each model is fitted on; all rows of a fold are judged.  Settings are tried with the
+    last grid key varying fastest, and the first best one wins.  The fits of all settings and folds are one pool of tasks, the longest first, of which
+    ``parallelism`` run at the same time, by default as many as the session has cores; settings that differ in the number of rounds share a fit.
     """
     ensure_checkpoint_dir(train.sparkSession)
     head, ready = _assembled(train, features, target, [fold, *([] if fit_rows is None else [key])])
     classes = len(labels_of(head))
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = fold_parts(ready, fold, folds, key, fit_rows, seed)
     names = list(grid)
     settings = [dict(zip(names, values)) for values in itertools.product(*[grid[n] for n in names])]
 
     rounds = list(grid["maxIter"]) if "maxIter" in names else None  # one fit of the most rounds serves them all
-    fits = list(dict.fromkeys(tuple(v for n, v in w.items() if n != "maxIter") for w in settings))
-
-    def one(fit: tuple) -> dict[tuple, list[float]]:
-        setting = dict(zip([n for n in names if n != "maxIter"], fit))
-        params = {**dict(base or {}), **setting}
-        found = zip(*[_fold_accuracy(*part, classes, params, None, seed, 1, rounds) for part in parts])
-        return {tuple({**setting, "maxIter": r}[n] for n in names) if rounds else fit: list(x) for r, x in zip(rounds or [None], found)}
-
-    parts = []
-    try:
-        parts += [_fold_parts(ready, fold, f, key, fit_rows, seed) for f in range(folds)]
-        if parallelism > 1:
-            with ThreadPool(min(parallelism, len(fits))) as pool:
-                found = pool.map(one, fits)
-        else:
-            found = [one(f) for f in fits]
-        by_setting = {values: x for part in found for values, x in part.items()}
-        scores = [by_setting[tuple(w.values())] for w in settings]
-        means = [sum(s) / len(s) for s in scores]
-        top = max(range(len(settings)), key=lambda i: (means[i], -i))
-        whole = ready if fit_rows is None else drawn(ready, key, fit_rows, seed)
-        best = PipelineModel([*head.stages, *fit_boosted(whole, classes, None, seed, **{**dict(base or {}), **settings[top]})])
-    finally:
-        _release(ready, parts)
+    rest = [n for n in names if n != "maxIter"]
+    fits = list(dict.fromkeys(tuple(w[n] for n in rest) for w in settings))
+
+    def one(task: tuple[tuple, int]) -> list[float]:
+        values, f = task
+        return _fold_accuracy(*parts[f], classes, {**dict(base or {}), **dict(zip(rest, values))}, None, seed, 1, rounds)
+
+    def depth(task: tuple[tuple, int]) -> float:
+        return {**dict(base or {}), **dict(zip(rest, task[0]))}.get("maxDepth", 5)
+
+    tasks = sorted(((values, f) for values in fits for f in range(folds)), key=depth, reverse=True)
+    with ThreadPool(min(_threads(train, parallelism), len(tasks))) as pool:
+        found = dict(zip(tasks, pool.map(one, tasks, chunksize=1)))
+    scores = []
+    for w in settings:
+        at = rounds.index(w["maxIter"]) if rounds else 0
+        scores.append([found[tuple(w[n] for n in rest), f][at] for f in range(folds)])
+    means = [sum(s) / len(s) for s in scores]
+    top = max(range(len(settings)), key=lambda i: (means[i], -i))
+    whole = stage(ready, "grid-rows") if fit_rows is None else drawn(ready, key, fit_rows, seed)
+    best = PipelineModel([*head.stages, *fit_boosted(whole, classes, None, seed, **{**dict(base or {}), **settings[top]})])
     rows = [(i, *[float(w[n]) for n in names], means[i],
              (sum((x - means[i]) ** 2 for x in scores[i]) / folds) ** 0.5, i == top) for i, w in enumerate(settings)]
     schema = ", ".join(["setting int", *[f"{n} double" for n in names], "mean_accuracy double",

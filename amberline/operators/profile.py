@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number, round_half_even
+from ..sources.tables import stage
 from .clean import epoch_micros, unpivoted
 from .order_stats import ColumnFacts, quantiles
 
@@ -16,25 +17,37 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)).cast("long"))
 
 
+#: Fingerprints that occur twice are broadcast to the rows up to this number (of two longs); beyond it they are joined by a shuffle.
+BROADCAST_FINGERPRINTS = 1_000_000
+
+
+def fingerprint(columns: Sequence[str]) -> dict[str, Column]:
+    """Two 64-bit hashes of a row, ``_f1`` and ``_f2``; missing values count as such, wherever they are."""
+    parts = [part for c in columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return {f"_f{i}": F.xxhash64(F.lit(i), *parts) for i in (1, 2)}
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column; missing equals missing."""
-    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows that repeat an earlier row in every column; missing equals missing.
+
+    Only 16 bytes a row are shuffled to find the fingerprints that occur twice; whole rows are compared where they do, and nowhere else.
+    """
+    marked = df.withColumns(fingerprint(df.columns))
+    again = stage(marked.groupBy("_f1", "_f2").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_f1", "_f2"), "fingerprints")
+    few = again.limit(BROADCAST_FINGERPRINTS + 1).count() <= BROADCAST_FINGERPRINTS
+    candidates = marked.join(F.broadcast(again) if few else again, ["_f1", "_f2"], "left_semi")
+    per_row = candidates.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
     return per_row.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 
 def dirty_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Row count, missing values per column and full-row duplicates, as one table.
 
-    Everything comes from one grouping by the whole row, so the input is read once.
+    Counts are added up where the rows are read; duplicates are found as in ``duplicate_rows``.
     """
-    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    counted = per_row.agg(
-        F.sum("_n").alias("rows"),
-        *[F.sum(F.when(F.col(c).isNull(), F.col("_n")).otherwise(0)).alias(f"nulls:{c}") for c in columns],
-        F.sum(F.col("_n") - 1).alias("duplicates"))
-    zero = counted.select(*[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long").alias(c) for c in counted.columns])
-    return zero.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("measure"), F.col(f"`{c}`").alias("value")) for c in zero.columns])).alias("s")).select("s.*")
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls:{c}") for c in columns])
+    counts = counted.select(F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(f"`{c}`").alias("value")) for c in counted.columns])))
+    return counts.unionByName(duplicate_rows(df).select(F.lit("duplicates").alias("measure"), F.col("duplicates").alias("value")))
 
 
 def global_stats(df: DataFrame, column: str) -> DataFrame:

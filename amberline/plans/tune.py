@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import presets
 from ..operators import evaluate, models, sample
 from ..operators.clean import CleanStats
-from ..sources.tables import stage
+from ..sources.tables import path_exists, remove_path, stage
 from .train import split_table
 
 
@@ -63,15 +64,45 @@ def log_tuned(spark: SparkSession, tuned: Tuned, path: str, run_name: str = "boo
 
 # --- one bundle for serving --------------------------------------------------------------
 
-def save_bundle(model: PipelineModel, stats: CleanStats, labels: Mapping[str, Sequence[str]], path: str) -> None:
-    """Model, cleaning statistics and label lists below one folder."""
-    spark = SparkSession.getActiveSession()
-    models.save_model(model, f"{path}/model")
-    stats.to_table(spark).write.mode("overwrite").parquet(f"{path}/stats")
-    spark.createDataFrame([(json.dumps({c: list(v) for c, v in labels.items()}, ensure_ascii=False),)], "labels string") \
-        .write.mode("overwrite").parquet(f"{path}/labels")
+MANIFEST = "number long, version string"
 
 
-def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, CleanStats, dict[str, list[str]]]:
-    labels = json.loads(spark.read.parquet(f"{path}/labels").first()["labels"])
-    return models.load_model(f"{path}/model"), CleanStats.from_table(spark.read.parquet(f"{path}/stats")), labels
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    """Saved versions, the last first."""
+    if not path_exists(spark, f"{path}/manifest"):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(f"{path}/manifest").orderBy(F.desc("number"), "version")
+
+
+def save_bundle(model: PipelineModel, stats: CleanStats, labels: Mapping[str, Sequence[str]], path: str) -> int:
+    """Model, cleaning statistics and label lists as a new version below one folder; returns its number.
+
+    The version is entered in the manifest when all its parts are written, so a reader gets the three parts of one version, and an interrupted save
+    changes nothing.
+    """
+    spark, version = SparkSession.getActiveSession(), uuid.uuid4().hex
+    folder = f"{path}/versions/{version}"
+    last = _versions(spark, path).first()
+    models.save_model(model, f"{folder}/model")
+    stats.to_table(spark).write.parquet(f"{folder}/stats")
+    spark.createDataFrame([(json.dumps({c: list(v) for c, v in labels.items()}, ensure_ascii=False),)], "labels string").write.parquet(f"{folder}/labels")
+    number = last["number"] + 1 if last else 1
+    spark.createDataFrame([(number, version)], MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return number
+
+
+def load_bundle(spark: SparkSession, path: str, number: int | None = None) -> tuple[PipelineModel, CleanStats, dict[str, list[str]]]:
+    """The last whole version, or the one with a number."""
+    known = _versions(spark, path)
+    entry = (known if number is None else known.where(F.col("number") == number)).first()
+    if entry is None:
+        raise FileNotFoundError(f"no bundle in {path}" + ("" if number is None else f" with number {number}"))
+    folder = f"{path}/versions/{entry['version']}"
+    found = json.loads(spark.read.parquet(f"{folder}/labels").first()["labels"])
+    return models.load_model(f"{folder}/model"), CleanStats.from_table(spark.read.parquet(f"{folder}/stats")), found
+
+
+def drop_old_bundles(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Removes the parts of all but the last ``keep`` versions; their numbers stay in the manifest."""
+    for entry in _versions(spark, path).offset(keep).collect():  # one row a saved version
+        remove_path(spark, f"{path}/versions/{entry['version']}")
