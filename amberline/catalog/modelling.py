@@ -133,9 +133,8 @@ def fold_table(spark: SparkSession, d: str) -> DataFrame:
     return _tables[name]
 
 
-@query("grid_scores")
 def grid_scores(spark, d):
-    """All sixteen settings over three block folds of the training rows."""
+    """All sixteen settings over three block folds of the training rows.  Not registered: 21,600 trees take too long for a query (see the README)."""
     folded = sample.block_folds(_split(spark, d)[0], "n", presets.TARGET, presets.GRID_FOLDS)
     _, scores = models.grid_search(folded, "fold", presets.GRID_FOLDS, presets.FEATURES, presets.TARGET, presets.GRID, presets.BOOSTED_PLAIN,
                                    key=KEY, fit_rows=FIT_ROWS)

@@ -10,7 +10,8 @@ NAMES = "region nation customer supplier part orders lineitem events documents e
 SLOW = {"three_jobs", "trained_comparison", "boosted_summary", "boosted_plain_summary", "saved_model_summary", "prediction_table", "fold_scores", "grid_scores",
         "boosted_scores", "boosted_scores_unweighted", "boosting_curve", "importances", "scored_routes",
         "route_summary_by_class", "route_top_lists", "answered_requests", "saved_model_answers", "streamed_answers",
-        "logistic_scores", "forest_scores"}  # covered by test_models
+        "logistic_scores", "forest_scores", "forest_by_trees", "boosted_by_trees", "importances_by_trees", "loss_by_round", "fold_sizes",
+        "logistic_gradients"}  # covered by test_models and test_trees
 
 
 @pytest.fixture(scope="module")
