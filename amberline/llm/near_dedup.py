@@ -38,6 +38,8 @@ DEVIATIONS = 5
 BLOCK_ROWS = 2_048
 #: At most so many pairs (of six longs) are broadcast to the texts; more are joined by a shuffle.
 SMALL_PAIRS = 100_000
+#: Links that are written into one file between the steps that find components.
+LINKS_A_FILE = 200_000
 #: Pivots of a bucket in the first round after the hubs, and how many times as many each further round takes.
 PIVOTS, PIVOT_GROWTH = 4, 64
 
@@ -171,8 +173,10 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of ``links`` (a, b); the label is the smallest node reachable.
 
     Alternating large-star and small-star steps: groupings with partial minima and joins, a few of them even for long chains.
-    They end when a step changes nothing, which a count and a sum of hashes tell.
+    They end when a step changes nothing, which a count and a sum of hashes tell.  There are never more edges than links, so their
+    files can be few from the start; those of finished steps are deleted.
     """
+    parts = 1 + links.count() // LINKS_A_FILE
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     state = None
     while True:
@@ -182,7 +186,8 @@ def components(links: DataFrame) -> DataFrame:
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(small_least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small_least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        edges = checkpointed(small)
+        edges = checkpointed(small.coalesce(parts))
+        free_shuffles(edges)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -218,15 +223,18 @@ def drop_near_duplicates(docs: DataFrame, broadcast_rows: int, percent: int = PE
     judged = _judged(docs, percent, shingle, bands, rows, key, text).where("n > 0")
     first = (F.col("doc") == F.col("component")) & (F.col("mark") == F.col("c_mark"))
     known = checkpointed(judged.groupBy("doc", "mark").agg(F.max(first).alias("kept"), F.count("*").alias("copies")).where("not kept or copies > 1"))
-    marked = docs.withColumns({"_doc": doc_key(key), "_mark": text_mark(text)})
+    names = docs.columns
+    places = [f"c{i}" for i in range(len(names))]
+    marked = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(names, places)], doc_key(key).alias("_doc"), text_mark(text).alias("_mark"))
+    back = [F.col(p).alias(c) for c, p in zip(names, places)]
     found = known.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), "kept")
-    out = marked.join(small_side(found.drop("kept"), broadcast_rows), ["_doc", "_mark"], "left_anti").select(docs.columns)
+    out = marked.join(small_side(found.drop("kept"), broadcast_rows), ["_doc", "_mark"], "left_anti").select(back)
     repeated = found.where("kept").drop("kept")
     if repeated.isEmpty():
         return out
     one = (marked.join(small_side(repeated, broadcast_rows), ["_doc", "_mark"]).groupBy("_doc", "_mark")
-           .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
-    return out.unionByName(one)
+           .agg(F.min(F.struct(*places)).alias("row")).select("row.*"))
+    return out.unionByName(one.select(back))
 
 
 def _judged(docs: DataFrame, percent: int, shingle: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
@@ -284,6 +292,7 @@ def link_nodes(base: DataFrame, nodes: DataFrame, percent: int, shingle: int) ->
         if not done:
             own = apart_from_hubs(base, facts, here.select("node").distinct().join(known, "node"), shingle)
             here = checkpointed(here.join(nodes.select("node", "n", "bands", *packed), "node").join(own, "node", "left"))
+        free_shuffles(here)
         order = W.partitionBy("band").orderBy(F.desc("rank"), "node")
         chosen = (here.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).where(F.col("place") > done)
                   .select(*[F.col(c).alias(f"p_{c}") for c in ("band", "node", "n", *packed, "hub", "near", "own", "shared", "label")]))
@@ -301,6 +310,7 @@ def link_nodes(base: DataFrame, nodes: DataFrame, percent: int, shingle: int) ->
                  .select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot")).distinct())
         old = tested.select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot"))
         pairs = checkpointed(pairs.join(old, ["node", "pivot"], "left_anti"))
+        free_shuffles(pairs)
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
             near = checkpointed(map_arrow(located(facts, pairs, ["n", "sketch"]), _sketch_filter(percent),

@@ -33,7 +33,7 @@ def family(seed, n, edits):
 
 def test_family_with_very_different_numbers_of_edits(spark, counted):
     """Members with few edits are linked to the middle of the family; those with many are linked with nothing, and not compared with all others."""
-    rows = family(3, 400, range(1, 12))
+    rows = family(3, 250, range(1, 12))
     assert groups(near_dedup.near_duplicates(frame(spark, rows))) == brute.near_duplicates(rows)
     assert sum(counted) < 6 * len(rows)
 
@@ -62,13 +62,13 @@ def test_repeated_rows_are_compared_once(spark, counted, ids):
     rng = random.Random(9)
     base = passage(rng, 120)
     near, found = edited(rng, base, 2), []
-    for n in (1, 3, 12):
+    for n in (1, 8):
         doc = None if ids == "null" else 4
         counted.clear()
         out = near_dedup.near_duplicates(frame(spark, [(doc, " ".join(base)), (doc, near)] * n)).collect()
         assert len(out) == 2 * n and {r.component_id for r in out} == {doc}
         found.append(sum(counted))
-    assert found == [found[0]] * 3
+    assert found == [found[0]] * 2
 
 
 def test_repeated_rows_of_byte_dedup_grow_linearly(spark, monkeypatch):
@@ -89,11 +89,19 @@ def test_repeated_rows_of_byte_dedup_grow_linearly(spark, monkeypatch):
 
     monkeypatch.setattr(repeats, "per_document", counting)
     entries = []
-    for n in (1, 5, 10):
+    for n in (1, 6):
         sizes.clear()
         rows = [(None, " ".join(a)), (3, " ".join(b))] * n
         docs = frame(spark, rows)
         out = suffix_dedup.drop_bytes(docs, suffix_dedup.removed_bytes(docs)).collect()
         assert len(out) == 2 * n and {r.n_removed for r in out if r.doc_id == 3} == {0}
         entries.append(sizes[0])
-    assert entries[0] > 0 and entries == [entries[0]] * 3
+    assert entries[0] > 0 and entries == [entries[0]] * 2
+
+
+def test_columns_with_the_names_of_the_operator(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (3, "other words that are here alone"), (3, "other words that are here alone")]
+    docs = frame(spark, rows).selectExpr("doc_id", "text", "doc_id * 10 as _doc", "text as _mark", "source as kept")
+    out = near_dedup.drop_near_duplicates(docs, 1000)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r._doc, r._mark == r.text, r.kept) for r in out.collect()) == [(1, 10, True, "s"), (3, 30, True, "s")]
