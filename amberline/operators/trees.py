@@ -1,4 +1,4 @@
-"""Fitted trees as a table, and what follows from it: scores and importances by Spark SQL alone.
+"""Fitted trees as a table, and what follows from it: scores by going down the trees, and importances by Spark SQL alone.
 
 The table comes from the folder that a saved model consists of, so it holds what is served.  It is as large as the model: trees times nodes, whatever the
 number of rows scored.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import number
 from ..sources.tables import scratch_path
+from .ensembles import nodes_of_table, of_arrays, saved_nodes, sums_by_steps
 from .models import boosted_models, features_of
 
 
@@ -32,17 +34,16 @@ def tree_table(model: PipelineModel) -> DataFrame:
     for i, m in enumerate(boosted or [last]):
         path = scratch_path(spark, "trees")
         m.save(path)
-        weights = spark.read.parquet(f"{path}/treesMetadata").select(F.col("_1").alias("tree"), F.col("_3").alias("weight"))
+        saved = saved_nodes(spark, path)
         n = F.col("nodeData")
         total = F.aggregate(n["impurityStats"], F.lit(0.0), lambda a, x: a + x)
         inner = n["leftChild"] >= 0
-        nodes = spark.read.parquet(f"{path}/data").select(
-            F.lit(i).alias("class"), F.col("treeID").alias("tree"), n["id"].alias("node"), F.when(inner, n["split"]["featureIndex"]).alias("feature"),
+        part = saved.select(
+            F.lit(i).alias("class"), "tree", "weight", n["id"].alias("node"), F.when(inner, n["split"]["featureIndex"]).alias("feature"),
             F.when(inner, n["split"]["leftCategoriesOrThreshold"][0]).alias("threshold"), F.when(inner, n["leftChild"]).alias("left"),
             F.when(inner, n["rightChild"]).alias("right"),
             (F.array(n["prediction"]) if boosted else F.transform(n["impurityStats"], lambda s: s / total)).alias("value"),
             F.when(inner, n["gain"]).alias("gain"), (n["impurityStats"][0] if boosted else total).alias("rows"))
-        part = nodes.join(weights, "tree").select("class", "tree", "weight", *[c for c in nodes.columns if c not in ("class", "tree")])
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -50,27 +51,15 @@ def tree_table(model: PipelineModel) -> DataFrame:
 def walk_trees(trees: DataFrame, rows: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     """(key, margins): the weighted sum of what the leaves say that a row falls into, one entry per class.
 
-    A row meets each tree once; its way down is one expression over the nodes of the tree, which are broadcast: they are the model.
+    A row goes down each tree once, step by step, in batches; the nodes, which are the model, are sent to the tasks.  Rows with one key are added up.
     """
-    shape = trees.agg(F.max("tree").alias("trees"), F.max("class").alias("classes")).first()
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("node", "feature", "threshold", "left", "right", "value"))), lambda n: n)
-    grown = trees.groupBy("class", "tree", "weight").agg(ordered.alias("nodes"))
-    x = rows.select(F.col(key).alias("_key"), F.array(*[number(c) for c in features]).alias("_x"))
-    x = x.withColumn("class", F.explode(F.sequence(F.lit(0), F.lit(shape["classes"])))).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(shape["trees"]))))
-
-    def down(at, _):
-        node = F.col("nodes")[at]
-        return F.when(node["left"].isNull(), at).when(F.col("_x")[node["feature"]] <= node["threshold"], node["left"]).otherwise(node["right"])
-
-    # a way down has fewer steps than the tree has inner nodes
-    depth = F.expr("int(size(filter(nodes, n -> n.left is not null)))")
-    met = x.join(F.broadcast(grown), ["class", "tree"])
-    leaf = F.aggregate(F.sequence(F.lit(0), F.least(depth, F.lit(30))), F.lit(0), down)
-    said = met.select("_key", "class", "weight", F.col("nodes")[leaf]["value"].alias("value"))
-    each = said.select("_key", "class", F.posexplode("value").alias("at", "share"), "weight")
-    sums = each.groupBy("_key", "class", "at").agg(F.sum(F.col("weight") * F.col("share")).alias("margin"))
-    listed = F.sort_array(F.collect_list(F.struct("class", "at", "margin")))
-    return sums.groupBy("_key").agg(F.transform(listed, lambda s: s["margin"]).alias("margins")).withColumnRenamed("_key", key)
+    nodes = nodes_of_table(trees)
+    segments = [int(np.flatnonzero(nodes.classes == c)[0]) for c in np.unique(nodes.classes)]
+    entries = len(segments) * nodes.value.shape[1]
+    x = F.array(*[number(c).cast("double") for c in features])
+    said = rows.select(F.col(key).alias("_key"), of_arrays(sums_by_steps(nodes, segments), len(features))(x).alias("_said"))
+    sums = said.groupBy("_key").agg(*[F.sum(F.col("_said")[i]).alias(f"_m{i}") for i in range(entries)])
+    return sums.select(F.col("_key").alias(key), F.array(*[f"_m{i}" for i in range(entries)]).alias("margins"))
 
 
 def importances_by_trees(trees: DataFrame, features: Sequence[str], forest: bool) -> DataFrame:
