@@ -19,6 +19,7 @@ from pyspark.sql.window import Window as W
 from ..functions.draws import rank_hash
 from ..functions.scalar import number
 from ..sources.tables import ensure_checkpoint_dir, stage
+from .ensembles import boosted_sums
 from .sample import balanced_weights, class_counts, per_class, sample_rows
 
 LABEL = "_label"
@@ -176,17 +177,19 @@ def class_probabilities(model: PipelineModel, df: DataFrame, predicted: str = "p
                         probabilities: str = "probabilities") -> DataFrame:
     """Adds the predicted class text and an array of class probabilities in label order.
 
-    A narrow plan without Python functions.  A boosted class model gives a
+    A narrow plan.  A boosted class model gives a
     margin m, which means 1 / (1 + exp(-2 m)); the largest margin decides the
-    class and the class probabilities are normalised to sum 1.
+    class and the class probabilities are normalised to sum 1.  Margins are
+    added up for batches of rows, as a tree at a time is slow for a row.
     """
     labels = F.array(*[F.lit(v) for v in labels_of(model)])
-    applied = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)])
-    out = applied.transform(df)
     per_class_models = boosted_models(model)
+    applied = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel) and s not in per_class_models])
+    out = applied.transform(df)
     if per_class_models:
-        margins = [vector_to_array(MARGIN.format(i))[1] for i in range(len(per_class_models))]
-        out = with_margin_probabilities(out.withColumn("_margins", F.array(*margins)), "_margins", "_probs", "_at")
+        out, margins = with_round_margins(out, per_class_models, [per_class_models[0].getNumTrees])
+        margins, = margins.values()
+        out = with_margin_probabilities(out.withColumn("_margins", margins), "_margins", "_probs", "_at")
         probs, at = F.col("_probs"), F.col("_at")
     else:
         probs = vector_to_array(PROBABILITY)
@@ -266,16 +269,14 @@ def with_round_margins(df: DataFrame, models: Sequence[GBTClassificationModel],
     Each tree is applied once, however many rounds are asked for.
     """
     ends = sorted(set(rounds))
-    stages, parts = [], {}
-    for i, m in enumerate(models):
-        for a, b in zip([0, *ends], ends):
-            parts[i, b] = f"_part_{i}_{b}"
-            stages.append(slice_rounds(m, a, b).setRawPredictionCol(parts[i, b]).setPredictionCol("").setProbabilityCol(""))
-    out = PipelineModel(stages).transform(df)
-    margins = {}
-    for at, r in enumerate(ends):
-        margins[r] = F.array(*[sum((vector_to_array(parts[i, b])[1] for b in ends[:at + 1]), F.lit(0.0)) for i in range(len(models))])
-    return out, margins
+    if any(not 0 < r <= m.getNumTrees for m in models for r in ends):
+        raise ValueError(f"rounds {ends} wanted of models with {[m.getNumTrees for m in models]}")
+    out = df.withColumn("_parts", boosted_sums(models, ends)(vector_to_array(VECTOR)))
+
+    def margin(i: int, at: int) -> Column:
+        return sum((F.col("_parts")[i * len(ends) + b] for b in range(at + 1)), F.lit(0.0))
+
+    return out, {r: F.array(*[margin(i, at) for i in range(len(models))]) for at, r in enumerate(ends)}
 
 
 def shown_rounds(total: int, every: int) -> list[int]:
@@ -308,20 +309,25 @@ def loss_by_round(model: PipelineModel, test: DataFrame, target: str, every: int
 
 
 def boosting_curve(model: PipelineModel, test: DataFrame, target: str, every: int = 50) -> DataFrame:
-    """Loss on ``test`` after every n-th round, per class model; for watching, not for stopping."""
+    """Loss on ``test`` after every n-th round, per class model, in one pass; for watching, not for stopping.
+
+    It is Spark's loss of a boosted model: twice the log-loss of the margin, the mean over the rows.
+    """
     inner_models = boosted_models(model)
     if not inner_models:
         raise ValueError("only boosted models have a loss per round")
     head = PipelineModel(model.stages[:-len(inner_models)])
-    ready = head.transform(test.where(F.col(target).isNotNull()))
-    ready = stage(ready.select(VECTOR, F.col(LABEL).alias("_class")), "curve-rows")
-    rows = []
-    for i, (label, inner) in enumerate(zip(labels_of(model), inner_models)):
-        binary = ready.select(VECTOR, (F.col("_class") == F.lit(float(i))).cast("double").alias(inner.getLabelCol()),
-                              F.lit(1.0).alias(WEIGHT))
-        losses = inner.evaluateEachIteration(binary)
-        rows += [(label, r + 1, float(x)) for r, x in enumerate(losses) if r % every == 0 or r + 1 == len(losses)]
-    return test.sparkSession.createDataFrame(rows, "label string, round int, loss double")
+    ready = head.transform(test.where(F.col(target).isNotNull())).select(VECTOR, LABEL)
+    rounds = shown_rounds(inner_models[0].getNumTrees, every)
+    scored, margins = with_round_margins(ready, inner_models, rounds)
+
+    def loss(i: int, r: int) -> Column:
+        x = F.when(F.col(LABEL) == F.lit(float(i)), margins[r][i] * -2.0).otherwise(margins[r][i] * 2.0)
+        return F.avg((F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))) * 2.0)
+
+    asked = [(i, label, r) for i, label in enumerate(labels_of(model)) for r in rounds]
+    row = scored.agg(*[loss(i, r).alias(f"l{i}_{r}") for i, _, r in asked])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(label).alias("label"), F.lit(r).alias("round"), F.col(f"l{i}_{r}").alias("loss")) for i, label, r in asked])))
 
 
 # --- validation --------------------------------------------------------------------------------
