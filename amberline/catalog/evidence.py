@@ -216,10 +216,11 @@ for _kind in modelling.SETTINGS:
 
 def _walked(spark, d, kind):
     """Test rows for which the table of trees gives the predicted class."""
-    model = modelling.fitted(spark, d, kind)
+    rows = modelling.Rows(spark, d)
+    model = modelling.fitted(spark, d, kind, rows)
     labels = F.array(*[F.lit(v) for v in models.labels_of(model)])
-    scored = modelling.scored_test_rows(spark, d, kind).select(modelling.KEY, presets.TARGET, "predicted")
-    walked = trees.walked_classes(model, modelling._split(spark, d)[1], modelling.KEY)
+    scored = modelling.scored_test_rows(spark, d, kind, rows).select(modelling.KEY, presets.TARGET, "predicted")
+    walked = trees.walked_classes(model, rows.test, modelling.KEY)
     both = scored.join(walked, modelling.KEY)
     return both.groupBy(F.col(presets.TARGET).alias("tier")).agg(
         F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("predicted") == F.element_at(labels, F.col("walked").cast("int") + 1)).alias("same_class"))
@@ -233,9 +234,9 @@ for _kind in ("forest", "boosted"):
 @query("importances_by_trees", " UNION ALL ".join(f"SELECT '{k}' AS model, '{f}' AS feature, true AS same" for k in ("forest", "boosted") for f in presets.FEATURES))
 def importances_by_trees(spark, d):
     """Importances added up from the table of trees are those that the models give."""
-    out = None
+    out, rows = None, modelling.Rows(spark, d)
     for kind in ("forest", "boosted"):
-        model = modelling.fitted(spark, d, kind)
+        model = modelling.fitted(spark, d, kind, rows)
         added = trees.importances_by_trees(trees.tree_table(model), presets.FEATURES, kind == "forest").withColumnRenamed("importance", "added")
         both = models.importances(model).join(added, "feature", "left")
         part = both.select(F.lit(kind).alias("model"), "feature", (F.abs(F.col("importance") - F.coalesce("added", F.lit(0.0))) < 1e-9).alias("same"))
@@ -247,8 +248,8 @@ def importances_by_trees(spark, d):
                                                 for f in [*presets.FEATURES, "(intercept)"]))
 def logistic_gradients(spark, d):
     """The logistic model is the optimum: its penalised gradient vanishes over the rows it was fitted on."""
-    rows = modelling.fit_rows(spark, d)
-    gradient = models.logistic_gradient(modelling.fitted(spark, d, "logistic"), rows, presets.TARGET)
+    rows = modelling.Rows(spark, d)
+    gradient = models.logistic_gradient(modelling.fitted(spark, d, "logistic", rows), rows.fit, presets.TARGET)
     return gradient.select(F.col("label").alias("tier"), "feature", (F.abs("gradient") < 1e-4).alias("near_zero"))
 
 
@@ -258,7 +259,8 @@ _SHOWN = models.shown_rounds(presets.BOOSTED_PLAIN["maxIter"], 50)
 @query("loss_by_round", " UNION ALL ".join(f'SELECT {r} AS "round", true AS is_log_loss, true AS is_lower' for r in _SHOWN))
 def loss_by_round(spark, d):
     """The log-loss after some rounds is that of the model cut off there, and lower than after the first one."""
-    model, test = modelling.fitted(spark, d, "boosted_plain"), modelling._split(spark, d)[1]
+    rows = modelling.Rows(spark, d)
+    model, test = modelling.fitted(spark, d, "boosted_plain", rows), rows.test
     table_of = models.loss_by_round(model, test, presets.TARGET)
     inner = models.boosted_models(model)
     out = None

@@ -16,14 +16,14 @@ def synthesize(base: DataFrame, key: str, spec: Sequence[tuple], seed: int, meth
     """One drawn row per row of ``base``; ``key`` must identify rows.
 
     A narrow plan at any size: no shuffle and no dependence on partitioning.
-    The uniforms are projected first, as one array, and the draws refer to it.
+    The uniforms are projected first, a column each, and the draws refer to them; those of columns that nobody reads are not drawn.
     """
     salts = [name + part for name, kind, *_ in spec for part in draws.uniforms_needed(kind)]
-    at = {salt: f"_u[{i}]" for i, salt in enumerate(salts)}
+    at = {salt: f"_u{i}" for i, salt in enumerate(salts)}
     columns = {name: draws.draw(kind, args, [at[name + part] for part in draws.uniforms_needed(kind)])
                for name, kind, *args in spec}
     kept = [key, *[k for k in keep if k != key]]
-    projected = base.select(*kept, draws.uniforms(seed, salts, key, method).alias("_u"))
+    projected = base.select(*kept, *[draws.uniform(seed, salt, key, method).alias(at[salt]) for salt in salts])
     return projected.select(*kept, *[c.alias(n) for n, c in columns.items()])
 
 
