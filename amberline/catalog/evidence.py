@@ -266,7 +266,7 @@ def loss_by_round(spark, d):
     out = None
     for r in _SHOWN:
         cut_off = models.PipelineModel([*model.stages[:-len(inner)], *[models.first_rounds(m, r) for m in inner]])
-        scored = models.class_probabilities(cut_off, test)
+        scored = models.batch_probabilities(cut_off, test)
         loss = evaluate.log_loss(scored, presets.TARGET, models.probability_columns(cut_off)).select(F.lit(r).alias("round"), F.col("log_loss").alias("alone"))
         out = loss if out is None else out.unionByName(loss)
     first = table_of.where(F.col("round") == 1).select(F.col("log_loss").alias("first"), F.lit(True).alias("_one"))

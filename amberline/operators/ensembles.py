@@ -68,8 +68,8 @@ def nodes_of_table(table: DataFrame) -> Nodes:
                  value * c["weight"][:, None])
 
 
-def _boosted_table(models: Sequence[GBTClassificationModel]) -> tuple[DataFrame, list[str]]:
-    spark, out, paths = SparkSession.getActiveSession(), None, []
+def _boosted_table(spark: SparkSession, models: Sequence[GBTClassificationModel]) -> tuple[DataFrame, list[str]]:
+    out, paths = None, []
     n = F.col("nodeData")
     inner = n["leftChild"] >= 0
     for i, m in enumerate(models):
@@ -83,14 +83,14 @@ def _boosted_table(models: Sequence[GBTClassificationModel]) -> tuple[DataFrame,
     return out, paths
 
 
-def boosted_nodes(models: Sequence[GBTClassificationModel]) -> Nodes:
+def boosted_nodes(spark: SparkSession, models: Sequence[GBTClassificationModel]) -> Nodes:
     """The nodes of boosted class models, read once for the same models."""
     known = getattr(models[0], "_amberline_nodes", None)
     if known is None or known[0] != [id(m._java_obj) for m in models]:
-        table, paths = _boosted_table(models)
+        table, paths = _boosted_table(spark, models)
         known = ([id(m._java_obj) for m in models], nodes_of_table(table))
         for path in paths:
-            remove_path(SparkSession.getActiveSession(), path)
+            remove_path(spark, path)
         models[0]._amberline_nodes = known
     return known[1]
 
@@ -195,9 +195,9 @@ def mask_bytes(nodes: Nodes) -> int:
     return places * int(-(-leaves.max() // 64)) * len(nodes.starts) * 8
 
 
-def boosted_sums(models: Sequence[GBTClassificationModel], ends: Sequence[int]) -> Callable[[Column], Column]:
+def boosted_sums(spark: SparkSession, models: Sequence[GBTClassificationModel], ends: Sequence[int]) -> Callable[[Column], Column]:
     """For an array of features, what the rounds between two of ``ends`` put to the margin of each class, class by class."""
-    nodes, features = boosted_nodes(models), models[0].numFeatures
+    nodes, features = boosted_nodes(spark, models), models[0].numFeatures
     own = [np.flatnonzero(nodes.classes == i)[0] for i in range(len(models))]
     segments = [first + a for first in own for a in [0, *ends[:-1]]]
     by = sums_by_masks(nodes, features, segments) if mask_bytes(nodes) <= MASK_BYTES else sums_by_steps(nodes, segments)

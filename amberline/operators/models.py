@@ -177,23 +177,37 @@ def class_probabilities(model: PipelineModel, df: DataFrame, predicted: str = "p
                         probabilities: str = "probabilities") -> DataFrame:
     """Adds the predicted class text and an array of class probabilities in label order.
 
-    A narrow plan.  A boosted class model gives a
+    A narrow plan without Python functions.  A boosted class model gives a
     margin m, which means 1 / (1 + exp(-2 m)); the largest margin decides the
-    class and the class probabilities are normalised to sum 1.  Margins are
-    added up for batches of rows, as a tree at a time is slow for a row.
+    class and the class probabilities are normalised to sum 1.
     """
-    labels = F.array(*[F.lit(v) for v in labels_of(model)])
+    out = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)]).transform(df)
     per_class_models = boosted_models(model)
-    applied = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel) and s not in per_class_models])
-    out = applied.transform(df)
     if per_class_models:
-        out, margins = with_round_margins(out, per_class_models, [per_class_models[0].getNumTrees])
-        margins, = margins.values()
-        out = with_margin_probabilities(out.withColumn("_margins", margins), "_margins", "_probs", "_at")
-        probs, at = F.col("_probs"), F.col("_at")
-    else:
-        probs = vector_to_array(PROBABILITY)
-        at = F.col(PREDICTION) + 1
+        margins = [vector_to_array(MARGIN.format(i))[1] for i in range(len(per_class_models))]
+        return _from_margins(model, df, out, F.array(*margins), predicted, probabilities)
+    return _named(model, df, out, F.col(PREDICTION) + 1, vector_to_array(PROBABILITY), predicted, probabilities)
+
+
+def batch_probabilities(model: PipelineModel, df: DataFrame, predicted: str = "predicted", probabilities: str = "probabilities") -> DataFrame:
+    """What ``class_probabilities`` gives, for many rows: the margins of a boosted model are added up for batches of rows in Python tasks, where a row and tree at
+    a time takes several times longer.  Other models are applied as there."""
+    per_class_models = boosted_models(model)
+    if not per_class_models:
+        return class_probabilities(model, df, predicted, probabilities)
+    head = PipelineModel([s for s in model.stages if not isinstance(s, (StringIndexerModel, GBTClassificationModel))])
+    last = per_class_models[0].getNumTrees
+    out, margins = with_round_margins(head.transform(df), per_class_models, [last])
+    return _from_margins(model, df, out, margins[last], predicted, probabilities)
+
+
+def _from_margins(model: PipelineModel, df: DataFrame, out: DataFrame, margins: Column, predicted: str, probabilities: str) -> DataFrame:
+    out = with_margin_probabilities(out.withColumn("_margins", margins), "_margins", "_probs", "_at")
+    return _named(model, df, out, F.col("_at"), F.col("_probs"), predicted, probabilities)
+
+
+def _named(model: PipelineModel, df: DataFrame, out: DataFrame, at: Column, probs: Column, predicted: str, probabilities: str) -> DataFrame:
+    labels = F.array(*[F.lit(v) for v in labels_of(model)])
     return out.select(*df.columns, F.element_at(labels, at.cast("int")).alias(predicted),
                       probs.alias(probabilities))
 
@@ -271,7 +285,7 @@ def with_round_margins(df: DataFrame, models: Sequence[GBTClassificationModel],
     ends = sorted(set(rounds))
     if any(not 0 < r <= m.getNumTrees for m in models for r in ends):
         raise ValueError(f"rounds {ends} wanted of models with {[m.getNumTrees for m in models]}")
-    out = df.withColumn("_parts", boosted_sums(models, ends)(vector_to_array(VECTOR)))
+    out = df.withColumn("_parts", boosted_sums(df.sparkSession, models, ends)(vector_to_array(VECTOR)))
 
     def margin(i: int, at: int) -> Column:
         return sum((F.col("_parts")[i * len(ends) + b] for b in range(at + 1)), F.lit(0.0))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import presets
 from ..functions.scalar import as_col, by_case, cut, round_half_even, weighted_score
-from .models import class_probabilities, labels_of
+from .models import batch_probabilities, labels_of
 from .profile import literal_rows
 
 
@@ -62,7 +62,7 @@ def proba_score(by_label: Mapping[str, Column], weights: Mapping[str, float] = p
 def score_batch(df: DataFrame, model: PipelineModel, compat_positions: bool = False, dp: int = 4,
                 weights: Mapping[str, float] = presets.TIER_WEIGHTS) -> DataFrame:
     """Adds the class, the three probabilities and the probability score; narrow, no shuffle."""
-    scored = class_probabilities(model, df, "nivel_riesgo", "_p")
+    scored = batch_probabilities(model, df, "nivel_riesgo", "_p")
     named = named_probabilities(labels_of(model), "_p", compat_positions)
     return scored.select(*[c for c in df.columns if c != "nivel_riesgo"], "nivel_riesgo",
                          *[round_half_even(named[t], dp).alias(f"proba_{t}") for t in presets.TIERS],

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import presets
 from ..operators import rate
-from ..operators.models import class_probabilities, labels_of
+from ..operators.models import batch_probabilities, labels_of
 from ..sources.tables import save_table, export_csv, stage
 from .prepare import serving_features
 
@@ -54,6 +54,6 @@ def score_requests(requests: DataFrame, model: PipelineModel, labels: Mapping[st
                    max_visibility: float = presets.SERVING_MAX_VISIBILITY) -> DataFrame:
     """Answers for any number of requests; missing inputs take the defaults.  Also fit for streams."""
     full = serving_features(rate.with_defaults(requests, defaults), labels, max_rain, max_visibility)
-    scored = class_probabilities(model, full, "_tier", "_p")
+    scored = batch_probabilities(model, full, "_tier", "_p")
     answers = rate.answer_columns("_tier", rate.named_probabilities(labels_of(model), "_p", compat_positions))
     return scored.select(*[c for c in requests.columns if c not in answers], *[c.alias(n) for n, c in answers.items()])

@@ -63,7 +63,7 @@ def compare_models(fitted: Mapping[str, PipelineModel], train: DataFrame, test:
     """Score the test rows with each model and compare."""
     scored, rows = {}, []
     for kind, model in fitted.items():
-        result = stage(models.class_probabilities(model, test), f"scored-{kind}")
+        result = stage(models.batch_probabilities(model, test), f"scored-{kind}")
         labels = models.labels_of(model)
         flat = result.withColumns({f"p_{i}": F.col("probabilities")[i] for i in range(len(labels))})
         rows.append((NAMES[kind], evaluate.metrics(flat, target, "predicted",

@@ -47,7 +47,7 @@ def tune(df: DataFrame, key: str, features: Sequence[str] = tuple(presets.FEATUR
     model, scores = models.grid_search(blocks, "fold", grid_folds, features, target, grid, base, seed, key=key, fit_rows=fit_rows)
     top = scores.where("best").first()
     best = {name: top[name] for name in grid}
-    scored = stage(models.class_probabilities(model, test), "tuned")
+    scored = stage(models.batch_probabilities(model, test), "tuned")
     labels = models.labels_of(model)
     flat = scored.withColumns({f"p_{i}": F.col("probabilities")[i] for i in range(len(labels))})
     row = evaluate.final_metrics(evaluate.metrics(flat, target, "predicted", {label: f"p_{i}" for i, label in enumerate(labels)})).first()

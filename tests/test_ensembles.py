@@ -31,13 +31,13 @@ def _plan(df):
 
 
 @pytest.mark.parametrize("kind, limit", [("shallow", None), ("deep", None), ("deep", 0)])
-def test_margins_are_those_of_spark(rows, fitted, kind, limit, monkeypatch):
+def test_margins_are_those_of_spark(spark, rows, fitted, kind, limit, monkeypatch):
     """Trees of up to 64 leaves, of more, and those whose masks would be too large."""
     if limit is not None:
         monkeypatch.setattr(ensembles, "MASK_BYTES", limit)
     model = fitted[kind]
     inner = models.boosted_models(model)
-    nodes = ensembles.boosted_nodes(inner)
+    nodes = ensembles.boosted_nodes(spark, inner)
     most = np.add.reduceat(~nodes.inner(), nodes.starts).max()
     assert (most > 64) == (kind == "deep")
     whole = model.transform(rows)
@@ -52,9 +52,9 @@ def test_margins_are_those_of_spark(rows, fitted, kind, limit, monkeypatch):
     assert len(early) == len(found) and all(r.m == pytest.approx(r.own, abs=1e-9) for r in early)
 
 
-def test_missing_values_and_values_at_a_threshold_go_the_same_way(fitted):
+def test_missing_values_and_values_at_a_threshold_go_the_same_way(spark, fitted):
     inner = models.boosted_models(fitted["shallow"])
-    nodes = ensembles.boosted_nodes(inner)
+    nodes = ensembles.boosted_nodes(spark, inner)
     x = np.zeros((40, len(presets.FEATURES)))
     at = np.flatnonzero(nodes.inner())[:38]
     x[np.arange(len(at)), nodes.feature[at]] = nodes.threshold[at]
@@ -73,6 +73,16 @@ def test_scoring_keeps_one_row_per_row(rows, fitted):
     assert all([2 * x for x in one[r[KEY]]] == pytest.approx(r.margins) for r in twice.collect())
 
 
+def test_batches_give_what_the_model_gives(rows, fitted):
+    for model in fitted.values():
+        batched = models.batch_probabilities(model, rows, "a", "b")
+        assert "ArrowEvalPython" in batched._jdf.queryExecution().executedPlan().toString()
+        both = batched.join(models.class_probabilities(model, rows).select(KEY, "predicted", "probabilities"), KEY).collect()
+        assert len(both) == 900 and all(r.a == r.predicted and r.b == pytest.approx(r.probabilities, abs=1e-9) for r in both)
+    other = models.fit_model(rows, "logistic", presets.FEATURES, presets.TARGET, {"maxIter": 2})
+    assert {r.predicted for r in models.batch_probabilities(other, rows).collect()} == {r.predicted for r in models.class_probabilities(other, rows).collect()}
+
+
 def test_the_curve_is_the_loss_of_spark(rows, fitted):
     model = fitted["shallow"]
     found = {(r.label, r.round): r.loss for r in models.boosting_curve(model, rows, presets.TARGET, every=1).collect()}
