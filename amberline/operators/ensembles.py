@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +68,7 @@ def nodes_of_table(table: DataFrame) -> Nodes:
                  value * c["weight"][:, None])
 
 
-def _boosted_table(spark: SparkSession, models: Sequence[GBTClassificationModel]) -> tuple[DataFrame, list[str]]:
+def _model_table(spark: SparkSession, models: Sequence, value: Callable[[Column], Column]) -> tuple[DataFrame, list[str]]:
     out, paths = None, []
     n = F.col("nodeData")
     inner = n["leftChild"] >= 0
@@ -78,16 +78,16 @@ def _boosted_table(spark: SparkSession, models: Sequence[GBTClassificationModel]
         part = saved_nodes(spark, paths[-1]).select(
             F.lit(i).alias("class"), "tree", "weight", n["id"].alias("node"), F.when(inner, n["split"]["featureIndex"]).alias("feature"),
             F.when(inner, n["split"]["leftCategoriesOrThreshold"][0]).alias("threshold"), F.when(inner, n["leftChild"]).alias("left"),
-            F.when(inner, n["rightChild"]).alias("right"), F.array(n["prediction"]).alias("value"))
+            F.when(inner, n["rightChild"]).alias("right"), value(n).alias("value"))
         out = part if out is None else out.unionByName(part)
     return out, paths
 
 
-def boosted_nodes(spark: SparkSession, models: Sequence[GBTClassificationModel]) -> Nodes:
-    """The nodes of boosted class models, read once for the same models."""
+def _model_nodes(spark: SparkSession, models: Sequence, value: Callable[[Column], Column]) -> Nodes:
+    """The nodes of class models, read once for the same models; ``value`` makes the array of outputs from the saved data of a node."""
     known = getattr(models[0], "_amberline_nodes", None)
     if known is None or known[0] != [id(m._java_obj) for m in models]:
-        table, paths = _boosted_table(spark, models)
+        table, paths = _model_table(spark, models, value)
         known = ([id(m._java_obj) for m in models], nodes_of_table(table))
         for path in paths:
             remove_path(spark, path)
@@ -95,6 +95,20 @@ def boosted_nodes(spark: SparkSession, models: Sequence[GBTClassificationModel])
     return known[1]
 
 
+def boosted_nodes(spark: SparkSession, models: Sequence[GBTClassificationModel]) -> Nodes:
+    return _model_nodes(spark, models, lambda n: F.array(n["prediction"]))
+
+
+def forest_nodes(spark: SparkSession, model: RandomForestClassificationModel) -> Nodes:
+    """The outputs are the class shares; a node without rows has none."""
+
+    def shares(n: Column) -> Column:
+        total = F.aggregate(n["impurityStats"], F.lit(0.0), lambda a, x: a + x)
+        return F.transform(n["impurityStats"], lambda x: F.when(total != 0.0, x / total).otherwise(0.0))
+
+    return _model_nodes(spark, [model], shares)
+
+
 def _leaves(nodes: Nodes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each node the first leaf below it and the one after its last, counted within the tree from the left, and the tree; and the leaves of each tree."""
     size = len(nodes.left)
@@ -119,8 +133,21 @@ def _low_bits(n: int) -> int:
     return (1 << n) - 1
 
 
-def sums_by_masks(nodes: Nodes, features: int, segments: Sequence[int]) -> Callable[[np.ndarray], np.ndarray]:
-    """A function of rows (rows, features) that gives the sums of the trees' outputs over segments of trees, given by their first trees.
+def _segment_sums(segments: Sequence[int], in_order: bool) -> Callable[[np.ndarray], np.ndarray]:
+    """Sums over segments of trees of an array (rows, trees); ``in_order`` adds tree after tree, as Spark ML does, to the last bit."""
+    starts = np.asarray(segments)
+
+    def pairwise(outputs: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(outputs, starts, axis=1)
+
+    def ordered(outputs: np.ndarray) -> np.ndarray:
+        return np.stack([part.cumsum(axis=1)[:, -1] for part in np.split(outputs, starts[1:], axis=1)], axis=1)
+
+    return ordered if in_order else pairwise
+
+
+def sums_by_masks(nodes: Nodes, features: int, segments: Sequence[int], in_order: bool = False) -> Callable[[np.ndarray], np.ndarray]:
+    """A function of rows (rows, features) that gives the sums of the trees' outputs, one per segment and value, over segments of trees, given by their first trees.
 
     A row is known by its place among the thresholds of each feature.  For each place there is a mask per tree of the leaves that can still be reached;
     the first leaf that is left over when the masks of all features are put together is the one reached.
@@ -139,15 +166,16 @@ def sums_by_masks(nodes: Nodes, features: int, segments: Sequence[int]) -> Calla
             if part := (lost >> (64 * w)) & _low_bits(64):
                 masks[beyond:offsets[f + 1], w, tree[at]] &= np.uint64(_low_bits(64) & ~part)
     masks = masks.reshape(len(masks), -1)
-    values = np.zeros((64 * words, trees))
+    kinds = nodes.value.shape[1]
+    values = np.zeros((kinds, 64 * words, trees))
     leaves = np.flatnonzero(~nodes.inner())
-    values[first[leaves], tree[leaves]] = nodes.value[leaves, 0]
+    values[:, first[leaves], tree[leaves]] = nodes.value[leaves].T
     used = [f for f in range(features) if len(cuts[f])]
-    values, starts, block = values.ravel(), np.asarray(segments), BLOCK_ROWS
+    values, parts, block, add = values.reshape(kinds, -1), len(segments), BLOCK_ROWS, _segment_sums(segments, in_order)
 
     def sums(x: np.ndarray) -> np.ndarray:
         codes = [np.searchsorted(cuts[f], x[:, f]) + offsets[f] for f in used]
-        out = np.zeros((len(x), len(starts)))
+        out = np.zeros((len(x), parts, kinds))
         own = np.arange(trees)
         for a in range(0, len(x), block):
             rows = min(block, len(x) - a)
@@ -160,20 +188,22 @@ def sums_by_masks(nodes: Nodes, features: int, segments: Sequence[int]) -> Calla
             leaf = np.bitwise_count((left[:, -1] - np.uint64(1)) & ~left[:, -1]).astype(np.int64) + 64 * (left.shape[1] - 1)
             for w in range(left.shape[1] - 2, -1, -1):
                 leaf = np.where(left[:, w] != 0, np.bitwise_count((left[:, w] - np.uint64(1)) & ~left[:, w]) + 64 * w, leaf)
-            out[a:a + rows] = np.add.reduceat(values.take(leaf * trees + own), starts, axis=1)
-        return out
+            at = leaf * trees + own
+            for v in range(kinds):
+                out[a:a + rows, :, v] = add(values[v].take(at))
+        return out.reshape(len(x), parts * kinds)
 
     return sums
 
 
-def sums_by_steps(nodes: Nodes, segments: Sequence[int]) -> Callable[[np.ndarray], np.ndarray]:
-    """The same sums, one per segment and value, by going down every tree step by step."""
+def sums_by_steps(nodes: Nodes, segments: Sequence[int], in_order: bool = False) -> Callable[[np.ndarray], np.ndarray]:
+    """The same sums by going down every tree step by step."""
     roots, steps = nodes.starts.astype(np.int32), nodes.depth()
     feature, threshold, left, right, value = nodes.feature, nodes.threshold, nodes.left, nodes.right, nodes.value
-    starts, block = np.asarray(segments), max(1, BLOCK_ENTRIES // len(roots))
+    parts, block, add = len(segments), max(1, BLOCK_ENTRIES // len(roots)), _segment_sums(segments, in_order)
 
     def sums(x: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(x), len(starts), value.shape[1]))
+        out = np.zeros((len(x), parts, value.shape[1]))
         for a in range(0, len(x), block):
             rows = x[a:a + block]
             flat, own = rows.ravel(), (np.arange(len(rows)) * rows.shape[1])[:, None]
@@ -181,8 +211,8 @@ def sums_by_steps(nodes: Nodes, segments: Sequence[int]) -> Callable[[np.ndarray
             for _ in range(steps):
                 at = np.where(flat.take(own + feature.take(at)) <= threshold.take(at), left.take(at), right.take(at))
             for v in range(value.shape[1]):
-                out[a:a + len(rows), :, v] = np.add.reduceat(value[:, v].take(at), starts, axis=1)
-        return out.reshape(len(x), len(starts) * value.shape[1])
+                out[a:a + len(rows), :, v] = add(value[:, v].take(at))
+        return out.reshape(len(x), parts * value.shape[1])
 
     return sums
 
@@ -204,6 +234,13 @@ def boosted_sums(spark: SparkSession, models: Sequence[GBTClassificationModel],
     return of_arrays(by, features)
 
 
+def forest_votes(spark: SparkSession, model: RandomForestClassificationModel) -> Callable[[Column], Column]:
+    """For an array of features, the class shares of the leaves reached, added up tree after tree: Spark's raw predictions."""
+    nodes, features = forest_nodes(spark, model), model.numFeatures
+    by = sums_by_masks(nodes, features, [0], True) if mask_bytes(nodes) <= MASK_BYTES else sums_by_steps(nodes, [0], True)
+    return of_arrays(by, features)
+
+
 def of_arrays(sums: Callable[[np.ndarray], np.ndarray], features: int) -> Callable[[Column], Column]:
     """``sums`` as a function of a column with an array of ``features`` doubles; what is missing in it goes right."""
 

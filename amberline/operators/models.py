@@ -19,7 +19,7 @@ from pyspark.sql.window import Window as W
 from ..functions.draws import rank_hash
 from ..functions.scalar import number
 from ..sources.tables import ensure_checkpoint_dir, stage
-from .ensembles import boosted_sums
+from .ensembles import boosted_sums, forest_votes
 from .sample import balanced_weights, class_counts, per_class, sample_rows
 
 LABEL = "_label"
@@ -190,9 +190,16 @@ def class_probabilities(model: PipelineModel, df: DataFrame, predicted: str = "p
 
 
 def batch_probabilities(model: PipelineModel, df: DataFrame, predicted: str = "predicted", probabilities: str = "probabilities") -> DataFrame:
-    """What ``class_probabilities`` gives, for many rows: the margins of a boosted model are added up for batches of rows in Python tasks, where a row and tree at
-    a time takes several times longer.  Other models are applied as there."""
+    """What ``class_probabilities`` gives, for many rows: the margins of a boosted model and the votes of a forest are added up for batches of rows in Python
+    tasks, where a row and tree at a time takes several times longer.  Other models are applied as there."""
     per_class_models = boosted_models(model)
+    last = model.stages[-1]
+    if isinstance(last, RandomForestClassificationModel) and not last.isSet("thresholds"):
+        out = PipelineModel([s for s in model.stages[:-1] if not isinstance(s, StringIndexerModel)]).transform(df)
+        out = out.withColumn("_votes", forest_votes(df.sparkSession, last)(vector_to_array(VECTOR)))
+        out = out.withColumn("_total", F.aggregate("_votes", F.lit(0.0), lambda a, x: a + x))
+        most = F.array_position("_votes", F.array_max("_votes"))
+        return _named(model, df, out, most, F.transform("_votes", lambda x: x / F.col("_total")), predicted, probabilities)
     if not per_class_models:
         return class_probabilities(model, df, predicted, probabilities)
     head = PipelineModel([s for s in model.stages if not isinstance(s, (StringIndexerModel, GBTClassificationModel))])

@@ -83,6 +83,20 @@ def test_batches_give_what_the_model_gives(rows, fitted):
     assert {r.predicted for r in models.batch_probabilities(other, rows).collect()} == {r.predicted for r in models.class_probabilities(other, rows).collect()}
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_batches_give_the_votes_of_a_forest_to_the_last_bit(rows, limit, monkeypatch):
+    """Trees of more than 64 leaves, by masks and by steps."""
+    if limit is not None:
+        monkeypatch.setattr(ensembles, "MASK_BYTES", limit)
+    model = models.fit_model(rows, "forest", presets.FEATURES, presets.TARGET, {"numTrees": 12, "maxDepth": 11, "minInstancesPerNode": 1})
+    batched = models.batch_probabilities(model, rows, "a", "b")
+    assert "ArrowEvalPython" in batched._jdf.queryExecution().executedPlan().toString()
+    nodes = ensembles.forest_nodes(rows.sparkSession, model.stages[-1])
+    assert np.add.reduceat(~nodes.inner(), nodes.starts).max() > 64
+    both = batched.join(models.class_probabilities(model, rows).select(KEY, "predicted", "probabilities"), KEY).collect()
+    assert len(both) == 900 and all((r.a, r.b) == (r.predicted, r.probabilities) for r in both)
+
+
 def test_the_curve_is_the_loss_of_spark(rows, fitted):
     model = fitted["shallow"]
     found = {(r.label, r.round): r.loss for r in models.boosting_curve(model, rows, presets.TARGET, every=1).collect()}
