@@ -260,7 +260,7 @@ _SHOWN = models.shown_rounds(presets.BOOSTED_PLAIN["maxIter"], 50)
 def loss_by_round(spark, d):
     """The log-loss after some rounds is that of the model cut off there, and lower than after the first one."""
     rows = modelling.Rows(spark, d)
-    model, test = modelling.fitted(spark, d, "boosted_plain", rows), rows.test
+    model, test = modelling.fitted(spark, d, "boosted_plain", rows), tables.stage(rows.test, "test-rows")
     table_of = models.loss_by_round(model, test, presets.TARGET)
     inner = models.boosted_models(model)
     out = None

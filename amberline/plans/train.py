@@ -60,8 +60,10 @@ def train_and_compare(df: DataFrame, key: str, features: Sequence[str] = tuple(p
 
 
 def compare_models(fitted: Mapping[str, PipelineModel], train: DataFrame, test: DataFrame, target: str) -> Trained:
-    """Score the test rows with each model and compare."""
+    """Score the test rows with each model and compare; several models read a copy of the rows written once."""
     scored, rows = {}, []
+    if len(fitted) > 1:
+        test = stage(test, "test-rows")
     for kind, model in fitted.items():
         result = stage(models.batch_probabilities(model, test), f"scored-{kind}")
         labels = models.labels_of(model)
