@@ -46,11 +46,20 @@ def with_rule_score(df: DataFrame, key: str, seed: int, noise_sd: float = preset
     return scored.withColumn(presets.TARGET, tier_from_rule_score("score_riesgo")).drop("_u")
 
 
-def build_accidents(base: DataFrame, key: str, seed: int = 42, method: str = "xxhash64") -> DataFrame:
-    """One accident per row of ``base``, whose ``key`` counts rows from 0: 23 columns, score and tier."""
+#: Of the accident table.
+SEED = 42
+
+
+def draw_accidents(base: DataFrame, key: str, seed: int = SEED, method: str = "xxhash64") -> DataFrame:
+    """The columns of accidents before they are scored, beside ``key``, which counts rows from 0."""
     drawn = synthesize(base, key, presets.accident_spec(), seed, method)
-    drawn = drawn.withColumns({"id_siniestro": padded_id("SIN-2024-", F.col(key) + 1, 5),
-                               "fecha": step_date_text(key, presets.FIRST_DATE, presets.STEP_HOURS)})
+    return drawn.withColumns({"id_siniestro": padded_id("SIN-2024-", F.col(key) + 1, 5),
+                              "fecha": step_date_text(key, presets.FIRST_DATE, presets.STEP_HOURS)})
+
+
+def build_accidents(base: DataFrame, key: str, seed: int = SEED, method: str = "xxhash64") -> DataFrame:
+    """One accident per row of ``base``, whose ``key`` counts rows from 0: 23 columns, score and tier."""
+    drawn = draw_accidents(base, key, seed, method)
     scored = with_rule_score(drawn, "id_siniestro", seed, method=method).drop(key)
     return scored.select("id_siniestro", "fecha", *[c for c in scored.columns if c not in ("id_siniestro", "fecha")])
 
