@@ -21,6 +21,8 @@ from ..sources.tables import remove_path, scratch_path
 BLOCK_ROWS = 32
 #: Entries that a block of rows may hold for all trees.
 BLOCK_ENTRIES = 1 << 16
+#: Features of few places are put together, up to so many places of a group.
+GROUP_PLACES = 256
 #: Masks are sent to the tasks up to this size; ensembles whose masks are larger, of very deep trees, are gone down step by step.
 MASK_BYTES = 1 << 26
 
@@ -146,11 +148,26 @@ def _segment_sums(segments: Sequence[int], in_order: bool) -> Callable[[np.ndarr
     return ordered if in_order else pairwise
 
 
+def _grouped(places: Sequence[int], most: int) -> list[list[int]]:
+    """Numbers of features, put together while a group has at most ``GROUP_PLACES`` places and all groups at most ``most``."""
+    groups: list[list[int]] = []
+    total, size = sum(places), 0
+    for f in sorted(range(len(places)), key=lambda f: places[f]):
+        joined = size * places[f]
+        if groups and joined <= GROUP_PLACES and total - size - places[f] + joined <= most:
+            groups[-1].append(f)
+            total, size = total - size - places[f] + joined, joined
+        else:
+            groups.append([f])
+            size = places[f]
+    return groups
+
+
 def sums_by_masks(nodes: Nodes, features: int, segments: Sequence[int], in_order: bool = False) -> Callable[[np.ndarray], np.ndarray]:
     """A function of rows (rows, features) that gives the sums of the trees' outputs, one per segment and value, over segments of trees, given by their first trees.
 
     A row is known by its place among the thresholds of each feature.  For each place there is a mask per tree of the leaves that can still be reached;
-    the first leaf that is left over when the masks of all features are put together is the one reached.
+    the first leaf that is left over when the masks of all features are put together is the one reached.  Features of few places are put together beforehand.
     """
     first, end, tree, count = _leaves(nodes)
     trees, words = len(nodes.starts), int(-(-count.max() // 64))
@@ -166,15 +183,29 @@ def sums_by_masks(nodes: Nodes, features: int, segments: Sequence[int], in_order
             if part := (lost >> (64 * w)) & _low_bits(64):
                 masks[beyond:offsets[f + 1], w, tree[at]] &= np.uint64(_low_bits(64) & ~part)
     masks = masks.reshape(len(masks), -1)
+    used = [f for f in range(features) if len(cuts[f])]
+    groups = [[used[i] for i in g] for g in _grouped([len(cuts[f]) + 1 for f in used], MASK_BYTES // masks[0].nbytes)]
+    joint = []
+    for group in groups:
+        made = masks[offsets[group[0]]:offsets[group[0] + 1]]
+        for f in group[1:]:
+            made = (made[:, None] & masks[offsets[f]:offsets[f + 1]]).reshape(-1, masks.shape[1])
+        joint.append(made)
+    firsts = np.cumsum([0, *[len(m) for m in joint]])
+    masks = np.concatenate(joint) if joint else masks
     kinds = nodes.value.shape[1]
     values = np.zeros((kinds, 64 * words, trees))
     leaves = np.flatnonzero(~nodes.inner())
     values[:, first[leaves], tree[leaves]] = nodes.value[leaves].T
-    used = [f for f in range(features) if len(cuts[f])]
     values, parts, block, add = values.reshape(kinds, -1), len(segments), BLOCK_ROWS, _segment_sums(segments, in_order)
 
     def sums(x: np.ndarray) -> np.ndarray:
-        codes = [np.searchsorted(cuts[f], x[:, f]) + offsets[f] for f in used]
+        codes = []
+        for group, start in zip(groups, firsts):
+            code = np.zeros(len(x), np.int64)
+            for f in group:
+                code = code * (len(cuts[f]) + 1) + np.searchsorted(cuts[f], x[:, f])
+            codes.append(code + start)
         out = np.zeros((len(x), parts, kinds))
         own = np.arange(trees)
         for a in range(0, len(x), block):
