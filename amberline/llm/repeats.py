@@ -203,12 +203,15 @@ def spans_of(lists: DataFrame, length: int) -> DataFrame:
     return map_arrow(lists, run, "doc long, mark long, spans array<long>").where(F.size("spans") > 0)
 
 
-def beside_text(texts: DataFrame, lists: DataFrame, column: str, how: str) -> DataFrame:
-    """``texts`` (with doc, mark) joined with per-document lists, which are broadcast if they are small enough."""
-    lists = checkpointed(lists)
+def beside_text(texts: DataFrame, lists: DataFrame, column: str, how: str, limit: int = BROADCAST_BYTES, stored: bool = False) -> DataFrame:
+    """``texts`` (with doc, mark) joined with per-document lists, which are broadcast up to ``limit`` bytes and joined by a shuffle beyond that.
+
+    They are read twice, and checkpointed for that unless ``stored`` says that they are read from a copy already.
+    """
+    lists = lists if stored else checkpointed(lists)
     element = 8 if lists.schema[column].dataType.elementType.simpleString() == "bigint" else 32  # a struct of two longs
     size = lists.agg(F.coalesce(F.sum(F.lit(64) + F.size(column) * element), F.lit(0))).first()[0]
-    return texts.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists, ["doc", "mark"], how)
+    return texts.join(F.broadcast(lists) if size <= limit else lists.hint("merge"), ["doc", "mark"], how)
 
 
 def run_rows(texts: DataFrame, cut: Callable, smaller_only: bool) -> DataFrame:
