@@ -218,7 +218,7 @@ def sums_by_masks(nodes: Nodes, features: int, segments: Sequence[int], in_order
             left = left.reshape(rows, -1, trees)
             leaf = np.bitwise_count((left[:, -1] - np.uint64(1)) & ~left[:, -1]).astype(np.int64) + 64 * (left.shape[1] - 1)
             for w in range(left.shape[1] - 2, -1, -1):
-                leaf = np.where(left[:, w] != 0, np.bitwise_count((left[:, w] - np.uint64(1)) & ~left[:, w]) + 64 * w, leaf)
+                leaf = np.where(left[:, w] != 0, np.bitwise_count((left[:, w] - np.uint64(1)) & ~left[:, w]).astype(np.int64) + 64 * w, leaf)
             at = leaf * trees + own
             for v in range(kinds):
                 out[a:a + rows, :, v] = add(values[v].take(at))

@@ -39,9 +39,10 @@ def split_table(df: DataFrame, key: str, target: str, share: float = presets.TES
     return (marked.where(~F.col("is_test")).drop("is_test"), marked.where(F.col("is_test")).drop("is_test"))
 
 
-def bounded(df: DataFrame, key: str, target: str, rows: int, seed: int = 42) -> DataFrame:
-    """At most ``rows`` of the rows that have a target, drawn by a hash of the key and written once in one piece."""
-    return models.drawn(df.where(F.col(target).isNotNull()), key, rows, seed)
+def bounded(df: DataFrame, key: str, target: str, rows: int | None, seed: int = 42) -> DataFrame:
+    """The rows that have a target, written once: all of them, or, with ``rows``, at most so many, drawn by a hash of the key, in one piece."""
+    known = df.where(F.col(target).isNotNull())
+    return stage(known, "fit-rows") if rows is None else models.drawn(known, key, rows, seed)
 
 
 def train_and_compare(df: DataFrame, key: str, features: Sequence[str] = tuple(presets.FEATURES),
@@ -49,13 +50,13 @@ def train_and_compare(df: DataFrame, key: str, features: Sequence[str] = tuple(p
                       weighted: bool = True, seed: int = 42, fit_rows: int | None = None) -> Trained:
     """Fit every kind in ``settings`` on the training rows and compare them on all test rows.
 
-    ``fit_rows`` bounds how many training rows, drawn by a hash of the key, the models are fitted on.
+    The models are fitted on all training rows; ``fit_rows`` bounds how many, drawn by a hash of the key.
     """
     settings = settings or {"logistic": presets.LOGISTIC, "forest": presets.FOREST, "boosted": presets.BOOSTED_WEIGHTED}
     features = [f for f in features if f in df.columns]
     train, test = split_table(df.select(key, *features, target), key, target, seed=seed)
-    sample = train if fit_rows is None else bounded(train, key, target, fit_rows, seed)
-    fitted = {kind: models.fit_model(sample, kind, features, target, params, weighted, seed) for kind, params in settings.items()}
+    rows = bounded(train, key, target, fit_rows, seed)
+    fitted = {kind: models.fit_model(rows, kind, features, target, params, weighted, seed) for kind, params in settings.items()}
     return compare_models(fitted, train, test, target)
 
 
