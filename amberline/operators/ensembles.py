@@ -85,16 +85,20 @@ def _model_table(spark: SparkSession, models: Sequence, value: Callable[[Column]
     return out, paths
 
 
+def keep_nodes(models: Sequence, nodes: Nodes) -> None:
+    """Class models remember their nodes with the first of them."""
+    models[0]._amberline_nodes = ([id(m._java_obj) for m in models], nodes)
+
+
 def _model_nodes(spark: SparkSession, models: Sequence, value: Callable[[Column], Column]) -> Nodes:
     """The nodes of class models, read once for the same models; ``value`` makes the array of outputs from the saved data of a node."""
     known = getattr(models[0], "_amberline_nodes", None)
     if known is None or known[0] != [id(m._java_obj) for m in models]:
         table, paths = _model_table(spark, models, value)
-        known = ([id(m._java_obj) for m in models], nodes_of_table(table))
+        keep_nodes(models, nodes_of_table(table))
         for path in paths:
             remove_path(spark, path)
-        models[0]._amberline_nodes = known
-    return known[1]
+    return models[0]._amberline_nodes[1]
 
 
 def boosted_nodes(spark: SparkSession, models: Sequence[GBTClassificationModel]) -> Nodes:

@@ -19,7 +19,8 @@ from pyspark.sql.window import Window as W
 from ..functions.draws import rank_hash
 from ..functions.scalar import number
 from ..sources.tables import ensure_checkpoint_dir, stage
-from .ensembles import boosted_sums, forest_votes
+from . import boosting
+from .ensembles import boosted_sums, forest_votes, keep_nodes
 from .sample import balanced_weights, class_counts, per_class, sample_rows
 
 LABEL = "_label"
@@ -84,20 +85,30 @@ def fit_boosted(ready: DataFrame, classes: int, weight_col: str | None = WEIGHT,
 
     Each model writes only its own margin column.  Chaining them as stages
     keeps scoring on the JVM, where ``OneVsRestModel`` would collect the
-    margins with a Python function per row and class.
+    margins with a Python function per row and class.  The trees are grown in
+    one task a class, without the jobs that Spark ML has for each level of a
+    tree; Spark ML fits where rows or settings do not allow that.
     """
+    trees = boosting.grown(ready, classes, VECTOR, LABEL, weight_col, seed, params)
+    width = None if trees is None else ready.select(F.size(vector_to_array(VECTOR))).first()[0]
 
     def one(i: int) -> GBTClassificationModel:
         est = GBTClassifier(seed=seed, featuresCol=VECTOR, labelCol=f"_is_{i}", predictionCol="", **params)
         est = est.setRawPredictionCol(MARGIN.format(i)).setProbabilityCol("")
         if weight_col:
             est = est.setWeightCol(weight_col)
+        if trees is not None:
+            return boosting.as_model(ready, est, trees[i], width)
         return est.fit(ready.withColumn(f"_is_{i}", (F.col(LABEL) == F.lit(float(i))).cast("double")))
 
     if parallelism > 1:
         with ThreadPool(min(parallelism, classes)) as pool:
-            return pool.map(one, range(classes))
-    return [one(i) for i in range(classes)]
+            made = pool.map(one, range(classes))
+    else:
+        made = [one(i) for i in range(classes)]
+    if trees is not None:
+        keep_nodes(made, boosting.nodes_of(trees, made[0].getStepSize()))
+    return made
 
 
 def fit_model(train: DataFrame, kind: str, features: Sequence[str], target: str, params: Mapping | None = None,
@@ -387,7 +398,7 @@ def fold_parts(ready: DataFrame, fold: str, k: int, key: str | None, fit_rows: i
     The rows are written once by fold, and judged fold by fold from there.  Drawn are the rows with the smallest hashes of ``key`` among the other folds;
     they are among the ``fit_rows`` smallest of each fold, so one pass that limits each fold where it is read draws them for all folds, whatever their number.
     """
-    rows = stage(ready, "folded-rows", [fold])
+    rows = stage(ready.sortWithinPartitions(fold, *([key] if key else [])), "folded-rows", [fold])  # fits follow the order of the rows
     held = [rows.where(F.col(fold) == f) for f in range(k)]
     if fit_rows is None:
         return [(rows.where(F.col(fold) != f), held[f]) for f in range(k)]
@@ -408,7 +419,7 @@ def cross_validate(df: DataFrame, fold: str, k: int, features: Sequence[str], ta
     by default as many as the session has cores.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    head, ready = _assembled(df, features, target, [fold, *([] if fit_rows is None else [key])])
+    head, ready = _assembled(df, features, target, [fold, *([key] if key else [])])
     parts = fold_parts(ready, fold, k, key, fit_rows, seed)
     classes = len(labels_of(head))
     with ThreadPool(min(k, _threads(df, parallelism))) as pool:  # the folds are independent fits
@@ -435,7 +446,7 @@ def grid_search(train: DataFrame, fold: str, folds: int, features: Sequence[str]
     ``parallelism`` run at the same time, by default as many as the session has cores; settings that differ in the number of rounds share a fit.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    head, ready = _assembled(train, features, target, [fold, *([] if fit_rows is None else [key])])
+    head, ready = _assembled(train, features, target, [fold, *([key] if key else [])])
     classes = len(labels_of(head))
     parts = fold_parts(ready, fold, folds, key, fit_rows, seed)
     names = list(grid)

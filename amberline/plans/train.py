@@ -42,7 +42,7 @@ def split_table(df: DataFrame, key: str, target: str, share: float = presets.TES
 def bounded(df: DataFrame, key: str, target: str, rows: int | None, seed: int = 42) -> DataFrame:
     """The rows that have a target, written once: all of them, or, with ``rows``, at most so many, drawn by a hash of the key, in one piece."""
     known = df.where(F.col(target).isNotNull())
-    return stage(known, "fit-rows") if rows is None else models.drawn(known, key, rows, seed)
+    return stage(known.sortWithinPartitions(key), "fit-rows") if rows is None else models.drawn(known, key, rows, seed)
 
 
 def train_and_compare(df: DataFrame, key: str, features: Sequence[str] = tuple(presets.FEATURES),
