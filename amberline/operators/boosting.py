@@ -9,14 +9,17 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark
 from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import remove_path, scratch_path, stage
@@ -44,14 +47,10 @@ def feature_cuts(values: DataFrame, column: str, features: int, bins: int) -> li
     counted = stage(each.groupBy("f", "v").agg(F.count(F.lit(1)).alias("n")), "feature-values")
     sizes = counted.groupBy("f").agg(F.count(F.lit(1)).alias("_values"), F.sum("n").alias("_rows"))
     placed = prefix_sums(counted, ["f"], ["v"], {"_below": "n"}).join(F.broadcast(sizes), "f")
-    through = F.col("_below") + F.col("n")
-    ends = F.floor(through * bins / F.col("_rows")) > F.floor(F.col("_below") * bins / F.col("_rows"))
-    chosen = placed.where((through < F.col("_rows")) & ((F.col("_values") <= bins) | ends)).select("f", "v").collect()  # bins - 1 a feature at most
-    lower = [sorted(r["v"] for r in chosen if r["f"] == f) for f in range(features)]
-    lists = F.array(*[F.array(*[F.lit(v) for v in vs]).cast("array<double>") for vs in lower])
-    place = F.size(F.filter(F.element_at(lists, F.col("f") + 1), lambda c: c < F.col("v")))
-    firsts = {(r["f"], r["_place"]): r["_first"] for r in counted.groupBy("f", place.alias("_place")).agg(F.min("v").alias("_first")).collect()}
-    return [np.array([_between(v, firsts[f, i + 1]) for i, v in enumerate(vs)]) for f, vs in enumerate(lower)]
+    place = F.when(F.col("_values") <= bins, F.col("v")).otherwise(F.floor(F.col("_below") * bins / F.col("_rows")).cast("double"))
+    found = placed.groupBy("f", place.alias("_place")).agg(F.min("v").alias("low"), F.max("v").alias("high")).collect()  # at most ``bins`` a feature
+    spans = [sorted((r["low"], r["high"]) for r in found if r["f"] == f) for f in range(features)]
+    return [np.array([_between(one[1], two[0]) for one, two in zip(of, of[1:])]) for of in spans]
 
 
 def _between(low: float, high: float) -> float:
@@ -120,8 +119,29 @@ def _grower(layout: growing.Layout, cuts: Sequence[np.ndarray], weights: Sequenc
     return trees
 
 
-def grown(ready: DataFrame, classes: int, features_col: str, label_col: str, weight_col: str | None, seed: int, params: Mapping) -> list[pa.Table] | None:
-    """The nodes of the trees of each class, or none where Spark ML is needed: other settings, weights that differ within a class, or too many rows."""
+@dataclass
+class Grown:
+    """The nodes of the trees of all classes."""
+
+    tables: list[pa.Table]
+    features: int
+    rounds: int
+    step: float
+
+    @cached_property
+    def nodes(self) -> Nodes:
+        """What ``ensembles`` reads from the saved models of these trees."""
+        whole = pa.concat_tables(self.tables).combine_chunks()
+        c = {name: whole[name].to_numpy() for name in ("class", "tree", "left", "right", "value")}
+        first = np.flatnonzero(np.r_[True, (c["class"][1:] != c["class"][:-1]) | (c["tree"][1:] != c["tree"][:-1])])
+        shift, own, inner = np.repeat(first, np.diff(np.r_[first, len(whole)])), np.arange(len(whole)), c["left"] >= 0
+        return Nodes(first, c["class"][first], np.where(inner, whole["feature"].to_numpy(), 0).astype(np.int32), whole["threshold"].fill_null(0.0).to_numpy(),
+                     np.where(inner, c["left"] + shift, own).astype(np.int32), np.where(inner, c["right"] + shift, own).astype(np.int32),
+                     (c["value"] * np.where(c["tree"] == 0, 1.0, self.step))[:, None])
+
+
+def grown(ready: DataFrame, classes: int, features_col: str, label_col: str, weight_col: str | None, seed: int, params: Mapping) -> Grown | None:
+    """The trees of the boosters of all classes, or none where Spark ML is needed: other settings, weights that differ within a class, or too many rows."""
     known = {**DEFAULTS, **params}
     if set(known) != set(DEFAULTS) or known["maxDepth"] > MOST_DEPTH or classes > 256:
         return None
@@ -145,14 +165,13 @@ def grown(ready: DataFrame, classes: int, features_col: str, label_col: str, wei
     each = blocks.crossJoin(F.broadcast(ready.sparkSession.range(classes).select(F.col("id").cast("int").alias("class"))))
     dealt = each.select("class", "part", "place", "codes", "labels").repartitionById(classes, F.col("class"))
     nodes = dealt.mapInArrow(_grower(layout, cuts, weights, settings), NODE).toArrow()
-    order = [("class", "ascending"), ("tree", "ascending"), ("node", "ascending")]
-    nodes = nodes.sort_by(order)
-    return [nodes.filter(pa.compute.equal(nodes["class"], k)) for k in range(classes)]
+    nodes = nodes.sort_by([(column, "ascending") for column in ("class", "tree", "node")])
+    return Grown([nodes.filter(pc.equal(nodes["class"], k)) for k in range(classes)], width, known["maxIter"], known["stepSize"])
 
 
-def as_model(ready: DataFrame, estimator: GBTClassifier, nodes: pa.Table, features: int) -> GBTClassificationModel:
+def as_model(spark: SparkSession, estimator: GBTClassifier, nodes: pa.Table, features: int) -> GBTClassificationModel:
     """The trees as a model of Spark ML, read from a folder in the form that it saves models in."""
-    spark, path = ready.sparkSession, scratch_path(ready.sparkSession, "grown")
+    path = scratch_path(spark, "grown")
     trees, step = nodes["tree"][-1].as_py() + 1, estimator.getStepSize()
 
     def described(name: str, uid: str, given: Mapping, defaults: Mapping, **more) -> str:
@@ -175,15 +194,3 @@ def as_model(ready: DataFrame, estimator: GBTClassifier, nodes: pa.Table, featur
     model = GBTClassificationModel.load(path)
     remove_path(spark, path)
     return model
-
-
-def nodes_of(tables: Sequence[pa.Table], step: float) -> Nodes:
-    """What ``ensembles`` reads from the saved models of these trees."""
-    whole = pa.concat_tables(tables).combine_chunks()
-    c = {name: whole[name].to_numpy() for name in ("class", "tree", "left", "right", "value")}
-    first = np.flatnonzero(np.r_[True, (c["class"][1:] != c["class"][:-1]) | (c["tree"][1:] != c["tree"][:-1])])
-    shift, own, inner = np.repeat(first, np.diff(np.r_[first, len(whole)])), np.arange(len(whole)), c["left"] >= 0
-    feature = whole["feature"].to_numpy()
-    return Nodes(first, c["class"][first], np.where(inner, feature, 0).astype(np.int32), whole["threshold"].fill_null(0.0).to_numpy(),
-                 np.where(inner, c["left"] + shift, own).astype(np.int32), np.where(inner, c["right"] + shift, own).astype(np.int32),
-                 (c["value"] * np.where(c["tree"] == 0, 1.0, step))[:, None])

@@ -262,8 +262,12 @@ def mask_bytes(nodes: Nodes) -> int:
 
 def boosted_sums(spark: SparkSession, models: Sequence[GBTClassificationModel], ends: Sequence[int]) -> Callable[[Column], Column]:
     """For an array of features, what the rounds between two of ``ends`` put to the margin of each class, class by class."""
-    nodes, features = boosted_nodes(spark, models), models[0].numFeatures
-    own = [np.flatnonzero(nodes.classes == i)[0] for i in range(len(models))]
+    return sums_of_rounds(boosted_nodes(spark, models), len(models), models[0].numFeatures, ends)
+
+
+def sums_of_rounds(nodes: Nodes, classes: int, features: int, ends: Sequence[int]) -> Callable[[Column], Column]:
+    """The same from the nodes of the models."""
+    own = [np.flatnonzero(nodes.classes == i)[0] for i in range(classes)]
     segments = [first + a for first in own for a in [0, *ends[:-1]]]
     by = sums_by_masks(nodes, features, segments) if mask_bytes(nodes) <= MASK_BYTES else sums_by_steps(nodes, segments)
     return of_arrays(by, features)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import SparkContext
@@ -20,7 +20,7 @@ from ..functions.draws import rank_hash
 from ..functions.scalar import number
 from ..sources.tables import ensure_checkpoint_dir, stage
 from . import boosting
-from .ensembles import boosted_sums, forest_votes, keep_nodes
+from .ensembles import boosted_sums, forest_votes, keep_nodes, sums_of_rounds
 from .sample import balanced_weights, class_counts, per_class, sample_rows
 
 LABEL = "_label"
@@ -90,7 +90,15 @@ def fit_boosted(ready: DataFrame, classes: int, weight_col: str | None = WEIGHT,
     tree; Spark ML fits where rows or settings do not allow that.
     """
     trees = boosting.grown(ready, classes, VECTOR, LABEL, weight_col, seed, params)
-    width = None if trees is None else ready.select(F.size(vector_to_array(VECTOR))).first()[0]
+    made = _boosted(ready, classes, weight_col, seed, parallelism, params, trees)
+    if trees is not None:
+        keep_nodes(made, trees.nodes)
+    return made
+
+
+def _boosted(ready: DataFrame, classes: int, weight_col: str | None, seed: int, parallelism: int, params: Mapping,
+             trees: boosting.Grown | None) -> list[GBTClassificationModel]:
+    """Models of the trees, or, where there are none, fitted by Spark ML."""
 
     def one(i: int) -> GBTClassificationModel:
         est = GBTClassifier(seed=seed, featuresCol=VECTOR, labelCol=f"_is_{i}", predictionCol="", **params)
@@ -98,17 +106,13 @@ def fit_boosted(ready: DataFrame, classes: int, weight_col: str | None = WEIGHT,
         if weight_col:
             est = est.setWeightCol(weight_col)
         if trees is not None:
-            return boosting.as_model(ready, est, trees[i], width)
+            return boosting.as_model(ready.sparkSession, est, trees.tables[i], trees.features)
         return est.fit(ready.withColumn(f"_is_{i}", (F.col(LABEL) == F.lit(float(i))).cast("double")))
 
     if parallelism > 1:
         with ThreadPool(min(parallelism, classes)) as pool:
-            made = pool.map(one, range(classes))
-    else:
-        made = [one(i) for i in range(classes)]
-    if trees is not None:
-        keep_nodes(made, boosting.nodes_of(trees, made[0].getStepSize()))
-    return made
+            return pool.map(one, range(classes))
+    return [one(i) for i in range(classes)]
 
 
 def fit_model(train: DataFrame, kind: str, features: Sequence[str], target: str, params: Mapping | None = None,
@@ -303,12 +307,16 @@ def with_round_margins(df: DataFrame, models: Sequence[GBTClassificationModel],
     ends = sorted(set(rounds))
     if any(not 0 < r <= m.getNumTrees for m in models for r in ends):
         raise ValueError(f"rounds {ends} wanted of models with {[m.getNumTrees for m in models]}")
-    out = df.withColumn("_parts", boosted_sums(df.sparkSession, models, ends)(vector_to_array(VECTOR)))
+    return _margins_after(df, len(models), ends, boosted_sums(df.sparkSession, models, ends))
+
+
+def _margins_after(df: DataFrame, classes: int, ends: Sequence[int], sums: Callable[[Column], Column]) -> tuple[DataFrame, dict[int, Column]]:
+    out = df.withColumn("_parts", sums(vector_to_array(VECTOR)))
 
     def margin(i: int, at: int) -> Column:
         return sum((F.col("_parts")[i * len(ends) + b] for b in range(at + 1)), F.lit(0.0))
 
-    return out, {r: F.array(*[margin(i, at) for i in range(len(models))]) for at, r in enumerate(ends)}
+    return out, {r: F.array(*[margin(i, at) for i in range(classes)]) for at, r in enumerate(ends)}
 
 
 def shown_rounds(total: int, every: int) -> list[int]:
@@ -385,9 +393,13 @@ def _fold_accuracy(fit: DataFrame, held: DataFrame, classes: int, params: Mappin
                    seed: int, parallelism: int, rounds: Sequence[int] | None = None) -> list[float]:
     """Accuracy after each number of ``rounds``, or after all rounds of ``params``, by one fit and one pass over the rows held out."""
     params = dict(params) if rounds is None else {**params, "maxIter": max(rounds)}
-    models = fit_boosted(fit, classes, weight_col, seed, parallelism, **params)
-    wanted = [models[0].getNumTrees] if rounds is None else list(rounds)
-    scored, margins = with_round_margins(held, models, wanted)
+    trees = boosting.grown(fit, classes, VECTOR, LABEL, weight_col, seed, params)  # judged without making models of them
+    models = None if trees is not None else _boosted(fit, classes, weight_col, seed, parallelism, params, None)
+    wanted = [models[0].getNumTrees if trees is None else trees.rounds] if rounds is None else list(rounds)
+    if trees is None:
+        scored, margins = with_round_margins(held, models, wanted)
+    else:
+        scored, margins = _margins_after(held, classes, sorted(set(wanted)), sums_of_rounds(trees.nodes, classes, trees.features, sorted(set(wanted))))
     hits = [(F.array_position(margins[r], F.array_max(margins[r])) - 1 == F.col(LABEL)).cast("int") for r in wanted]
     return list(scored.agg(*[F.avg(h).alias(f"a{i}") for i, h in enumerate(hits)]).first())
 
@@ -422,7 +434,7 @@ def cross_validate(df: DataFrame, fold: str, k: int, features: Sequence[str], ta
     head, ready = _assembled(df, features, target, [fold, *([key] if key else [])])
     parts = fold_parts(ready, fold, k, key, fit_rows, seed)
     classes = len(labels_of(head))
-    with ThreadPool(min(k, _threads(df, parallelism))) as pool:  # the folds are independent fits
+    with ThreadPool(min(k, -(-_threads(df, parallelism) // classes))) as pool:  # the folds are independent fits of a task a class
         scores = pool.map(lambda f: (f + 1, _fold_accuracy(*parts[f], classes, dict(params or {}), None, seed, classes)[0]), range(k))
     return df.sparkSession.createDataFrame([(*score, held.count()) for score, (_, held) in zip(scores, parts)], "fold int, accuracy double, judged long")
 
