@@ -145,10 +145,12 @@ def fit_model(train: DataFrame, kind: str, features: Sequence[str], target: str,
     else:
         raise ValueError(f"unknown model kind {kind!r}")
     stages.append(VectorAssembler(inputCols=inputs, outputCol=VECTOR, handleInvalid="error"))
-    if estimator is not None:
+    if kind == "logistic":
         return Pipeline(stages=[*stages, estimator]).fit(rows)
     head = Pipeline(stages=stages).fit(rows)
     ready = head.transform(rows).select(VECTOR, LABEL, *([WEIGHT] if weighted else []))
+    if kind == "forest":
+        return PipelineModel([*head.stages, boosting.grown_forest(ready, len(counts), estimator, weight_col) or estimator.fit(ready)])
     return PipelineModel([*head.stages, *fit_boosted(ready, len(counts), weight_col, seed, **params)])
 
 

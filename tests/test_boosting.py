@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from amberline import presets
@@ -95,3 +95,33 @@ def test_sums_of_joined_features():
     assert list(out) == [c for f, p in enumerate(places) for c in np.bincount(x[:, f].astype(int), minlength=p)]
     for f in range(len(places)):
         assert list(layout.place_of[f][codes[layout.group_of[f]]]) == list(x[:, f])
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_trees_of_a_forest_are_those_of_spark(monkeypatch, rows, weighted):
+    """Without draws all trees are one right answer."""
+    made, kept = [], models.forest
+    monkeypatch.setattr(models, "forest", lambda *a, **b: kept(*a, **b).setBootstrap(False).setFeatureSubsetStrategy("all"))
+    for limit in (boosting.TASK_ROWS, 0):
+        monkeypatch.setattr(boosting, "TASK_ROWS", limit)
+        made.append(models.fit_model(rows, "forest", NAMES, "y", {"numTrees": 2, "maxDepth": 6, "minInstancesPerNode": 5}, weighted))
+    a, b = ({r["k"]: np.array(r["probabilities"]) for r in models.class_probabilities(m, rows).collect()} for m in made)
+    assert len(a) == 3000 and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-9
+    one, two = (m.stages[-1] for m in made)
+    assert [t.numNodes for t in one.trees] == [t.numNodes for t in two.trees] and one.featureImportances.toArray() == pytest.approx(two.featureImportances.toArray())
+
+
+def test_forests_need_no_job_a_level(rows, monkeypatch, tmp_path):
+    def fit(self, *a):
+        raise AssertionError("fitted by Spark ML")
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    one, two = (models.fit_model(rows, "forest", NAMES, "y", {"numTrees": 9, "maxDepth": 5}) for _ in range(2))
+    models.save_model(one, str(tmp_path / "m"))
+    scored = [{r["k"]: r["probabilities"] for r in score(m, rows).collect()} for m, score in (
+        (one, models.class_probabilities), (two, models.class_probabilities), (one, models.batch_probabilities), (models.load_model(str(tmp_path / "m")), models.class_probabilities))]
+    assert scored[0] == scored[1] == scored[3] and all(scored[0][k] == pytest.approx(scored[2][k]) for k in scored[0])
+    trees = one.stages[-1].trees
+    assert len(trees) == 9 and len({t.toDebugString for t in trees}) > 1  # rows and features are drawn for each
+    hit = models.class_probabilities(one, rows).agg(F.avg((F.col("predicted") == F.col("y")).cast("int"))).first()[0]
+    assert hit > 0.6
