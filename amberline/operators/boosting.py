@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import remove_path, scratch_path, stage
 from . import growing
-from .ensembles import Nodes
+from .ensembles import Nodes, keep_nodes
 from .order_stats import prefix_sums
 
 cloudpickle.register_pickle_by_value(growing)  # executors need no installation of this package
@@ -131,6 +131,16 @@ def _width(ready: DataFrame, features_col: str) -> int:
     return ready.select(F.size(vector_to_array(features_col))).first()[0]
 
 
+def _as_nodes(tables: Sequence[pa.Table], value: np.ndarray) -> Nodes:
+    """What ``ensembles`` reads from the saved models of these trees; ``value`` has the outputs of each node."""
+    whole = pa.concat_tables(tables).combine_chunks()
+    own_class, tree, left, right = (whole[name].to_numpy() for name in ("class", "tree", "left", "right"))
+    first = np.flatnonzero(np.r_[True, (own_class[1:] != own_class[:-1]) | (tree[1:] != tree[:-1])])
+    shift, own, inner = np.repeat(first, np.diff(np.r_[first, len(whole)])), np.arange(len(whole)), left >= 0
+    return Nodes(first, own_class[first], np.where(inner, whole["feature"].to_numpy(), 0).astype(np.int32), whole["threshold"].fill_null(0.0).to_numpy(),
+                 np.where(inner, left + shift, own).astype(np.int32), np.where(inner, right + shift, own).astype(np.int32), value)
+
+
 @dataclass
 class Grown:
     """The nodes of the trees of all classes."""
@@ -142,14 +152,8 @@ class Grown:
 
     @cached_property
     def nodes(self) -> Nodes:
-        """What ``ensembles`` reads from the saved models of these trees."""
-        whole = pa.concat_tables(self.tables).combine_chunks()
-        c = {name: whole[name].to_numpy() for name in ("class", "tree", "left", "right", "value")}
-        first = np.flatnonzero(np.r_[True, (c["class"][1:] != c["class"][:-1]) | (c["tree"][1:] != c["tree"][:-1])])
-        shift, own, inner = np.repeat(first, np.diff(np.r_[first, len(whole)])), np.arange(len(whole)), c["left"] >= 0
-        return Nodes(first, c["class"][first], np.where(inner, whole["feature"].to_numpy(), 0).astype(np.int32), whole["threshold"].fill_null(0.0).to_numpy(),
-                     np.where(inner, c["left"] + shift, own).astype(np.int32), np.where(inner, c["right"] + shift, own).astype(np.int32),
-                     (c["value"] * np.where(c["tree"] == 0, 1.0, self.step))[:, None])
+        value, tree = (np.concatenate([t[name].to_numpy() for t in self.tables]) for name in ("value", "tree"))
+        return _as_nodes(self.tables, (value * np.where(tree == 0, 1.0, self.step))[:, None])
 
 
 def grown(ready: DataFrame, classes: int, features_col: str, label_col: str, weight_col: str | None, seed: int, params: Mapping) -> Grown | None:
@@ -212,8 +216,12 @@ def grown_forest(ready: DataFrame, classes: int, estimator: RandomForestClassifi
 
     blocks = stage(_blocks(ready, value("featuresCol"), value("labelCol"), width, lambda x: place(x, cuts)), "fit-blocks")
     nodes = _nodes(blocks, tasks, joined, cuts, grow)
-    return _loaded(spark, estimator, RandomForestClassificationModel, "DecisionTreeClassificationModel", "classification", nodes, [1.0] * trees,
-                   numFeatures=width, numClasses=classes, numTrees=trees)
+    model = _loaded(spark, estimator, RandomForestClassificationModel, "DecisionTreeClassificationModel", "classification", nodes, [1.0] * trees,
+                    numFeatures=width, numClasses=classes, numTrees=trees)
+    stats = pc.list_flatten(nodes["stats"]).to_numpy().reshape(-1, classes)
+    total = stats.sum(axis=1, keepdims=True)
+    keep_nodes([model], _as_nodes([nodes], np.divide(stats, total, out=np.zeros_like(stats), where=total != 0)))
+    return model
 
 
 def as_model(spark: SparkSession, estimator: GBTClassifier, nodes: pa.Table, features: int) -> GBTClassificationModel:
